@@ -45,8 +45,13 @@ def transform(
     Deduplication comes first: it needs raw columns only, and everything after it
     then handles fewer rows. Regional aggregates see one row per sensor and day.
     Columns beyond the observation layout, such as ``tie_break``, come last.
+
+    The day is a required field: records without one are left out, as on loading.
+    Stating that up front gives the hot-group branch the same input as the main
+    one, so both read a single deduplication shuffle.
     """
     stamp = F.current_timestamp() if processed_at is None else processed_at
+    df = df.where(F.col("dt").isNotNull())
     latest = latest_per_key(df, tie_break=tie_break)
     labelled = classified(latest).select(
         "*", stamp.alias("processed_at"), F.lit(PROCESSING_VERSION).alias("processing_version")
