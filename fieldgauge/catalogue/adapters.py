@@ -7,11 +7,11 @@ exact in any order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fx
-from ..schemas import CHECKPOINT_SCHEMA, OBSERVATION_SCHEMA
+from ..schemas import OBSERVATION_SCHEMA
 
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
 CENTRE_LATITUDE, CENTRE_LONGITUDE = 52.52, 13.405
@@ -21,27 +21,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _iso_time(ts: str) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+DAY = "cast(cast(ts as date) as string)"
+TIME = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+HIGH = "cast(event_id % 400 as double) / 8D - 10D"
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw observations with ``event_id`` to break ties."""
-    user, kind = F.col("user_id"), F.col("event_type")
-    high = (F.col("event_id") % 400).cast("double") / 8.0 - 10.0
     return table(spark, sf_dir, "events").select(
-        fx.iso_day("ts").alias("dt"),
+        F.expr(DAY).alias("dt"),
         fx.sensor_label("user_id").alias("sensor_id"),
-        F.concat(F.lit("ZONE_"), (user % 4).cast("string"), F.lit("_"), (user % 3).cast("string")).alias("region"),
-        (F.lit(52.27) + (user % 4).cast("double") * 0.125).alias("latitude"),
-        (F.lit(13.155) + (user % 3).cast("double") * 0.125).alias("longitude"),
-        F.when(kind != "error", high).alias("temperature_max"),
-        F.when((kind != "error") | (user % 2 != 0), high - (user % 15).cast("double")).alias("temperature_min"),
-        F.when(kind == "view", F.lit(0.0))
-        .when(kind != "signup", F.floor(F.col("value") * 4.0).cast("double") / 16.0)
-        .alias("precipitation"),
+        F.expr("concat('ZONE_', user_id % 4, '_', user_id % 3)").alias("region"),
+        F.expr("52.27D + cast(user_id % 4 as double) * 0.125D").alias("latitude"),
+        F.expr("13.155D + cast(user_id % 3 as double) * 0.125D").alias("longitude"),
+        F.expr(f"case when event_type <> 'error' then {HIGH} end").alias("temperature_max"),
+        F.expr(f"case when event_type <> 'error' or user_id % 2 <> 0 then {HIGH} - (user_id % 15) end").alias(
+            "temperature_min"
+        ),
+        F.expr(
+            "case event_type when 'view' then 0D when 'signup' then null "
+            "else cast(floor(value * 4D) as double) / 16D end"
+        ).alias("precipitation"),
         F.lit("events").alias("source"),
-        _iso_time("ts").alias("ingestion_timestamp"),
+        F.expr(TIME).alias("ingestion_timestamp"),
         "event_id",
     )
 
@@ -51,54 +53,48 @@ def sensors(observed: DataFrame) -> DataFrame:
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("event_type")
-    status = F.when(kind == "error", 500).when(kind == "signup", 429).when(kind == "view", 401).otherwise(200)
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("request_id"),
-        fx.iso_day("ts").alias("day"),
-        status.alias("http_status"),
-        F.round(F.col("value") * 20.0, 2).alias("latency_ms"),
-        (F.col("user_id") % 100).alias("rate_limit_remaining"),
-        F.lit(100).cast("bigint").alias("rate_limit_limit"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id as request_id",
+        f"{DAY} as day",
+        "case event_type when 'error' then 500 when 'signup' then 429 when 'view' then 401 else 200 end as http_status",
+        "round(value * 20D, 2) as latency_ms",
+        "user_id % 100 as rate_limit_remaining",
+        "100L as rate_limit_limit",
     )
 
 
 def probe_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Health probes: an error event got no response, a signup was turned away."""
-    kind, user = F.col("event_type"), F.col("user_id")
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.when(kind == "signup", 503).when(kind != "error", 200).alias("http_status"),
-        (F.col("value") * 50.0).alias("latency_ms"),
-        _iso_time("ts").alias("timestamp"),
-        F.when(kind != "click", (user % 100).cast("string")).alias("rate_limit_remaining"),
-        F.when(kind != "click", F.lit("100")).alias("rate_limit_limit"),
-        F.when(
-            kind == "error",
-            F.when(user % 3 == 0, "Timeout").when(user % 3 == 1, "ConnectionError").otherwise("ValueError"),
-        ).alias("cause"),
+        "case event_type when 'error' then null when 'signup' then 503 else 200 end as http_status",
+        "value * 50D as latency_ms",
+        f"{TIME} as timestamp",
+        "case when event_type <> 'click' then cast(user_id % 100 as string) end as rate_limit_remaining",
+        "case when event_type <> 'click' then '100' end as rate_limit_limit",
+        "case when event_type = 'error' then "
+        "case user_id % 3 when 0 then 'Timeout' when 1 then 'ConnectionError' else 'ValueError' end end as cause",
     )
 
 
 def checkpoint_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as checkpoint records: a customer is a job, an order day a processed day."""
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("CUSTOMER_"), F.col("o_custkey").cast("string")).alias("job_name"),
-        fx.iso_day("o_orderdate").alias("last_processed_date"),
-        F.when(F.col("o_orderstatus") == "F", "failed").otherwise("success").alias("status"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at"),
-        F.col("o_orderkey").cast("string").alias("execution_id"),
-    ).select(*CHECKPOINT_SCHEMA.names)
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat('CUSTOMER_', o_custkey) as job_name",
+        "cast(cast(o_orderdate as date) as string) as last_processed_date",
+        "case when o_orderstatus = 'F' then 'failed' else 'success' end as status",
+        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") as updated_at",
+        "cast(o_orderkey as string) as execution_id",
+    )
 
 
 def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as result pages, with a page skipped in every fourth chain."""
-    skipped = (F.col("conv_id") % 4 == 0) & (F.col("turn") >= 1)
-    return table(spark, sf_dir, "conversations").select(
-        F.col("conv_id").alias("chain_id"),
-        (F.col("turn") + F.when(skipped, 1).otherwise(0)).alias("page"),
-        F.when(F.length("text") % 3 != 0, (F.col("turn") + 1).cast("string")).alias("next_cursor"),
-        (F.col("role") == "user").alias("has_more"),
+    return table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id as chain_id",
+        "case when conv_id % 4 = 0 and turn >= 1 then turn + 1 else turn end as page",
+        "case when length(text) % 3 <> 0 then cast(turn + 1 as string) end as next_cursor",
+        "role = 'user' as has_more",
     )
 
 

@@ -211,6 +211,12 @@ def missing_observations(spark: SparkSession, sf: str) -> DataFrame:
     return op.missing_observations(plans.collection_plan(ad.sensors(observed), FIRST, LAST), observed)
 
 
+@query
+def missing_by_sensor(spark: SparkSession, sf: str) -> DataFrame:
+    observed = ad.observations(spark, sf)
+    return op.missing_in_range(ad.sensors(observed), observed, FIRST, LAST)
+
+
 @query
 def expected_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
     """Counts per day, from two days before the first reading to one after the last."""
@@ -314,10 +320,11 @@ def append_union(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def compaction_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Small files of three days are rewritten; rows stay the same."""
+    """Two appends leave two files per day; three days are rewritten into one each."""
     root = scratch_path(spark, "table")
     observed = ad.observations(spark, sf)
-    sinks.write_observations(observed, f"{root}/table", rows_per_file=200)
+    sinks.write_observations(observed.where(F.col("precipitation").isNull()), f"{root}/table")
+    sinks.write_observations(observed.where(F.col("precipitation").isNotNull()), f"{root}/table")
     sinks.compact_days(
         spark, f"{root}/table", ["2024-01-02", "2024-01-03", "2024-01-04"], f"{root}/staging", WITH_ID
     )
@@ -359,6 +366,26 @@ def incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_table(spark, f"{root}/table", schema).drop("processed_at", "event_id")
 
 
+@query
+def daily_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily job run twice; the second run resumes after the first."""
+    root = scratch_path(spark, "daily")
+    observed = ad.observations(spark, sf)
+    for end, stamp in ((date(2024, 1, 15), "2024-01-16T03:00:00"), (LAST, "2024-01-31T03:00:00")):
+        plans.run_daily(
+            observed,
+            ad.sensors(observed),
+            root,
+            "extract_observations",
+            end=end,
+            as_of=end,
+            updated_at=stamp,
+            start=FIRST,
+            tie_break=TIE,
+        )
+    return sources.read_table(spark, f"{root}/table").drop("processed_at")
+
+
 # Logs.
 
 

@@ -51,7 +51,8 @@ def grid_zone(ordinal: Column | str, side: Column | str | int) -> Column:
 
 def sensor_label(ordinal: Column | str) -> Column:
     """Padded to four digits; longer numbers keep all their digits."""
-    return F.format_string("SENSOR_%04d", _col(ordinal))
+    digits = _col(ordinal).cast("string")
+    return F.concat(F.lit("SENSOR_"), F.lpad(digits, F.greatest(F.lit(4), F.length(digits)), F.lit("0")))
 
 
 def zone_of_point(

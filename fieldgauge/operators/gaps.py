@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,25 @@ def missing_observations(plan: DataFrame, observed: DataFrame) -> DataFrame:
     return plan.select(*keys).join(observed.select(*keys).distinct(), keys, "left_anti")
 
 
+def missing_in_range(sensors: DataFrame, observed: DataFrame, start: date, end: date) -> DataFrame:
+    """Days of the inclusive range on which a sensor has no observation.
+
+    The same rows as :func:`missing_observations` for the plan of all sensors on
+    all days, without shuffling that plan: observed days are collected per sensor,
+    at most one entry for each day of the range and combined before the shuffle,
+    and the gaps are listed next to each sensor.
+    """
+    wanted = [(start + timedelta(days=i)).isoformat() for i in range((end - start).days + 1)]
+    days = F.array(*[F.lit(d) for d in wanted]).cast("array<string>")
+    seen = (
+        observed.where(F.col("dt").between(start.isoformat(), end.isoformat()))
+        .groupBy("sensor_id")
+        .agg(F.collect_set("dt").alias("_seen"))
+    )
+    gaps = F.array_except(days, F.coalesce("_seen", F.array().cast("array<string>")))
+    return sensors.join(seen, "sensor_id", "left").select(F.explode(gaps).alias("dt"), "sensor_id")
+
+
 def expected_vs_actual(days: DataFrame, sensors: DataFrame, observed: DataFrame) -> DataFrame:
     """Expected and received sensor-days for every day of the spine.
 

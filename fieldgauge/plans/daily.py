@@ -8,13 +8,12 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.gaps import missing_observations
+from ..operators.gaps import missing_in_range
 from ..operators.quality import run_summary
 from ..sinks.logs import append_checkpoint, append_run_summary, checkpoint_record
 from ..sinks.observations import upsert_days
 from ..sources.checkpoints import read_checkpoint
 from ..sources.tables import read_table
-from .collection import collection_plan
 from .windows import incremental_window, rows_between
 
 
@@ -53,10 +52,9 @@ def run_daily(
     if not days:
         raise ValueError(f"no observations from {first} to {last}")
     written = rows_between(read_table(spark, f"{root}/table"), first, last)
-    plan = collection_plan(sensors, date.fromisoformat(first), date.fromisoformat(last))
     summary = run_summary(
         written,
-        missing_observations(plan, written),
+        missing_in_range(sensors, written, date.fromisoformat(first), date.fromisoformat(last)),
         first,
         last,
         job_name,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldgauge import functions as fx
 from fieldgauge import plans
-from fieldgauge.operators import expected_vs_actual, missing_observations
+from fieldgauge.operators import expected_vs_actual, missing_in_range, missing_observations
 from fieldgauge.schemas import CHECKPOINT_SCHEMA
 
 
@@ -126,6 +126,9 @@ def test_plan_is_received_plus_missing(spark, readings):
         ]
     )
     missing = {tuple(r) for r in missing_observations(plan, observed).collect()}
+    listed = missing_in_range(sensors, observed, date(2024, 1, 1), date(2024, 1, 9)).collect()
+    assert len(listed) == len(missing) and {tuple(r) for r in listed} == missing
+    assert missing_in_range(sensors, observed, date(2024, 1, 9), date(2024, 1, 1)).count() == 0
     received = {(r.dt, r.sensor_id) for r in observed.collect()}
     planned = {(r.dt, r.sensor_id) for r in plan.collect()}
     assert missing | received == planned and not missing & received
