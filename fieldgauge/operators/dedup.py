@@ -18,16 +18,18 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per key: the one with the greatest ``order_by``, then ``tie_break``.
 
-    ``max_by`` combines before the shuffle, so each map task sends at most one row
-    per key however many rows a hot key has. Keys stay plain grouping columns, so a
-    filter on them above this operator still reaches the scan. Consumers that need
-    different columns share one shuffle, since the row travels as one struct.
-
-    Without ``tie_break`` any of several equally new rows may be kept.
+    The greatest struct is combined before the shuffle, so each map task sends at
+    most one row per key however many rows a hot key has. Keys stay plain grouping
+    columns, so a filter on them above this operator still reaches the scan.
+    Consumers that need different columns share one shuffle, since the row travels
+    as one struct.
+
+    Equally new rows are told apart by their remaining values, so a rerun keeps the
+    same one. Nulls count as oldest.
     """
-    rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(order_by, *tie_break))
-    picked = df.groupBy(*keys).agg(newest.alias("_row"))
+    order = [c for c in dict.fromkeys([order_by, *tie_break]) if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_row"))
     return picked.select(
         *[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
     )
