@@ -1,80 +1,79 @@
-"""Derived measures, bands and quality flags of one observation row."""
+"""Derived measures, bands and quality flags of one observation row.
+
+Arguments are column names or other SQL expression texts.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 
+HIGH, LOW, RAIN = S.MEASURES
+COMPLETE = " and ".join(f"{m} is not null" for m in S.MEASURES)
+
 
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def to_fahrenheit(celsius: str) -> Column:
+    return F.expr(f"{celsius} * 9D / 5D + 32D")
 
 
-def to_fahrenheit(celsius: Column | str) -> Column:
-    return _col(celsius) * F.lit(9.0) / F.lit(5.0) + F.lit(32.0)
+def temperature_range(high: str = HIGH, low: str = LOW) -> Column:
+    return F.expr(f"{high} - {low}")
 
 
-def temperature_range(high: Column | str = "temperature_max", low: Column | str = "temperature_min") -> Column:
-    return _col(high) - _col(low)
+def temperature_avg(high: str = HIGH, low: str = LOW) -> Column:
+    return F.expr(f"({high} + {low}) / 2D")
 
 
-def temperature_avg(high: Column | str = "temperature_max", low: Column | str = "temperature_min") -> Column:
-    return (_col(high) + _col(low)) / F.lit(2.0)
+def _bands_sql(value: str, bands: Sequence[tuple[float, str]], top: str) -> str:
+    steps = " ".join(f"when {value} < {float(edge)}D then '{label}'" for edge, label in bands)
+    return f"case {steps} else '{top}' end"
 
 
-def banded(value: Column | str, bands: Sequence[tuple[float, str]], top: str) -> Column:
+def banded(value: str, bands: Sequence[tuple[float, str]], top: str) -> Column:
     """Label of the first band whose upper edge lies above ``value``.
 
     Bands are (exclusive upper edge, label) in ascending order. A null value is
     below no edge and so gets ``top``.
     """
-    value = _col(value)
-    return reduce(
-        lambda rest, band: F.when(value < F.lit(float(band[0])), F.lit(band[1])).otherwise(rest),
-        reversed(bands),
-        F.lit(top),
-    )
+    return F.expr(_bands_sql(value, bands, top))
 
 
-def temperature_category(avg: Column | str = "temperature_avg", null_label: str | None = S.TEMPERATURE_TOP_BAND) -> Column:
+def temperature_category(avg: str = "temperature_avg", null_label: str | None = S.TEMPERATURE_TOP_BAND) -> Column:
     """Temperature band of the daily average.
 
     By default a missing average is labelled as the top band, as existing
     consumers expect; pass another ``null_label`` (or None) to tell it apart.
     """
-    label = banded(avg, S.TEMPERATURE_BANDS, S.TEMPERATURE_TOP_BAND)
+    bands = banded(avg, S.TEMPERATURE_BANDS, S.TEMPERATURE_TOP_BAND)
     if null_label == S.TEMPERATURE_TOP_BAND:
-        return label
-    return F.when(_col(avg).isNull(), F.lit(null_label).cast("string")).otherwise(label)
+        return bands
+    return F.when(F.expr(avg).isNull(), F.lit(null_label).cast("string")).otherwise(bands)
 
 
-def precipitation_level(amount: Column | str = "precipitation") -> Column:
-    amount = _col(amount)
-    return (
-        F.when(amount.isNull(), F.lit(S.PRECIPITATION_MISSING))
-        .when(amount == F.lit(0.0), F.lit(S.PRECIPITATION_ZERO))
-        .otherwise(banded(amount, S.PRECIPITATION_BANDS, S.PRECIPITATION_TOP_BAND))
+def precipitation_level(amount: str = RAIN) -> Column:
+    bands = _bands_sql(amount, S.PRECIPITATION_BANDS, S.PRECIPITATION_TOP_BAND)
+    return F.expr(
+        f"case when {amount} is null then '{S.PRECIPITATION_MISSING}' "
+        f"when {amount} = 0D then '{S.PRECIPITATION_ZERO}' else {bands} end"
     )
 
 
-def is_complete(measures: Sequence[str] = S.MEASURES) -> Column:
+def is_complete() -> Column:
     """True when no measure is null; never null itself."""
-    return reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in measures])
+    return F.expr(COMPLETE)
 
 
-def quality_score(complete: Column | str = "is_complete", avg: Column | str = "temperature_avg") -> Column:
-    return (
-        F.when(_col(complete), F.lit(S.SCORE_COMPLETE))
-        .when(_col(avg).isNotNull(), F.lit(S.SCORE_TEMPERATURE_ONLY))
-        .otherwise(F.lit(S.SCORE_NO_TEMPERATURE))
+def quality_score(complete: str = COMPLETE, avg: str = "temperature_avg") -> Column:
+    return F.expr(
+        f"case when {complete} then {S.SCORE_COMPLETE} when {avg} is not null then {S.SCORE_TEMPERATURE_ONLY} "
+        f"else {S.SCORE_NO_TEMPERATURE} end"
     )
 
 
-def default_fill(value: Column | str, default: str) -> Column:
+def default_fill(value: str, default: str) -> Column:
     """``default`` where the text is null or empty."""
-    return F.coalesce(F.nullif(_col(value), F.lit("")), F.lit(default))
+    return F.expr(f"coalesce(nullif({value}, ''), '{default}')")

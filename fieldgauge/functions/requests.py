@@ -1,4 +1,7 @@
-"""Classification of logged requests and health checks."""
+"""Classification of logged requests and health checks.
+
+Arguments are column names or other SQL expression texts.
+"""
 
 from __future__ import annotations
 
@@ -8,45 +11,36 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
-def health_status(http_status: Column | str) -> Column:
+def health_status(http_status: str) -> Column:
     """``success`` for HTTP 200 only; no status at all is a failure."""
-    return F.when(_col(http_status) == 200, F.lit("success")).otherwise(F.lit("failed"))
+    return F.expr(f"case when {http_status} = 200 then 'success' else 'failed' end")
 
 
-def failure_class(http_status: Column | str, cause: Column | str) -> Column:
+def failure_class(http_status: str, cause: str) -> Column:
     """Class of a check that got no response; null when there was one.
 
-    ``cause`` is the logged cause: ``Timeout``, ``ConnectionError`` or other text.
+    ``cause`` is the logged cause: a text holding ``Timeout``, one starting with
+    ``Connection``, or any other.
     """
-    cause = F.lower(F.coalesce(_col(cause), F.lit("")))
-    return F.when(
-        _col(http_status).isNull(),
-        F.when(cause.contains("timeout"), F.lit("timeout"))
-        .when(cause.startswith("connection"), F.lit("connection_error"))
-        .otherwise(F.lit("unexpected_error")),
+    return F.expr(
+        f"case when {http_status} is not null then null when {cause} ilike '%timeout%' then 'timeout' "
+        f"when {cause} ilike 'connection%' then 'connection_error' else 'unexpected_error' end"
     )
 
 
-def is_high_latency(latency_ms: Column | str, threshold: float = S.HIGH_LATENCY_MS) -> Column:
-    return F.coalesce(_col(latency_ms) > F.lit(float(threshold)), F.lit(False))
+def is_high_latency(latency_ms: str, threshold: float = S.HIGH_LATENCY_MS) -> Column:
+    return F.expr(f"coalesce({latency_ms} > {float(threshold)}D, false)")
 
 
-def is_rate_limit_low(remaining: Column | str, limit: Column | str) -> Column:
+def is_rate_limit_low(remaining: str, limit: str) -> Column:
     """Less than a tenth of the allowance left; false unless both numbers are known."""
-    left = _col(remaining).try_cast("bigint")
-    allowed = _col(limit).try_cast("bigint")
-    return F.coalesce(left < allowed * F.lit(S.LOW_RATE_LIMIT_SHARE), F.lit(False))
-
-
-def response_outcome(http_status: Column | str) -> Column:
-    status = _col(http_status)
-    return (
-        F.when(status == 429, F.lit("rate_limited"))
-        .when(status == 401, F.lit("auth"))
-        .when(status.isNull() | (status >= 400), F.lit("error"))
-        .otherwise(F.lit("ok"))
+    return F.expr(
+        f"coalesce(try_cast({remaining} as bigint) < try_cast({limit} as bigint) * {S.LOW_RATE_LIMIT_SHARE}D, false)"
+    )
+
+
+def response_outcome(http_status: str) -> Column:
+    return F.expr(
+        f"case when {http_status} = 429 then 'rate_limited' when {http_status} = 401 then 'auth' "
+        f"when {http_status} < 400 then 'ok' else 'error' end"
     )

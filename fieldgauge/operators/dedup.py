@@ -30,6 +30,4 @@ def latest_per_key(
     order = [c for c in dict.fromkeys([order_by, *tie_break]) if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     picked = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_row"))
-    return picked.select(
-        *[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
-    )
+    return picked.select(*keys, "_row.*").select(*df.columns)

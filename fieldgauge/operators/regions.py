@@ -49,7 +49,7 @@ def region_aggregates(df: DataFrame, hot: DataFrame | None = None, spread: str =
     rows = df.join(F.broadcast(totals), same_group, "left")
     window = Window.partitionBy("region", "dt", F.when(F.col("_is_hot"), F.xxhash64(spread)))
     return rows.select(
-        *[F.col(c) for c in df.columns],
+        *df.columns,
         F.when(F.col("_is_hot"), F.col("_hot_avg"))
         .otherwise(F.avg("temperature_avg").over(window))
         .alias("region_avg_temp"),

@@ -30,7 +30,7 @@ def classified(df: DataFrame) -> DataFrame:
         fx.temperature_category().alias("temp_category"),
         fx.precipitation_level().alias("precipitation_level"),
         fx.is_complete().alias("is_complete"),
-        fx.quality_score(fx.is_complete()).alias("data_quality_score"),
+        fx.quality_score().alias("data_quality_score"),
     )
 
 
