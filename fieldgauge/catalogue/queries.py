@@ -422,6 +422,13 @@ def health_summary(spark: SparkSession, sf: str) -> DataFrame:
     return op.health_daily_summary(sources.read_health_history(spark, root))
 
 
+@query
+def failure_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    probes = ad.probe_log(spark, sf)
+    history = op.health_results(probes, "check_service").withColumn("day", F.substring("timestamp", 1, 10))
+    return op.failure_alerts(history, alert_share=0.4).select("day", "checks", "success_rate")
+
+
 @query
 def latency_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     return op.latency_percentiles(ad.request_log(spark, sf))
@@ -461,6 +468,12 @@ def retention_tier(spark: SparkSession, sf: str) -> DataFrame:
     return op.retention_tier(orders, date(2001, 8, 1))
 
 
+@query
+def live_rows(spark: SparkSession, sf: str) -> DataFrame:
+    orders = ad.table(spark, sf, "orders").select("o_orderkey", fx.iso_day("o_orderdate").alias("dt"))
+    return op.live_rows(orders, date(2001, 8, 1))
+
+
 @query
 def skew_report(spark: SparkSession, sf: str) -> DataFrame:
     return op.partition_skew(ad.observations(spark, sf), factor=1.1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.gaps import missing_in_range
 from ..operators.quality import run_summary
+from ..schemas import RUN_SUMMARY_SCHEMA
 from ..sinks.logs import append_checkpoint, append_run_summary, checkpoint_record
 from ..sinks.observations import upsert_days
 from ..sources.checkpoints import read_checkpoint
@@ -61,6 +62,8 @@ def run_daily(
         execution_id,
         F.lit(updated_at),
     )
+    # One row: kept as a value, so that using the result runs nothing again.
+    summary = spark.createDataFrame([summary.select(*RUN_SUMMARY_SCHEMA.names).first()], RUN_SUMMARY_SCHEMA)
     append_run_summary(summary, f"{root}/runs")
     append_checkpoint(checkpoint_record(spark, job_name, last, updated_at, "success", execution_id), f"{root}/checkpoints")
     return summary

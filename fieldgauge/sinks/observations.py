@@ -24,10 +24,13 @@ def sized_for_write(df: DataFrame, partition_cols: Sequence[str] = ("dt",)) -> D
     return df.hint("rebalance", *partition_cols)
 
 
-def file_plan(df: DataFrame, rows_per_file: int = ROWS_PER_FILE, partition_col: str = "dt") -> DataFrame:
-    """Rows per day and the number of files they fill: one, or rows per file rounded down."""
+def file_plan(df: DataFrame, rows_per_file: int = ROWS_PER_FILE, by: Sequence[str] = ("dt",)) -> DataFrame:
+    """Rows and the number of files they fill: at least one, else whole multiples of ``rows_per_file``.
+
+    Counted per day, or over everything with ``by=()``.
+    """
     rows = F.count("*")
-    return df.groupBy(partition_col).agg(
+    return df.groupBy(*by).agg(
         rows.alias("row_count"),
         F.greatest(F.lit(1), F.floor(rows / F.lit(rows_per_file))).alias("target_files"),
     )
@@ -85,25 +88,25 @@ def upsert_days(
     Stored rows of the touched days join the batch before deduplication, so late
     records replace older ones and nothing already stored is lost; regional
     aggregates are recomputed over the whole day. The result is staged first and
-    then replaces those days. If a run dies in between, calling again with the
-    same ``staging`` publishes the finished stage instead of merging anew.
+    then replaces those days. If a run dies while replacing them, calling again with
+    the same ``staging`` first finishes that and then merges as usual, which changes
+    nothing already merged.
     """
     spark = batch.sparkSession
     extra = [f for f in batch.schema.fields if f.name not in TRANSFORMED_SCHEMA.names]
     stored_schema = T.StructType(TRANSFORMED_SCHEMA.fields + extra)
     if path_exists(spark, f"{staging}/_SUCCESS"):
-        days = _days_in(read_table(spark, staging, stored_schema))
-    else:
-        days = _days_in(batch)
-        if not days:
-            return []
-        raw = [*OBSERVATION_SCHEMA.names, *(f.name for f in extra)]
-        rows = batch.select(*raw)
-        if path_exists(spark, path):
-            stored = read_table(spark, path, stored_schema).where(F.col("dt").isin(days))
-            rows = rows.unionByName(stored.select(*raw))
-        # Rows of a single day are together already, in tasks of the advisory size.
-        write_observations(transform(rows, tie_break=tie_break), staging, mode="overwrite", gather=len(days) > 1)
+        _publish(spark, staging, path, stored_schema)
+    days = _days_in(batch)
+    if not days:
+        return []
+    raw = [*OBSERVATION_SCHEMA.names, *(f.name for f in extra)]
+    rows = batch.select(*raw)
+    if path_exists(spark, path):
+        stored = read_table(spark, path, stored_schema).where(F.col("dt").isin(days))
+        rows = rows.unionByName(stored.select(*raw))
+    # Rows of a single day are together already, in tasks of the advisory size.
+    write_observations(transform(rows, tie_break=tie_break), staging, mode="overwrite", gather=len(days) > 1)
     _publish(spark, staging, path, stored_schema)
     return days
 

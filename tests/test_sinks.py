@@ -44,6 +44,8 @@ def test_file_plan(spark, readings):
     rows = readings(*[{"sensor_id": f"S{i}"} for i in range(25)], {"dt": "2024-01-16"})
     got = {r.dt: (r.row_count, r.target_files) for r in file_plan(rows, rows_per_file=10).collect()}
     assert got == {"2024-01-15": (25, 2), "2024-01-16": (1, 1)}
+    assert tuple(file_plan(rows, rows_per_file=10, by=()).first()) == (26, 2)
+    assert tuple(file_plan(rows.limit(0), by=()).first()) == (0, 1)
 
 
 def test_upsert_merges_with_stored_rows(spark, readings, tmp_path):
