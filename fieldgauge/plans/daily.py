@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +29,15 @@ def run_daily(
     start: date | None = None,
     execution_id: str = "manual",
     tie_break: Sequence[str] = (),
+    max_days: int | None = None,
 ) -> DataFrame | None:
     """Load the days a job has still to process; None when there are none.
 
+    ``max_days`` takes at most that many of them, oldest first. Calling until None
+    comes back loads a long history in bounded steps: deduplication and regional
+    aggregates never reach across days, so the result is the same, each step
+    shuffles its own days only, and a lost driver costs one step.
+
     ``root`` holds ``table``, ``checkpoints``, ``runs`` and ``staging``. The
     checkpoint moves only after the days are published, so a failed run is simply
     repeated. Metrics are read back from the published days, a scan of a few
@@ -44,6 +50,8 @@ def run_daily(
     if not window.has_work:
         return None
     first, last = window.start_date, window.end_date
+    if max_days:
+        last = min(last, (date.fromisoformat(first) + timedelta(days=max_days - 1)).isoformat())
     days = upsert_days(
         rows_between(observations, first, last),
         f"{root}/table",

@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Only settings that hold at any scale. Executor sizes and the number of shuffle
-# partitions belong to the cluster; adaptive execution merges what is too small.
+# Settings that hold at any scale; those that depend on the input come from sizing().
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,11 +18,35 @@ DEFAULTS = {
 }
 
 
-def build_session(app_name: str = "fieldgauge", master: str | None = None, **settings: str) -> SparkSession:
+MIB = 1024**2
+SHUFFLE_PARTITION_BYTES = 256 * MIB
+LARGE_INPUT_BYTES = 10 * 1024**4
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Settings for a run that reads and shuffles about ``input_bytes``.
+
+    A shuffle partition gets a quarter of a gigabyte, so that its sort stays mostly
+    in memory; adaptive execution only merges partitions, so there must be enough
+    to begin with. Very large inputs are read in larger splits, which keeps the
+    number of map tasks, and with it of shuffle blocks, in bounds.
+    """
+    partitions = max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+    split = 1024 if input_bytes > LARGE_INPUT_BYTES else 128
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{split}m",
+    }
+
+
+def build_session(
+    app_name: str = "fieldgauge", master: str | None = None, input_bytes: int | None = None, **settings: str
+) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **settings}.items():
+    sized = sizing(input_bytes) if input_bytes else {}
+    for key, value in {**DEFAULTS, **sized, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

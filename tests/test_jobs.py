@@ -59,6 +59,23 @@ def test_daily_load_resumes(spark, month, tmp_path):
     assert read_checkpoint(spark, f"{root}/checkpoints", "load").first().last_processed_date == "2024-01-08"
 
 
+def test_history_in_steps(spark, month, tmp_path):
+    root = str(tmp_path)
+    sensors = spark.createDataFrame([(f"S{i}",) for i in range(5)], "sensor_id string")
+    steps = []
+    for step in range(10):
+        end = date(2024, 1, 8)
+        stamp = f"2024-01-09T03:00:{step:02d}"
+        summary = run_daily(
+            month, sensors, root, "load", end, as_of=end, updated_at=stamp, start=date(2024, 1, 1), max_days=3
+        )
+        if summary is None:
+            break
+        steps.append(tuple(summary.select("start_date", "end_date").first()))
+    assert steps == [("2024-01-01", "2024-01-03"), ("2024-01-04", "2024-01-06"), ("2024-01-07", "2024-01-08")]
+    assert comparable(read_table(spark, f"{root}/table")) == comparable(transform(month))
+
+
 def test_stream_merges_late_files(spark, month, tmp_path):
     source, table, state = (str(tmp_path / n) for n in ("landed", "table", "state"))
 
