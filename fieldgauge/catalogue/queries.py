@@ -119,8 +119,13 @@ def region_aggregates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def region_aggregates_hot(spark: SparkSession, sf: str) -> DataFrame:
-    """The same result with every group above ten rows taken as hot."""
-    return op.region_aggregates(_labelled(spark, sf), op.hot_groups(_latest(spark, sf), rows=10)).select(
+    """The same result with every group above a thousandth of all rows taken as hot.
+
+    That is at most a thousand groups (or a tenth of a tiny table) to broadcast.
+    """
+    observed = ad.observations(spark, sf)
+    limit = max(10, observed.count() // 1000)
+    return op.region_aggregates(_labelled(spark, sf), op.hot_groups(_latest(spark, sf), rows=limit)).select(
         *REGION_COLUMNS
     )
 
