@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from fieldgauge.catalogue import ORACLE, QUERIES
 from fieldgauge.schemas import TRANSFORMED_SCHEMA
 
 DATA = Path("/root/testdata/sf0.001")
@@ -21,7 +22,9 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 def test_entry_layout(spark):
@@ -30,10 +33,10 @@ def test_entry_layout(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    df = entry_module.queries()[name](spark, str(DATA))
-    result = duck.execute(entry_module.oracle_sql()[name])
+    df = QUERIES[name](spark, str(DATA))
+    result = duck.execute(ORACLE[name])
     duck_types = {column[0]: str(column[1]) for column in result.description}
     columns = sorted(df.columns)
     assert columns == sorted(duck_types)
