@@ -28,9 +28,11 @@ WINDOW = 20
 _LEFT = np.uint64(0xD6E8FEB86659FD93)
 _RIGHT = np.uint64(0xA0761D6478BD642F)
 _ROUND = 0xE7037ED1A0B428DB
-_PLACE_BITS = 40
-_TAGS = 1 << 20
-_COUNT = 1 << 16
+_LEVEL_BITS = 40
+# A place holds a text's tag, the first window's start (32 bits) and the windows less one.
+_COUNT_BITS = 12
+_TAG_SHIFT = 32 + _COUNT_BITS
+_TAGS = 1 << 18
 
 _ANCHORS = T.StructType(
     [
@@ -133,7 +135,7 @@ def window_anchors(symbols: np.ndarray, rows: np.ndarray, width: int):
             pairs = mix(symbols[:-1] * _LEFT + mix(symbols[1:] + _RIGHT))
             least = _least(pairs, low[~going], high[~going] - 1)
             anchor[live[~going]] = pairs[least]
-            where[live[~going]] = least + (number << _PLACE_BITS)
+            where[live[~going]] = least + (number << _LEVEL_BITS)
         if after:
             symbols, first = after[:2]
             live, low, high = live[going], after[2][going], after[3][going]
@@ -141,39 +143,61 @@ def window_anchors(symbols: np.ndarray, rows: np.ndarray, width: int):
 
 
 def _anchor_rows(width: int):
+    """Rows of an anchor's place with the hashes of its windows.
+
+    Of rows with the same windows in one batch, the earliest goes on in full. The others
+    repeat it for certain and go on without hashes, under a key that spreads them; so a
+    passage that very many documents share arrives about once per batch.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in chunks(whole, "text"):
-                words = split_words(batch.column("text"))
-                if not len(words.starts):
-                    continue
-                symbols = words.hashes()
-                at, anchor, where = window_anchors(symbols.copy(), words.rows, width)
-                if not len(at):
-                    continue
-                windows = span_hashes(symbols, at, at + width)
-                row = words.row_of_word()[at]
-                new = np.ones(len(at), bool)
-                new[1:] = (where[1:] != where[:-1]) | (row[1:] != row[:-1])
-                begins = np.flatnonzero(new)
-                offsets = np.append(begins, len(at)).astype(np.int32) * 8
-                row = row[begins]
-                tag = batch.column("tag").to_numpy(zero_copy_only=False)[row]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(anchor[begins].view(np.int64)),
-                        batch.column("doc").take(pa.array(row)),
-                        pa.array((tag << _PLACE_BITS) + at[begins] - words.rows[row]),
-                        pa.Array.from_buffers(
-                            pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(windows)]
-                        ),
-                    ],
-                    names=_ANCHORS.names,
-                )
+            parts = [found for batch in chunks(whole, "text") if (found := _anchors_of(batch, width))]
+            if not parts:
+                continue
+            anchor, doc, place, windows, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+            ends = np.cumsum(counts)
+            content = mix(anchor ^ span_hashes(windows, ends - counts, ends))
+            order = np.lexsort((place, doc, content))
+            head = np.ones(len(order), bool)
+            head[1:] = content[order[1:]] != content[order[:-1]]
+            earliest = order[head][np.cumsum(head) - 1]
+            again = np.zeros(len(order), bool)
+            again[order] = (doc[order] != doc[earliest]) | (place[order] != place[earliest])
+            windows = windows[np.repeat(~again, counts)]
+            anchor = np.where(again, mix(content + mix(doc.view(np.uint64)) + place.view(np.uint64)), anchor)
+            offsets = np.append(0, np.cumsum(np.where(again, 0, counts * 8))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(anchor.view(np.int64)),
+                    pa.array(doc),
+                    pa.array(place),
+                    pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(offsets), pa.py_buffer(windows)]),
+                ],
+                names=_ANCHORS.names,
+            )
 
     return run
 
 
+def _anchors_of(batch: pa.RecordBatch, width: int):
+    words = split_words(batch.column("text"))
+    symbols = words.hashes()
+    at, anchor, where = window_anchors(symbols.copy(), words.rows, width) if len(symbols) else ([], [], [])
+    if not len(at):
+        return None
+    row = words.row_of_word()[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (where[1:] != where[:-1]) | (row[1:] != row[:-1])
+    begins = np.flatnonzero(new)
+    counts = np.diff(np.append(begins, len(at)))
+    row = row[begins]
+    tag = batch.column("tag").to_numpy(zero_copy_only=False)[row]
+    doc = batch.column("doc").to_numpy(zero_copy_only=False)[row]
+    place = (tag << _TAG_SHIFT) + ((at[begins] - words.rows[row]) << _COUNT_BITS) + counts - 1
+    return anchor[begins], doc, place, span_hashes(symbols, at, at + width), counts
+
+
 def _binary_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The 64-bit integers in a column of byte strings, end to end, and how many each row has."""
     column = column.cast(pa.large_binary())
@@ -194,6 +218,12 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         doc = batch.column("doc").to_numpy(zero_copy_only=False)
         place = batch.column("place").to_numpy(zero_copy_only=False)
+        windows, counts = _binary_values(batch.column("windows"))
+        known = counts == 0
+        yield _repeat_rows(doc[known], place[known] >> _TAG_SHIFT, place[known])
+        anchor, doc, place, counts = anchor[~known], doc[~known], place[~known], counts[~known]
+        if not len(anchor):
+            continue
         new = np.ones(len(anchor), bool)
         new[1:] = anchor[1:] != anchor[:-1]
         goes_on = kept is not None and kept[0] == anchor[0]
@@ -201,13 +231,12 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone[:-1] &= new[1:]
         alone[0] &= not goes_on
         alone[-1] = False
-        windows, counts = _binary_values(batch.column("windows"))
         windows = windows[np.repeat(~alone, counts)]
         use = np.flatnonzero(~alone)
         counts, group = counts[use], (np.cumsum(new) - 1)[use]
         row = np.repeat(np.arange(len(use)), counts)
         offset = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        group, doc, place = group[row], doc[use][row], place[use][row] + offset
+        group, doc, place = group[row], doc[use][row], (place[use][row] >> _COUNT_BITS) + offset
         before = 0
         if goes_on:
             before = len(kept[1])
@@ -230,22 +259,22 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = repeated.copy()
         ends[:-1] &= ~repeated[1:] | (row[1:] != row[:-1])
         begins, ends = np.flatnonzero(begins), np.flatnonzero(ends)
-        start = place[begins] & ((1 << _PLACE_BITS) - 1)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(doc[begins]),
-                pa.array(place[begins] >> _PLACE_BITS),
-                pa.array(start * _COUNT + ends - begins),
-            ],
-            names=_REPEATS.names,
-        )
+        runs = (place[begins] << _COUNT_BITS) + ends - begins
+        yield _repeat_rows(doc[begins], runs >> _TAG_SHIFT, runs)
+
+
+def _repeat_rows(doc, tag, place) -> pa.RecordBatch:
+    repeat = place & ((1 << _TAG_SHIFT) - 1)
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(repeat)], names=_REPEATS.names)
 
 
 def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WINDOW) -> DataFrame:
-    """Windows whose words also start earlier, as (doc, tag, repeat): start * 2**16 + windows - 1.
+    """Windows whose words also start earlier, as (doc, tag, repeat): start * 2**12 + windows - 1.
 
     ``tag`` tells apart different texts under one id.
     """
+    if not 1 <= width <= 1 << _COUNT_BITS:
+        raise ValueError(f"width must be between 1 and {1 << _COUNT_BITS}")
     found = _keyed(docs, id_column, text).select("doc", "tag", F.col(text).alias("text"))
     anchors = found.mapInArrow(_anchor_rows(width), _ANCHORS)
     return (
@@ -273,9 +302,9 @@ def _cut(width: int, one_space: bool, position: int, names: list[str]):
                 repeats = batch.column("repeats")
                 packed = repeats.flatten().to_numpy(zero_copy_only=False)
                 row = np.repeat(np.arange(len(repeats)), np.diff(repeats.offsets.to_numpy()))
-                start = words.rows[row] + packed // _COUNT
+                start = words.rows[row] + (packed >> _COUNT_BITS)
                 np.add.at(removed, start, 1)
-                np.add.at(removed, start + packed % _COUNT + width, -1)
+                np.add.at(removed, start + (packed & ((1 << _COUNT_BITS) - 1)) + width, -1)
                 gone = np.cumsum(removed[:-1]) > 0
                 kept = np.flatnonzero(~gone)
                 n_gone = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.rows])
