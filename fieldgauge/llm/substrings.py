@@ -33,6 +33,8 @@ _LEVEL_BITS = 40
 _COUNT_BITS = 12
 _TAG_SHIFT = 32 + _COUNT_BITS
 _TAGS = 1 << 18
+# With the anchor's 64 bits, windows are compared by 120 bits; one byte less to shuffle for every word.
+_HASH_BYTES = 7
 
 _ANCHORS = T.StructType(
     [
@@ -80,9 +82,9 @@ def _name_pairs(symbols, first, low, high, number):
 
 
 def rounds_for(width: int) -> int:
-    """Rounds of pair naming after which a window still decides some four symbols."""
+    """Rounds of pair naming after which a window still decides some eight symbols."""
     left, rounds = width - 2.0, 0
-    while (left - 1) * 0.75 >= 4:
+    while (left - 1) * 0.75 >= 8:
         left, rounds = (left - 1) * 0.75, rounds + 1
     return rounds
 
@@ -164,9 +166,9 @@ def _anchor_rows(width: int):
             earliest = order[head][np.cumsum(head) - 1]
             again = np.zeros(len(order), bool)
             again[order] = (doc[order] != doc[earliest]) | (place[order] != place[earliest])
-            windows = windows[np.repeat(~again, counts)]
+            windows = windows[np.repeat(~again, counts)].view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES].ravel()
             anchor = np.where(again, mix(content + mix(doc.view(np.uint64)) + place.view(np.uint64)), anchor)
-            offsets = np.append(0, np.cumsum(np.where(again, 0, counts * 8))).astype(np.int32)
+            offsets = np.append(0, np.cumsum(np.where(again, 0, counts * _HASH_BYTES))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(anchor.view(np.int64)),
@@ -199,11 +201,14 @@ def _anchors_of(batch: pa.RecordBatch, width: int):
 
 
 def _binary_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit integers in a column of byte strings, end to end, and how many each row has."""
+    """The window hashes in a column of byte strings, end to end, and how many each row has."""
     column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(np.uint64), np.diff(offsets) // 8
+    packed = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].reshape(-1, _HASH_BYTES)
+    values = np.zeros((len(packed), 8), np.uint8)
+    values[:, :_HASH_BYTES] = packed
+    return values.view(np.uint64).ravel(), np.diff(offsets) // _HASH_BYTES
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
