@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldgauge.llm.simhash import near_duplicates
 from fieldgauge.llm.substrings import remove_repeats
 
 
@@ -12,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, one_space=True).select(
@@ -20,6 +25,7 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash_dedup": simhash_dedup,
     "op4_substring_dedup": substring_dedup,
 }
 
