@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldgauge.llm.html_text import extract_text
+from fieldgauge.llm.mixing import mix
 from fieldgauge.llm.simhash import near_duplicates
 from fieldgauge.llm.substrings import remove_repeats
+from fieldgauge.llm.token_counts import encoded_lengths, length_histogram
+from fieldgauge.llm.warc import build_derivatives, responses_of_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram(encoded_lengths(_table(spark, sf_dir, "documents")))
+
+
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -24,9 +32,25 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"))
+
+
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
+def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_derivatives(responses_of_pages(_table(spark, sf_dir, "pages")))
+
+
 QUERIES = {
+    "op1_token_counts": token_counts,
     "op2_simhash_dedup": simhash_dedup,
     "op4_substring_dedup": substring_dedup,
+    "op5_source_mixing": source_mixing,
+    "op7_html_extraction": html_extraction,
+    "op8_warc_derivatives": warc_derivatives,
 }
 
 ORACLE: dict[str, str] = {}
