@@ -10,6 +10,7 @@ from fieldgauge.llm.mixing import mix
 from fieldgauge.llm.simhash import near_duplicates
 from fieldgauge.llm.substrings import remove_repeats
 from fieldgauge.llm.token_counts import encoded_lengths, length_histogram
+from fieldgauge.llm.toxicity import score, train
 from fieldgauge.llm.warc import build_derivatives, responses_of_pages
 
 
@@ -44,6 +45,11 @@ def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_derivatives(responses_of_pages(_table(spark, sf_dir, "pages")))
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score(docs, train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_token_counts": token_counts,
     "op2_simhash_dedup": simhash_dedup,
@@ -51,6 +57,7 @@ QUERIES = {
     "op5_source_mixing": source_mixing,
     "op7_html_extraction": html_extraction,
     "op8_warc_derivatives": warc_derivatives,
+    "op9_toxicity": toxicity,
 }
 
 ORACLE: dict[str, str] = {}
