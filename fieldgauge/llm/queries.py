@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldgauge.llm.decontamination import contamination
 from fieldgauge.llm.html_text import extract_text
+from fieldgauge.llm.merkle import fingerprints
 from fieldgauge.llm.mixing import mix
 from fieldgauge.llm.simhash import near_duplicates
 from fieldgauge.llm.substrings import remove_repeats
@@ -50,11 +52,21 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, _table(spark, sf_dir, "labels")))
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": token_counts,
     "op2_simhash_dedup": simhash_dedup,
+    "op3_benchmark_decontamination": benchmark_decontamination,
     "op4_substring_dedup": substring_dedup,
     "op5_source_mixing": source_mixing,
+    "op6_merkle_fingerprints": merkle_fingerprints,
     "op7_html_extraction": html_extraction,
     "op8_warc_derivatives": warc_derivatives,
     "op9_toxicity": toxicity,
