@@ -121,3 +121,33 @@ def mix(
         .select(*out, "taken")
     )
     return taken.unionByName(laid.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken")))
+
+
+def mixed(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+    """The documents with all their columns, and size, source_size, target and taken of ``mix``.
+
+    Columns of those names are replaced. Rows equal in id, source and size are alike in
+    what is taken of them together; each gets its share, rounded down, and the first ones
+    the rest.
+    """
+    parts = ["size", "source_size", "target", "taken"]
+    names = [c for c in docs.columns if c not in parts]
+    keys = ["_id", "_source", "_size"]
+    found = mix(docs, id_column, text, source, **settings).groupBy(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "source_size", "target"
+    )
+    found = found.agg(F.sum("taken").alias("_taken"), F.count("*").alias("_rows"))
+    keyed = docs.select(
+        *[F.col(f"`{c}`") for c in names],
+        F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+    )
+    same = (
+        keyed[id_column].eqNullSafe(found["_id"])
+        & keyed[source].eqNullSafe(found["_source"])
+        & (keyed["size"] == found["_size"])
+    )
+    joined = keyed.join(found, same)
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    share = F.floor(F.col("_taken") / F.col("_rows"))
+    taken = share + F.when(number <= F.col("_taken") - share * F.col("_rows"), 1).otherwise(0)
+    return joined.withColumn("taken", taken.cast("long")).select(*[F.col(f"`{c}`") for c in names], *parts)

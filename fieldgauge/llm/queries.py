@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgauge.llm.decontamination import contamination
 from fieldgauge.llm.html_text import extract_text
+from fieldgauge.llm.licences import scan
 from fieldgauge.llm.merkle import fingerprints
 from fieldgauge.llm.mixing import mix
 from fieldgauge.llm.simhash import near_duplicates
@@ -60,6 +62,10 @@ def merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": token_counts,
     "op2_simhash_dedup": simhash_dedup,
@@ -70,6 +76,8 @@ QUERIES = {
     "op7_html_extraction": html_extraction,
     "op8_warc_derivatives": warc_derivatives,
     "op9_toxicity": toxicity,
+    "op10_licence_scan": licence_scan,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}
