@@ -56,8 +56,9 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "event_id as request_id",
         f"{DAY} as day",
-        "case event_type when 'error' then 500 when 'signup' then 429 when 'view' then 401 else 200 end as http_status",
-        "round(value * 20D, 2) as latency_ms",
+        "case event_type when 'error' then if(event_id % 2 = 0, 500, 404) when 'signup' then 429 when 'view' then 401 "
+        "else element_at(array(200, 201, 204, 302), cast(event_id % 4 + 1 as int)) end as http_status",
+        "value * 20D / 3D as latency_ms",
         "user_id % 100 as rate_limit_remaining",
         "100L as rate_limit_limit",
     )

@@ -103,6 +103,17 @@ def required_fields(spark: SparkSession, sf: str) -> DataFrame:
     return sources.load_observations(spark, landed, schema=WITH_ID)
 
 
+@query
+def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that loading leaves out: no source, or a day that is none."""
+    landed = scratch_path(spark, "landed") + "/raw"
+    rows = ad.observations(spark, sf).withColumn(
+        "dt", F.when(F.col("event_id") % 5 == 0, "").when(F.col("event_id") % 5 == 1, "2024-02-30").otherwise(F.col("dt"))
+    )
+    rows.withColumn("source", F.when(F.col("precipitation").isNotNull(), F.col("source"))).write.parquet(landed)
+    return sources.load_observations(spark, landed, schema=WITH_ID, rejects=True).select("event_id", "reason")
+
+
 @query
 def dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
     return _latest(spark, sf).select(*RAW)
@@ -113,21 +124,7 @@ REGION_COLUMNS = ["dt", "sensor_id", "region", "region_avg_temp", "region_total_
 
 @query
 def region_aggregates(spark: SparkSession, sf: str) -> DataFrame:
-    hot = op.hot_groups(ad.observations(spark, sf))
-    return op.region_aggregates(_labelled(spark, sf), hot).select(*REGION_COLUMNS)
-
-
-@query
-def region_aggregates_hot(spark: SparkSession, sf: str) -> DataFrame:
-    """The same result with every group above a thousandth of all rows taken as hot.
-
-    That is at most a thousand groups (or a tenth of a tiny table) to broadcast.
-    """
-    observed = ad.observations(spark, sf)
-    limit = max(10, observed.count() // 1000)
-    return op.region_aggregates(_labelled(spark, sf), op.hot_groups(_latest(spark, sf), rows=limit)).select(
-        *REGION_COLUMNS
-    )
+    return op.region_aggregates(_labelled(spark, sf)).select(*REGION_COLUMNS)
 
 
 @query
@@ -202,12 +199,22 @@ def chunk_ranges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def assign_zone(spark: SparkSession, sf: str) -> DataFrame:
-    placed = ad.table(spark, sf, "customer").select(
-        "c_custkey",
-        (F.lit(52.25) + (F.col("c_custkey") % 560).cast("double") / 1000.0).alias("latitude"),
-        (F.lit(13.125) + (F.col("c_custkey") % 570).cast("double") / 1000.0).alias("longitude"),
-    )
-    return plans.assign_zone(placed, ad.CENTRE_LATITUDE, ad.CENTRE_LONGITUDE, 5)
+    """Sensors of grids of several sides, found again in their zones; and points off the grid."""
+    customers = ad.table(spark, sf, "customer").select("c_custkey")
+    found = None
+    for side in (1, 3, 5, 10, 16, 40):
+        ordinal = F.col("c_custkey") % (side * side) + 1
+        placed = customers.select(
+            "c_custkey",
+            F.lit(side).alias("side"),
+            fx.grid_latitude(ordinal, F.lit(side), ad.CENTRE_LATITUDE).alias("latitude"),
+            fx.grid_longitude(ordinal, F.lit(side), ad.CENTRE_LONGITUDE).alias("longitude"),
+        )
+        outside = placed.withColumn("side", -F.col("side")).withColumn("latitude", F.col("latitude") + 1.0)
+        zoned = plans.assign_zone(placed.unionByName(outside), ad.CENTRE_LATITUDE, ad.CENTRE_LONGITUDE, side)
+        zoned = zoned.select("c_custkey", "side", "zone")
+        found = zoned if found is None else found.unionByName(zoned)
+    return found
 
 
 @query
@@ -318,8 +325,8 @@ def overwrite_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def append_union(spark: SparkSession, sf: str) -> DataFrame:
     observed = ad.observations(spark, sf)
-    early = plans.rows_between(observed, ad.FIRST_DAY, "2024-01-15")
-    late = plans.rows_between(observed, "2024-01-16", ad.LAST_DAY)
+    early = observed.where(F.col("dt") <= "2024-01-15")
+    late = observed.where(~F.coalesce(F.col("dt") <= "2024-01-15", F.lit(False)))
     return early.unionByName(late)
 
 
@@ -398,7 +405,9 @@ def daily_load(spark: SparkSession, sf: str) -> DataFrame:
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "runs") + "/log"
     latest = _labelled(spark, sf)
-    plan = plans.collection_plan(ad.sensors(ad.observations(spark, sf)), FIRST, LAST)
+    silent = spark.range(1).select(F.lit("SENSOR_SILENT").alias("sensor_id"), F.lit("ZONE_0_0").alias("region"))
+    sensors = ad.sensors(ad.observations(spark, sf)).unionByName(silent)
+    plan = plans.collection_plan(sensors, FIRST, LAST)
     summary = op.run_summary(
         latest,
         op.missing_observations(plan, latest),
@@ -406,6 +415,8 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
         ad.LAST_DAY,
         "extract_observations",
         updated_at=F.lit("2024-01-31T03:00:00"),
+        planned=sensors,
+        received=ad.observations(spark, sf),
     )
     sinks.append_run_summary(summary, path)
     return spark.read.schema(RUN_SUMMARY_SCHEMA).json(path)
@@ -436,7 +447,8 @@ def failure_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def latency_percentiles(spark: SparkSession, sf: str) -> DataFrame:
-    return op.latency_percentiles(ad.request_log(spark, sf))
+    found = op.latency_percentiles(ad.request_log(spark, sf))
+    return found.select("day", "checks", *[F.round(f"p{p}", 6).alias(f"p{p}") for p in (50, 95, 99)])
 
 
 @query

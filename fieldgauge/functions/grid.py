@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import GRID_SPAN_DEGREES
 
+ROUNDING = 0.00005 + 1e-9
+
 
 def _col(value: Column | str | float) -> Column:
     if isinstance(value, Column):
@@ -64,12 +66,13 @@ def zone_of_point(
 ) -> Column:
     """Zone holding a coordinate; null outside the grid.
 
-    Each cell holds its lower edges and not its upper ones.
+    Each cell holds its lower edges and not its upper ones. Grid coordinates are
+    rounded, so half a unit of their last digit is allowed below an edge.
     """
     side = _col(side)
     step = F.lit(float(GRID_SPAN_DEGREES)) / side
     half = GRID_SPAN_DEGREES / 2
-    row = F.floor((_col(latitude) - F.lit(centre_latitude - half)) / step)
-    column = F.floor((_col(longitude) - F.lit(centre_longitude - half)) / step)
+    row = F.floor((_col(latitude) - F.lit(centre_latitude - half) + ROUNDING) / step)
+    column = F.floor((_col(longitude) - F.lit(centre_longitude - half) + ROUNDING) / step)
     inside = (row >= 0) & (row < side) & (column >= 0) & (column < side)
     return F.when(inside, zone_label(row, column))

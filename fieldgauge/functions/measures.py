@@ -74,6 +74,7 @@ def quality_score(complete: str = COMPLETE, avg: str = "temperature_avg") -> Col
     )
 
 
-def default_fill(value: str, default: str) -> Column:
+def default_fill(value: Column | str, default: str) -> Column:
     """``default`` where the text is null or empty."""
-    return F.expr(f"coalesce(nullif({value}, ''), '{default}')")
+    text = F.col(value) if isinstance(value, str) else value
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit(default))

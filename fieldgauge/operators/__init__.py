@@ -13,7 +13,7 @@ from .maintenance import (
 )
 from .pages import page_chain_audit
 from .quality import quality_metrics, run_summary
-from .regions import hot_groups, region_aggregates
+from .regions import region_aggregates
 from .requests import request_metrics, with_request_flags
 from .transform import classified, transform
 
@@ -23,7 +23,6 @@ __all__ = [
     "failure_alerts",
     "health_daily_summary",
     "health_results",
-    "hot_groups",
     "latency_percentiles",
     "latest_per_key",
     "live_rows",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,9 @@ def missing_in_range(sensors: DataFrame, observed: DataFrame, start: date, end:
     at most one entry for each day of the range and combined before the shuffle,
     and the gaps are listed next to each sensor.
     """
-    wanted = [(start + timedelta(days=i)).isoformat() for i in range((end - start).days + 1)]
-    days = F.array(*[F.lit(d) for d in wanted]).cast("array<string>")
+    days = F.transform(F.sequence(F.lit(start), F.lit(end)), lambda d: d.cast("string"))
+    if start > end:
+        days = F.array().cast("array<string>")
     seen = (
         observed.where(F.col("dt").between(start.isoformat(), end.isoformat()))
         .groupBy("sensor_id")

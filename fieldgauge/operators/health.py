@@ -68,14 +68,14 @@ def latency_percentiles(
 ) -> DataFrame:
     """Exact interpolated percentiles of latency, one ``p<percent>`` column each.
 
-    Latencies count in hundredths of a millisecond, as checks record them. Rows
-    are first counted per distinct latency (combined before the shuffle), so a hot
-    group shrinks to its distinct latencies before it meets in one task, and a
-    running count over those finds the wanted ranks without holding them.
+    Rows are first counted per distinct latency (combined before the shuffle), and
+    a running count over those finds the wanted ranks without holding them. A
+    group's distinct latencies are sorted in one task, spilling where they must.
+    Nothing is rounded.
     """
     counts = (
         df.where(F.col(latency).isNotNull())
-        .groupBy(*by, F.round(latency, 2).alias("_value"))
+        .groupBy(*by, F.col(latency).alias("_value"))
         .agg(F.count("*").alias("_n"))
     )
     group = Window.partitionBy(*by)
@@ -94,6 +94,6 @@ def latency_percentiles(
         lower = F.floor(scaled / 100)
         share = F.max(scaled % 100) / 100
         low, high = value_at(lower), value_at(F.ceil(scaled / 100))
-        return F.round(low + (high - low) * share, 4).alias(f"p{percent}")
+        return (low + (high - low) * share).alias(f"p{percent}")
 
     return ranked.groupBy(*by).agg(F.max("_total").alias("checks"), *[percentile(p) for p in percents])

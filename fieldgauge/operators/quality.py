@@ -37,17 +37,23 @@ def run_summary(
     execution_id: str = "unknown",
     updated_at: Column | None = None,
     status: str = "success",
+    planned: DataFrame | None = None,
+    received: DataFrame | None = None,
 ) -> DataFrame:
     """One record describing a run over transformed observations.
 
-    ``missing`` holds the planned sensor-days that never arrived.
+    ``missing`` holds the planned sensor-days that never arrived, ``planned`` the
+    sensors of the plan and ``received`` the rows before deduplication; without
+    the last two, sensors and rows are those of ``df``.
     """
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") if updated_at is None else updated_at
     total, complete = F.count("*"), F.count_if("is_complete")
     failed = missing.agg(F.count("*")).scalar()
+    sensors = F.countDistinct("sensor_id") if planned is None else planned.agg(F.count("*")).scalar()
+    rows = total if received is None else received.agg(F.count("*")).scalar()
     return df.agg(
-        F.countDistinct("sensor_id").alias("num_sensors"),
-        total.alias("rows_processed"),
+        sensors.alias("num_sensors"),
+        rows.alias("rows_processed"),
         completeness_rate(complete, total).alias("data_quality_rate"),
     ).select(
         F.lit(end_date).alias("last_processed_date"),

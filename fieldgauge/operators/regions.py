@@ -2,58 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REGION_KEYS = ("region", "dt")
-HOT_GROUP_ROWS = 2_000_000
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str] = REGION_KEYS, rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Key values that more than ``rows`` rows share.
-
-    Reads the key columns only and combines before the shuffle. The result has
-    fewer than ``df rows / rows`` rows, which bounds what a broadcast of it takes:
-    at 10^12 rows and the default, at most 500,000 short keys.
-    """
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows).select(*keys)
-
 
-def region_aggregates(df: DataFrame, hot: DataFrame | None = None, spread: str = "sensor_id") -> DataFrame:
+def region_aggregates(df: DataFrame) -> DataFrame:
     """Add ``region_avg_temp`` and ``region_total_precipitation`` per region and day.
 
     Expects one row per sensor and day. Nulls are skipped; a group without any
-    value gets null. Groups of ordinary size use a window. Groups listed in ``hot``
-    (default: :func:`hot_groups` of ``df``) never meet in one task: their totals
-    come from a map-side combined aggregation and are broadcast back, and their
-    rows are spread over the shuffle by ``spread``. When nothing is hot, adaptive
-    execution drops that branch and the plan is the plain window.
-
-    Pass ``hot`` computed from the rows before deduplication to read only the two
-    key columns of the source for it; a superset of the hot groups is as exact.
+    value gets null, and a null region or day forms a group. Totals are combined
+    before their shuffle and joined back without a hint: adaptive execution
+    broadcasts them when they turn out small, and otherwise splits a hot
+    region-day over several tasks of the join. Both sides read the same rows, so
+    their shuffle is done once; filter days before this operator, as a filter
+    above it reaches one side only.
     """
-    hot = hot_groups(df) if hot is None else hot
-    hot = hot.select(F.col("region").alias("_hot_region"), F.col("dt").alias("_hot_dt"))
-    same_group = F.col("region").eqNullSafe(F.col("_hot_region")) & (F.col("dt") == F.col("_hot_dt"))
-    totals = (
-        df.join(F.broadcast(hot), same_group, "left_semi")
-        .groupBy(F.col("region").alias("_hot_region"), F.col("dt").alias("_hot_dt"))
-        .agg(
-            F.avg("temperature_avg").alias("_hot_avg"),
-            F.sum("precipitation").alias("_hot_sum"),
-            F.lit(True).alias("_is_hot"),
-        )
-    )
-    rows = df.join(F.broadcast(totals), same_group, "left")
-    window = Window.partitionBy("region", "dt", F.when(F.col("_is_hot"), F.xxhash64(spread)))
-    return rows.select(
-        *df.columns,
-        F.when(F.col("_is_hot"), F.col("_hot_avg"))
-        .otherwise(F.avg("temperature_avg").over(window))
-        .alias("region_avg_temp"),
-        F.when(F.col("_is_hot"), F.col("_hot_sum"))
-        .otherwise(F.sum("precipitation").over(window))
-        .alias("region_total_precipitation"),
+    totals = df.groupBy(F.col("region").alias("_region"), F.col("dt").alias("_dt")).agg(
+        F.avg("temperature_avg").alias("region_avg_temp"), F.sum("precipitation").alias("region_total_precipitation")
     )
+    same_group = F.col("region").eqNullSafe(F.col("_region")) & F.col("dt").eqNullSafe(F.col("_dt"))
+    return df.join(totals, same_group, "left").drop("_region", "_dt")

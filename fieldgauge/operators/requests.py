@@ -21,16 +21,22 @@ def with_request_flags(df: DataFrame) -> DataFrame:
 
 
 def request_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Requests, errors and error rate; a request is in error unless it got HTTP 200.
+    """Requests by outcome, and the rate of errors.
 
-    The rate is 0 when there are no requests.
+    Errors are statuses of 400 and above, and requests without a status (timeouts,
+    failed connections). Those turned away by a rate limit (429) or for want of a
+    valid token (401) are repeated and counted apart. The rate is 0 when there are
+    no requests.
     """
     total = F.count("*")
-    errors = F.count_if(~F.col("http_status").eqNullSafe(200))
+    outcome = fx.response_outcome("http_status")
+    errors = F.count_if(outcome == "error")
     return df.groupBy(*by).agg(
         total.alias("request_count"),
         errors.alias("error_count"),
         F.when(total == 0, F.lit(0.0)).otherwise(errors.cast("double") / total).alias("error_rate"),
+        F.count_if(outcome == "rate_limited").alias("rate_limited_count"),
+        F.count_if(outcome == "auth").alias("auth_count"),
         F.count_if(fx.is_high_latency("latency_ms")).alias("high_latency_count"),
         F.count_if(fx.is_rate_limit_low("rate_limit_remaining", "rate_limit_limit")).alias("rate_limit_low_count"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import functions as fx
 from ..schemas import PROCESSING_VERSION, TRANSFORMED_SCHEMA
 from .dedup import latest_per_key
-from .regions import HOT_GROUP_ROWS, hot_groups, region_aggregates
+from .regions import region_aggregates
 
 
 def classified(df: DataFrame) -> DataFrame:
@@ -38,24 +38,19 @@ def transform(
     df: DataFrame,
     tie_break: Sequence[str] = (),
     processed_at: Column | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Deduplicate, derive and classify, then attach regional aggregates.
 
     Deduplication comes first: it needs raw columns only, and everything after it
     then handles fewer rows. Regional aggregates see one row per sensor and day.
     Columns beyond the observation layout, such as ``tie_break``, come last.
-
-    The day is a required field: records without one are left out, as on loading.
-    Stating that up front gives the hot-group branch the same input as the main
-    one, so both read a single deduplication shuffle.
+    The aggregates and the rows they are joined to read one deduplication shuffle.
     """
     stamp = F.current_timestamp() if processed_at is None else processed_at
-    df = df.where(F.col("dt").isNotNull())
     latest = latest_per_key(df, tie_break=tie_break)
     labelled = classified(latest).select(
         "*", stamp.alias("processed_at"), F.lit(PROCESSING_VERSION).alias("processing_version")
     )
-    full = region_aggregates(labelled, hot_groups(df, rows=hot_rows))
+    full = region_aggregates(labelled)
     extra = [c for c in df.columns if c not in TRANSFORMED_SCHEMA.names]
     return full.select(*TRANSFORMED_SCHEMA.names, *extra)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.gaps import missing_in_range
 from ..operators.quality import run_summary
-from ..schemas import RUN_SUMMARY_SCHEMA
+from ..schemas import RUN_SUMMARY_SCHEMA, TRANSFORMED_SCHEMA
+from ..session import path_exists
 from ..sinks.logs import append_checkpoint, append_run_summary, checkpoint_record
 from ..sinks.observations import upsert_days
 from ..sources.checkpoints import read_checkpoint
@@ -52,15 +53,19 @@ def run_daily(
     first, last = window.start_date, window.end_date
     if max_days:
         last = min(last, (date.fromisoformat(first) + timedelta(days=max_days - 1)).isoformat())
+    batch = rows_between(observations, first, last)
     days = upsert_days(
-        rows_between(observations, first, last),
+        batch,
         f"{root}/table",
-        f"{root}/staging/{job_name}-{first}-{last}",
+        f"{root}/staging",
         tie_break,
     )
-    if not days:
-        raise ValueError(f"no observations from {first} to {last}")
-    written = rows_between(read_table(spark, f"{root}/table"), first, last)
+    if not days and rows_between(observations, first, window.end_date).isEmpty():
+        raise ValueError(f"no observations from {first} to {window.end_date}")
+    # An empty step before later data moves on; its days are recorded as missing.
+    written = spark.createDataFrame([], TRANSFORMED_SCHEMA)
+    if path_exists(spark, f"{root}/table"):
+        written = rows_between(read_table(spark, f"{root}/table"), first, last)
     summary = run_summary(
         written,
         missing_in_range(sensors, written, date.fromisoformat(first), date.fromisoformat(last)),
@@ -69,6 +74,8 @@ def run_daily(
         job_name,
         execution_id,
         F.lit(updated_at),
+        planned=sensors,
+        received=batch,
     )
     # One row: kept as a value, so that using the result runs nothing again.
     summary = spark.createDataFrame([summary.select(*RUN_SUMMARY_SCHEMA.names).first()], RUN_SUMMARY_SCHEMA)

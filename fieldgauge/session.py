@@ -19,23 +19,30 @@ DEFAULTS = {
 
 
 MIB = 1024**2
-SHUFFLE_PARTITION_BYTES = 256 * MIB
-LARGE_INPUT_BYTES = 10 * 1024**4
+SPLIT_BYTES = (128 * MIB, 1024 * MIB)
+SHUFFLE_PARTITION_BYTES = (256 * MIB, 2048 * MIB)
+SHUFFLE_BLOCKS = 10**9
+
+# The folder of a local session without spark.checkpoint.dir, which can't be set on a running session.
+_local_scratch: dict[str, str] = {}
 
 
 def sizing(input_bytes: int) -> dict[str, str]:
     """Settings for a run that reads and shuffles about ``input_bytes``.
 
-    A shuffle partition gets a quarter of a gigabyte, so that its sort stays mostly
-    in memory; adaptive execution only merges partitions, so there must be enough
-    to begin with. Very large inputs are read in larger splits, which keeps the
-    number of map tasks, and with it of shuffle blocks, in bounds.
+    Small inputs get splits of 128 MiB and shuffle partitions of 256 MiB, so that a
+    sort stays in memory. Both grow together, without a jump, once map tasks times
+    partitions would exceed SHUFFLE_BLOCKS, up to 1 and 2 GiB; partitions of that
+    size may spill. Beyond, load in steps (``run_daily(max_days=...)``): 100 TiB at
+    once would still be five thousand million blocks.
     """
-    partitions = max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
-    split = 1024 if input_bytes > LARGE_INPUT_BYTES else 128
+    blocks = (input_bytes / SPLIT_BYTES[0]) * (input_bytes / SHUFFLE_PARTITION_BYTES[0])
+    growth = max(1.0, (blocks / SHUFFLE_BLOCKS) ** 0.5)
+    split = min(SPLIT_BYTES[1], int(SPLIT_BYTES[0] * growth))
+    partition = min(SHUFFLE_PARTITION_BYTES[1], int(SHUFFLE_PARTITION_BYTES[0] * growth))
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": f"{split}m",
+        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // partition))),
+        "spark.sql.files.maxPartitionBytes": f"{split // MIB}m",
     }
 
 
@@ -62,8 +69,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="fieldgauge-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_scratch.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="fieldgauge-")
+        _local_scratch[spark.sparkContext.applicationId] = base
     path = f"{base.rstrip('/')}/fieldgauge-{label}-{uuid.uuid4().hex}"
     file_system, jvm_path = _hadoop_path(spark, path)
     file_system.mkdirs(jvm_path)
@@ -84,3 +91,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def remove_path(spark: SparkSession, path: str) -> None:
     file_system, jvm_path = _hadoop_path(spark, path)
     file_system.delete(jvm_path, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    file_system, jvm_path = _hadoop_path(spark, source)
+    _, to = _hadoop_path(spark, target)
+    file_system.mkdirs(to.getParent())
+    if not file_system.rename(jvm_path, to):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def _children(spark: SparkSession, path: str) -> list:
+    file_system, jvm_path = _hadoop_path(spark, path)
+    return list(file_system.listStatus(jvm_path)) if file_system.exists(jvm_path) else []
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, size) of the data files in a folder; none if it doesn't exist."""
+    found = [(s.getPath().getName(), s.getLen()) for s in _children(spark, path) if s.isFile()]
+    return sorted(f for f in found if not f[0].startswith(("_", ".")))
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    return sorted(s.getPath().getName() for s in _children(spark, path) if s.isDirectory())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    file_system, jvm_path = _hadoop_path(spark, path)
+    stream = file_system.create(jvm_path, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    file_system, jvm_path = _hadoop_path(spark, path)
+    stream = file_system.open(jvm_path)
+    text = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return text

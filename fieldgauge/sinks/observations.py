@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,11 @@ from pyspark.sql import types as T
 
 from ..operators.transform import transform
 from ..schemas import OBSERVATION_SCHEMA, ROWS_PER_FILE, TRANSFORMED_SCHEMA
-from ..session import path_exists, remove_path
+from ..session import path_exists
 from ..sources.tables import read_table
+from .stages import publish, seal, snapshot
+
+ATTEMPTS = 3
 
 
 def sized_for_write(df: DataFrame, partition_cols: Sequence[str] = ("dt",)) -> DataFrame:
@@ -71,12 +75,6 @@ def _days_in(df: DataFrame) -> list[str]:
     return [row.dt for row in df.select("dt").distinct().collect()]
 
 
-def _publish(spark: SparkSession, staged: str, path: str, schema: T.StructType) -> None:
-    # Staged files hold one day each and have their final size: copied without a shuffle.
-    overwrite_days(read_table(spark, staged, schema), path, gather=False)
-    remove_path(spark, staged)
-
-
 def upsert_days(
     batch: DataFrame,
     path: str,
@@ -87,30 +85,56 @@ def upsert_days(
 
     Stored rows of the touched days join the batch before deduplication, so late
     records replace older ones and nothing already stored is lost; regional
-    aggregates are recomputed over the whole day. The result is staged first and
-    then replaces those days. If a run dies while replacing them, calling again with
-    the same ``staging`` first finishes that and then merges as usual, which changes
-    nothing already merged.
+    aggregates are recomputed over the whole day. ``staging`` is the table's one
+    folder for pending work: what an interrupted run left there is finished or
+    discarded first (see :mod:`fieldgauge.sinks.stages`), so repeating that run
+    merges its batch again and changes nothing already merged. A day that another
+    writer changes in between is merged anew. Days must be ISO days; see
+    :func:`fieldgauge.sources.rejected_observations`.
     """
     spark = batch.sparkSession
+    publish(spark, path, staging)
     extra = [f for f in batch.schema.fields if f.name not in TRANSFORMED_SCHEMA.names]
     stored_schema = T.StructType(TRANSFORMED_SCHEMA.fields + extra)
-    if path_exists(spark, f"{staging}/_SUCCESS"):
-        _publish(spark, staging, path, stored_schema)
     days = _days_in(batch)
+    odd = [day for day in days if not _is_day(day)]
+    if odd:
+        raise ValueError(f"days that are not ISO days: {odd[:5]}")
     if not days:
         return []
     raw = [*OBSERVATION_SCHEMA.names, *(f.name for f in extra)]
-    rows = batch.select(*raw)
-    if path_exists(spark, path):
-        stored = read_table(spark, path, stored_schema).where(F.col("dt").isin(days))
-        rows = rows.unionByName(stored.select(*raw))
+
+    def rows() -> DataFrame:
+        new = batch.select(*raw)
+        if path_exists(spark, path):
+            stored = read_table(spark, path, stored_schema).where(F.col("dt").isin(days))
+            new = new.unionByName(stored.select(*raw))
+        return transform(new, tie_break=tie_break)
+
     # Rows of a single day are together already, in tasks of the advisory size.
-    write_observations(transform(rows, tie_break=tie_break), staging, mode="overwrite", gather=len(days) > 1)
-    _publish(spark, staging, path, stored_schema)
+    _replace_days(spark, path, staging, days, rows, gather=len(days) > 1)
     return days
 
 
+def _is_day(text: str | None) -> bool:
+    try:
+        return text is not None and date.fromisoformat(text).isoformat() == text
+    except ValueError:
+        return False
+
+
+def _replace_days(
+    spark: SparkSession, path: str, staging: str, days: Sequence[str], rows: Callable[[], DataFrame], gather: bool
+) -> None:
+    for _ in range(ATTEMPTS):
+        base = snapshot(spark, path, days)
+        write_observations(rows(), f"{staging}/rows", mode="overwrite", gather=gather)
+        seal(spark, staging, base)
+        if publish(spark, path, staging):
+            return
+    raise RuntimeError(f"{path} kept changing while its days were replaced")
+
+
 def compact_days(
     spark: SparkSession,
     path: str,
@@ -118,8 +142,9 @@ def compact_days(
     staging: str,
     schema: T.StructType = TRANSFORMED_SCHEMA,
 ) -> None:
-    """Rewrite the given days into few files of the advisory size, by way of a stage."""
-    if not path_exists(spark, f"{staging}/_SUCCESS"):
-        rows = read_table(spark, path, schema).where(F.col("dt").isin(list(days)))
-        write_observations(rows, staging, mode="overwrite")
-    _publish(spark, staging, path, schema)
+    """Rewrite exactly the given days into few files of the advisory size, by way of a stage."""
+    publish(spark, path, staging)
+    days = [day for day in dict.fromkeys(days) if path_exists(spark, f"{path}/dt={day}")]
+    if days:
+        wanted = F.col("dt").isin(days)
+        _replace_days(spark, path, staging, days, lambda: read_table(spark, path, schema).where(wanted), gather=True)

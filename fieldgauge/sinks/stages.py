@@ -1,0 +1,57 @@
+"""Replacing day folders of a table by way of a stage that survives interruption.
+
+A stage holds finished day folders and a manifest: the files each of those days had when
+the stage was built. Publishing moves a day's old folder aside, moves the staged folder
+in, and deletes the old one; nothing is written twice. A stage found later is finished
+day by day where the table is still as the manifest says, or already half replaced by
+this very stage. A day that someone else has changed meanwhile is left as it is, and the
+caller builds it anew from the current table.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Sequence
+
+from pyspark.sql import SparkSession
+
+from ..session import list_files, list_folders, move_path, path_exists, read_text, remove_path, write_text
+
+
+def snapshot(spark: SparkSession, path: str, days: Sequence[str]) -> dict[str, list]:
+    """The files of each day, by name and size."""
+    return {day: list_files(spark, f"{path}/dt={day}") for day in days}
+
+
+def seal(spark: SparkSession, staging: str, base: dict[str, list]) -> None:
+    """Marks the stage as complete; only then is it published."""
+    write_text(spark, f"{staging}/manifest.json", json.dumps(base))
+
+
+def publish(spark: SparkSession, path: str, staging: str) -> bool:
+    """Publishes a sealed stage and removes it; False if there was none or a day had changed."""
+    if not path_exists(spark, f"{staging}/manifest.json"):
+        remove_path(spark, staging)
+        return False
+    base = json.loads(read_text(spark, f"{staging}/manifest.json"))
+    staged = set(list_folders(spark, f"{staging}/rows"))
+    done = [_publish_day(spark, path, staging, day, files, f"dt={day}" in staged) for day, files in base.items()]
+    remove_path(spark, staging)
+    return all(done)
+
+
+def _publish_day(spark: SparkSession, path: str, staging: str, day: str, files: list, is_staged: bool) -> bool:
+    old, new, stored = f"{staging}/old/dt={day}", f"{staging}/rows/dt={day}", f"{path}/dt={day}"
+    if not is_staged:
+        return True  # moved by an earlier attempt
+    if path_exists(spark, old):
+        if path_exists(spark, stored):  # written to after the old folder had gone aside
+            for name, _ in list_files(spark, old):
+                move_path(spark, f"{old}/{name}", f"{stored}/{name}")
+            return False
+    elif [list(f) for f in list_files(spark, stored)] != [list(f) for f in files]:
+        return False
+    elif path_exists(spark, stored):
+        move_path(spark, stored, old)
+    move_path(spark, new, stored)
+    return True

@@ -2,13 +2,14 @@
 
 from .checkpoints import latest_checkpoints, read_checkpoint
 from .health import read_health_history
-from .observations import drop_incomplete_records, load_observations
+from .observations import drop_incomplete_records, has_day, load_observations, rejected_observations
 from .payload import parse_daily_payload
 from .tables import discover_partitions, read_table, recent_readings, register_table
 
 __all__ = [
     "discover_partitions",
     "drop_incomplete_records",
+    "has_day",
     "latest_checkpoints",
     "load_observations",
     "parse_daily_payload",
@@ -17,4 +18,5 @@ __all__ = [
     "read_table",
     "recent_readings",
     "register_table",
+    "rejected_observations",
 ]

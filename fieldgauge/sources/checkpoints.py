@@ -10,11 +10,18 @@ from ..session import path_exists
 
 
 def latest_checkpoints(log: DataFrame) -> DataFrame:
-    """Newest record per job; combined before the shuffle."""
+    """Newest record per job, with the day of its newest success; combined before the shuffle.
+
+    Work resumes after the last day processed successfully, so a newer failure shows
+    in ``status`` but doesn't move ``last_processed_date``.
+    """
     fields = [c for c in CHECKPOINT_SCHEMA.names if c != "job_name"]
     order = F.struct("updated_at", "last_processed_date", "execution_id")
-    newest = log.groupBy("job_name").agg(F.max_by(F.struct(*fields), order).alias("_record"))
-    return newest.select("job_name", "_record.*")
+    succeeded = F.when(F.col("status") == "success", order)
+    newest = log.groupBy("job_name").agg(
+        F.max_by(F.struct(*fields), order).alias("_record"), F.max_by("last_processed_date", succeeded).alias("_day")
+    )
+    return newest.select("job_name", F.col("_day").alias("last_processed_date"), *[f"_record.{c}" for c in fields if c != "last_processed_date"])
 
 
 def read_checkpoint(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import OBSERVATION_SCHEMA
 from ..sinks.observations import upsert_days
-from ..sources.observations import drop_incomplete_records
+from ..sources.observations import drop_incomplete_records, has_day
 
 
 def incremental_stream(
@@ -21,22 +21,26 @@ def incremental_stream(
     extra: T.StructType | None = None,
     tie_break: Sequence[str] = (),
     files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Merge files landed under ``source`` since the last run, then stop.
 
     Each micro-batch is merged into the stored days it touches (see
-    :func:`fieldgauge.sinks.upsert_days`). A replayed batch finds its own stage by
-    batch id, so every batch takes effect once. State is the file log only; it
+    :func:`fieldgauge.sinks.upsert_days`), which changes nothing when a batch is
+    replayed. ``bytes_per_batch`` or ``files_per_batch`` pace a first load, which
+    otherwise takes the whole backlog at once; no file is left out. State is the file log only; it
     does not grow with the number of sensors.
     """
     schema = T.StructType(OBSERVATION_SCHEMA.fields + (extra.fields if extra else []))
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = drop_incomplete_records(reader.parquet(source))
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    rows = drop_incomplete_records(reader.parquet(source)).where(has_day())
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_days(batch, table, f"{checkpoint}/staging/{batch_id}", tie_break)
+        upsert_days(batch, table, f"{checkpoint}/staging", tie_break)
 
     return (
         rows.writeStream.foreachBatch(merge)

@@ -5,7 +5,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from fieldgauge.operators import classified, hot_groups, latest_per_key, region_aggregates, transform
+from fieldgauge.operators import classified, latest_per_key, region_aggregates, transform
 from fieldgauge.schemas import OBSERVATION_SCHEMA
 
 
@@ -40,7 +40,7 @@ def test_map_side_combine_and_day_filter_reach_the_scan(spark, readings, tmp_pat
     path = str(tmp_path / "table")
     readings({}, {"dt": "2024-01-16"}).write.partitionBy("dt").parquet(path)
     stored = spark.read.schema(OBSERVATION_SCHEMA).parquet(path).select(*OBSERVATION_SCHEMA.names)
-    plan = final_plan(transform(stored).where(F.col("dt") >= "2024-01-16"))
+    plan = final_plan(transform(stored.where(F.col("dt") >= "2024-01-16")))
     assert "partial_max" in plan
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert scans and all("PartitionFilters: [isnotnull(dt" in line for line in scans)
@@ -91,18 +91,14 @@ def brute_force(rows):
     return expected
 
 
-def test_transform_equals_brute_force_for_any_hot_limit(spark, reading):
+def test_transform_equals_brute_force(spark, reading):
     rows = make_rows(reading, 7)
-    df = spark.createDataFrame(rows, OBSERVATION_SCHEMA).repartition(5)
-    expected = brute_force(rows)
-    for limit in (0, 5, 50, 10_000):
-        result = transform(df, hot_rows=limit).collect()
-        actual = {
-            (r.dt, r.sensor_id): (r.ingestion_timestamp, r.region_avg_temp, r.region_total_precipitation)
-            for r in result
-        }
-        assert len(result) == len(actual)
-        assert actual == expected, limit
+    result = transform(spark.createDataFrame(rows, OBSERVATION_SCHEMA).repartition(5)).collect()
+    actual = {
+        (r.dt, r.sensor_id): (r.ingestion_timestamp, r.region_avg_temp, r.region_total_precipitation) for r in result
+    }
+    assert len(result) == len(actual)
+    assert actual == brute_force(rows)
 
 
 def test_nulls_in_groups(readings):
@@ -113,31 +109,40 @@ def test_nulls_in_groups(readings):
             {"sensor_id": "c", "region": "Z", "precipitation": None, "temperature_max": None},
         )
     )
-    for rows in (0, 100):
-        got = {r.sensor_id: r for r in region_aggregates(df, hot_groups(df, rows=rows)).collect()}
-        assert got["a"].region_total_precipitation == got["b"].region_total_precipitation == 1.0
-        assert got["c"].region_total_precipitation is None and got["c"].region_avg_temp is None
+    got = {r.sensor_id: r for r in region_aggregates(df).collect()}
+    assert got["a"].region_total_precipitation == got["b"].region_total_precipitation == 1.0
+    assert got["c"].region_total_precipitation is None and got["c"].region_avg_temp is None
 
 
-def test_null_region_forms_a_group(spark, readings):
-    df = classified(readings({"sensor_id": "a"}, {"sensor_id": "b"})).withColumn("region", F.lit(None).cast("string"))
-    for rows in (0, 100):
-        got = region_aggregates(df, hot_groups(df, rows=rows)).collect()
-        assert [r.region_total_precipitation for r in got] == [2.0, 2.0]
+def test_null_region_and_day_form_groups(spark, readings):
+    df = readings({"sensor_id": "a"}, {"sensor_id": "b"}).withColumn("region", F.lit(None).cast("string"))
+    assert [r.region_total_precipitation for r in region_aggregates(classified(df)).collect()] == [2.0, 2.0]
+    dayless = transform(df.withColumn("dt", F.lit(None).cast("string")))
+    assert [(r.sensor_id, r.region_total_precipitation) for r in dayless.orderBy("sensor_id").collect()] == [("a", 2.0), ("b", 2.0)]
 
 
-def test_hot_branch_disappears_when_nothing_is_hot(spark, reading, tmp_path, final_plan):
+def test_totals_share_the_deduplication_shuffle(spark, reading, tmp_path, final_plan):
     path = str(tmp_path / "rows")
     spark.createDataFrame(make_rows(reading, 3), OBSERVATION_SCHEMA).write.parquet(path)
-    df = spark.read.parquet(path)
-    cold = final_plan(transform(df, hot_rows=10_000))
-    assert "BroadcastHashJoin" not in cold and cold.count("FileScan") == 1
-    hot = final_plan(transform(df, hot_rows=50))
-    assert "BroadcastHashJoin" in hot and "ReusedExchange" in hot
-
-
-def test_hot_groups_bound(spark, reading):
-    rows = make_rows(reading, 5)
-    df = spark.createDataFrame(rows, OBSERVATION_SCHEMA)
-    for limit in (1, 20, 100):
-        assert hot_groups(df, rows=limit).count() <= len(rows) / limit
+    plan = final_plan(transform(spark.read.parquet(path)))
+    assert "ReusedExchange" in plan
+
+
+def test_hot_region_is_split_over_tasks(spark, readings, tmp_path, final_plan):
+    path = str(tmp_path / "rows")
+    hot = [{"sensor_id": f"S{i:05d}", "region": "HOT" if i % 3 else f"Z{i}"} for i in range(6000)]
+    classified(readings(*hot)).repartition(8).write.parquet(path)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        assert "skew=true" in final_plan(region_aggregates(spark.read.parquet(path)))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -46,11 +46,11 @@ def test_daily_load_resumes(spark, month, tmp_path):
 
     first = run(date(2024, 1, 4), 5).first()
     assert (first.start_date, first.end_date) == ("2024-01-01", "2024-01-04")
-    assert (first.num_sensors, first.rows_processed, first.failed_fetches) == (5, 19, 1)
+    assert (first.num_sensors, first.rows_processed, first.failed_fetches) == (5, 38, 1)
     assert first.data_quality_rate == pytest.approx(14 / 19 * 100)
     assert run(date(2024, 1, 4), 6) is None
     second = run(date(2024, 1, 8), 9).first()
-    assert (second.start_date, second.rows_processed, second.failed_fetches) == ("2024-01-05", 20, 0)
+    assert (second.start_date, second.rows_processed, second.failed_fetches) == ("2024-01-05", 40, 0)
     assert read_checkpoint(spark, f"{root}/checkpoints", "load").first().last_processed_date == "2024-01-08"
     assert spark.read.schema(RUN_SUMMARY_SCHEMA).json(f"{root}/runs").count() == 2
     assert comparable(read_table(spark, f"{root}/table")) == comparable(transform(month))
@@ -76,6 +76,21 @@ def test_history_in_steps(spark, month, tmp_path):
     assert comparable(read_table(spark, f"{root}/table")) == comparable(transform(month))
 
 
+def test_history_with_a_gap_and_a_silent_sensor(spark, readings, tmp_path):
+    root = str(tmp_path)
+    sensors = spark.createDataFrame([("a",), ("silent",)], "sensor_id string")
+    rows = readings({"sensor_id": "a", "dt": "2024-01-01"}, {"sensor_id": "a", "dt": "2024-01-09"})
+    end, steps = date(2024, 1, 9), []
+    for step in range(9):
+        stamp = f"2024-01-10T03:00:{step:02d}"
+        done = run_daily(rows, sensors, root, "load", end, end, stamp, start=date(2024, 1, 1), max_days=3)
+        if done is None:
+            break
+        steps.append(tuple(done.select("num_sensors", "rows_processed", "failed_fetches").first()))
+    assert steps == [(2, 1, 5), (2, 0, 6), (2, 1, 5)]
+    assert read_table(spark, f"{root}/table").count() == 2
+
+
 def test_stream_merges_late_files(spark, month, tmp_path):
     source, table, state = (str(tmp_path / n) for n in ("landed", "table", "state"))
 

@@ -123,3 +123,10 @@ def test_request_classes(spark):
         ("error", "failed", "unexpected_error", False, False),
         ("ok", "failed", None, False, False),
     ]
+
+
+def test_default_may_hold_a_quote(spark):
+    from fieldgauge.functions import default_fill
+
+    df = spark.createDataFrame([("",), (None,), ("x",)], "`a b` string")
+    assert [r[0] for r in df.select(default_fill(df["a b"], "it's")).collect()] == ["it's", "it's", "x"]

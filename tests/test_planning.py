@@ -71,11 +71,10 @@ def test_sensor_grid_equals_arithmetic(spark, n):
 
 
 def test_assign_zone_inverts_the_grid(spark):
-    grid = plans.sensor_dimension(spark, 52.52, 13.405, 25).select(
-        "region", (F.col("latitude") + 0.001).alias("latitude"), (F.col("longitude") + 0.001).alias("longitude")
-    )
-    zoned = plans.assign_zone(grid, 52.52, 13.405, 5)
-    assert zoned.where("zone = region").count() == 25
+    for side in (1, 3, 5, 10, 40):
+        grid = plans.sensor_dimension(spark, 52.52, 13.405, side * side)
+        zoned = plans.assign_zone(grid, 52.52, 13.405, side)
+        assert zoned.where("zone = region").count() == side * side
     outside = spark.createDataFrame([(52.0, 13.4), (52.5, 13.7), (None, 13.4)], "latitude double, longitude double")
     assert [r.zone for r in plans.assign_zone(outside, 52.52, 13.405, 5).collect()] == [None] * 3
 

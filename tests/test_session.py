@@ -6,11 +6,23 @@ from fieldgauge.session import DEFAULTS, path_exists, remove_path, scratch_path,
 
 
 def test_sizing_follows_the_input():
-    assert sizing(10**9)["spark.sql.shuffle.partitions"] == "200"
-    large = sizing(100 * 1024**4)
-    assert large == {"spark.sql.shuffle.partitions": "409600", "spark.sql.files.maxPartitionBytes": "1024m"}
-    assert sizing(1024**4) == {"spark.sql.shuffle.partitions": "4096", "spark.sql.files.maxPartitionBytes": "128m"}
-    assert not set(DEFAULTS) & set(large)
+    def sized(input_bytes):
+        found = sizing(input_bytes)
+        return int(found["spark.sql.shuffle.partitions"]), int(found["spark.sql.files.maxPartitionBytes"][:-1])
+
+    assert sized(10**9) == (200, 128)
+    sizes = [sized(2**k * 1024**3) for k in range(18)]
+    assert all(a <= b for one, two in zip(sizes, sizes[1:]) for a, b in zip(one, two))
+    assert max(split for _, split in sizes) == 1024
+    tib = 1024**4
+    partitions, split = sized(4 * tib)
+    assert partitions * (4 * tib / (split * 1024**2)) < 1.1e9
+
+
+def test_scratch_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "y")
+    assert Path(a).is_dir() and Path(a).parent == Path(b).parent
 
 
 def test_scratch_lies_in_the_shared_folder(spark):

@@ -2,8 +2,10 @@
 
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from fieldgauge.operators import transform
 from fieldgauge.schemas import OBSERVATION_SCHEMA, TRANSFORMED_SCHEMA
 from fieldgauge.sinks import compact_days, file_plan, overwrite_days, upsert_days, write_observations
 from fieldgauge.sources import discover_partitions, read_table, recent_readings, register_table
@@ -69,28 +71,95 @@ def test_upsert_merges_with_stored_rows(spark, readings, tmp_path):
     assert upsert_days(readings({}).limit(0), path, staging) == []
 
 
-def test_upsert_publishes_a_finished_stage(spark, readings, tmp_path, monkeypatch):
-    """A run that dies between staging and publishing is completed by its repeat."""
-    from fieldgauge.sinks import observations as module
+class Lost(Exception):
+    pass
 
+
+def interrupt(monkeypatch, days_done=0):
+    """From now on a run dies once it has published so many days."""
+    from fieldgauge.sinks import stages
+
+    publish_day, done = stages._publish_day, []
+
+    def die(*args):
+        if len(done) == days_done:
+            raise Lost
+        done.append(args)
+        return publish_day(*args)
+
+    monkeypatch.setattr(stages, "_publish_day", die)
+
+
+def sensors_in(spark, path):
+    return sorted((r.dt, r.sensor_id) for r in read_table(spark, path).collect())
+
+
+def test_upsert_finishes_or_discards_a_stage(spark, readings, tmp_path, monkeypatch):
+    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
+    upsert_days(readings({"sensor_id": "a"}, {"sensor_id": "a", "dt": "2024-01-16"}), path, staging)
+    batch = readings({"sensor_id": "b"}, {"sensor_id": "b", "dt": "2024-01-16"})
+    both = [(d, s) for d in ("2024-01-15", "2024-01-16") for s in "ab"]
+    with monkeypatch.context() as patch:
+        interrupt(patch, days_done=1)
+        with pytest.raises(Lost):
+            upsert_days(batch, path, staging)
+    # Another batch first finishes what was pending.
+    assert upsert_days(readings({"sensor_id": "c", "dt": "2024-01-17"}), path, staging) == ["2024-01-17"]
+    assert sensors_in(spark, path) == [*both, ("2024-01-17", "c")]
+
+
+def test_second_writer_is_not_lost(spark, readings, tmp_path, monkeypatch):
     path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
     upsert_days(readings({"sensor_id": "a"}), path, staging)
     batch = readings({"sensor_id": "b"})
+    with monkeypatch.context() as patch:
+        interrupt(patch)
+        with pytest.raises(Lost):
+            upsert_days(batch, path, staging)
+    upsert_days(readings({"sensor_id": "c"}), path, str(tmp_path / "other"))
+    upsert_days(batch, path, staging)
+    assert sensors_in(spark, path) == [("2024-01-15", s) for s in "abc"]
+
+
+def test_folder_moved_aside_comes_back(spark, readings, tmp_path, monkeypatch):
+    from fieldgauge.sinks import stages
+
+    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
+    upsert_days(readings({"sensor_id": "a"}), path, staging)
+    batch, move = readings({"sensor_id": "b"}), stages.move_path
 
-    def die(*_):
-        raise RuntimeError("lost driver")
+    def die(spark, source, target):
+        if "/rows/" in source:
+            raise Lost
+        move(spark, source, target)
 
     with monkeypatch.context() as patch:
-        patch.setattr(module, "_publish", die)
-        try:
+        patch.setattr(stages, "move_path", die)
+        with pytest.raises(Lost):
             upsert_days(batch, path, staging)
-        except RuntimeError:
-            pass
-    assert read_table(spark, path).count() == 1
-    # The stored day may be gone when the first run died while replacing it.
-    module.remove_path(spark, f"{path}/dt=2024-01-15")
-    assert upsert_days(batch, path, staging) == ["2024-01-15"]
-    assert sorted(r.sensor_id for r in read_table(spark, path).collect()) == ["a", "b"]
+    # Someone writes the day while its old folder is aside: all three stay.
+    write_observations(transform(readings({"sensor_id": "c"})), path)
+    upsert_days(batch, path, staging)
+    assert sensors_in(spark, path) == [("2024-01-15", s) for s in "abc"]
+
+
+def test_upsert_refuses_days_that_are_none(readings, tmp_path):
+    for day in ("", "2024-02-30", "15.01.2024"):
+        with pytest.raises(ValueError, match="ISO"):
+            upsert_days(readings({"dt": day}), str(tmp_path / "t"), str(tmp_path / "s"))
+
+
+def test_compaction_keeps_rows_appended_to_its_days(spark, readings, tmp_path, monkeypatch):
+    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
+    write_observations(transform(readings({"sensor_id": "a"}, {"sensor_id": "a", "dt": "2024-01-16"})), path)
+    with monkeypatch.context() as patch:
+        interrupt(patch)
+        with pytest.raises(Lost):
+            compact_days(spark, path, ["2024-01-15"], staging)
+    write_observations(transform(readings({"sensor_id": "b"}, {"sensor_id": "b", "dt": "2024-01-16"})), path)
+    compact_days(spark, path, ["2024-01-16"], staging)
+    assert len(files(path, "2024-01-16")) == 1
+    assert sensors_in(spark, path) == [(d, s) for d in ("2024-01-15", "2024-01-16") for s in "ab"]
 
 
 def test_compaction(spark, readings, tmp_path):

@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from fieldgauge.schemas import CHECKPOINT_SCHEMA, OBSERVATION_SCHEMA
 from fieldgauge.sinks import append_checkpoint, append_health_results, checkpoint_record
 from fieldgauge.operators import health_results
@@ -109,7 +111,7 @@ def test_checkpoints(spark, tmp_path):
     append_checkpoint(checkpoint_record(spark, "b", "2024-01-03", "2024-01-04T03:00:00"), path)
     assert read_checkpoint(spark, path, "a").first().asDict() == {
         "job_name": "a",
-        "last_processed_date": "2024-01-05",
+        "last_processed_date": "2024-01-01",
         "status": "failed",
         "updated_at": "2024-01-06T03:00:00",
         "execution_id": "run-2",
@@ -142,3 +144,27 @@ def test_health_history_layouts(spark, tmp_path):
     (single / "03-00-00-result.json").write_text(json.dumps({"status": "success", "latency_ms": 1.5}, indent=2))
     row = read_health_history(spark, str(tmp_path / "old"), single_document=True).first()
     assert (row.day, row.status, row.latency_ms) == ("2024-01-03", "success", 1.5)
+
+
+def test_days_that_are_none_are_rejected_with_a_reason(spark, readings, tmp_path):
+    from fieldgauge.sources import rejected_observations
+
+    days = ["2024-01-15", "", "2024-02-30", "15.01.2024", "2024-1-5"]
+    rows = readings(*[{"dt": d, "sensor_id": d} for d in days], {"sensor_id": "n"}).withColumn(
+        "dt", F.when(F.col("sensor_id") != "n", F.col("dt"))
+    )
+    got = {r.sensor_id: r.reason for r in rejected_observations(rows).collect()}
+    assert got == {**dict.fromkeys(days[1:], "invalid dt"), "n": "missing dt"}
+    path = str(tmp_path / "raw")
+    rows.write.parquet(path)
+    assert [r.dt for r in load_observations(spark, path).collect()] == days[:1]
+    assert load_observations(spark, path, rejects=True).count() == 5
+
+
+def test_tokens_with_any_white_space(spark):
+    from datetime import date
+
+    from fieldgauge.functions import resolve_date
+
+    df = spark.createDataFrame([("\tyesterday\n",), ("\r\n Today",)], "t string")
+    assert [r[0] for r in df.select(resolve_date("t", date(2024, 1, 2))).collect()] == [date(2024, 1, 1), date(2024, 1, 2)]
