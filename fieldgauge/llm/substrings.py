@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -280,7 +280,7 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     """
     if not 1 <= width <= 1 << _COUNT_BITS:
         raise ValueError(f"width must be between 1 and {1 << _COUNT_BITS}")
-    found = _keyed(docs, id_column, text).select("doc", "tag", F.col(text).alias("text"))
+    found = docs.select(*_keys(id_column, text), F.col(f"`{text}`").alias("text"))
     anchors = found.mapInArrow(_anchor_rows(width), _ANCHORS)
     return (
         anchors.repartition("anchor")
@@ -289,12 +289,11 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     )
 
 
-def _keyed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    return docs.select(
+def _keys(id_column: str, text: str) -> list[Column]:
+    return [
         F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(2**63 - 1)).alias("doc"),
         F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(_TAGS)).alias("tag"),
-        *[F.col(f"`{c}`") for c in docs.columns],
-    )
+    ]
 
 
 def _cut(width: int, one_space: bool, position: int, names: list[str]):
@@ -363,9 +362,8 @@ def remove_repeats(
         .agg(F.collect_list("repeat").alias("repeats"))
     )
     names = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    keyed = _keyed(docs.select(*[F.col(f"`{c}`") for c in names]), id_column, text)
     inner = [f"c{i}" for i in range(len(names))]
-    left = keyed.toDF("doc", "tag", *inner)
+    left = docs.select(*_keys(id_column, text), *[F.col(f"`{c}`") for c in names]).toDF("doc", "tag", *inner)
     joined = left.join(repeats, ["doc", "tag"], "left").select(
         *inner, F.coalesce("repeats", F.array().cast("array<long>")).alias("repeats")
     )
