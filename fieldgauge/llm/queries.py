@@ -79,5 +79,3 @@ QUERIES = {
     "op10_licence_scan": licence_scan,
     "pipeline": corpus_pipeline.run,
 }
-
-ORACLE: dict[str, str] = {}
