@@ -1,11 +1,14 @@
 """Derived measures, bands and quality flags of one observation row.
 
-Arguments are column names or other SQL expression texts.
+Arguments are columns or column names; a name with odd characters needs backquotes, as
+everywhere in Spark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,36 +16,39 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 HIGH, LOW, RAIN = S.MEASURES
-COMPLETE = " and ".join(f"{m} is not null" for m in S.MEASURES)
 
 
-def to_fahrenheit(celsius: str) -> Column:
-    return F.expr(f"{celsius} * 9D / 5D + 32D")
+def as_column(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value
 
 
-def temperature_range(high: str = HIGH, low: str = LOW) -> Column:
-    return F.expr(f"{high} - {low}")
+def to_fahrenheit(celsius: Column | str) -> Column:
+    return as_column(celsius) * 9.0 / 5.0 + 32.0
 
 
-def temperature_avg(high: str = HIGH, low: str = LOW) -> Column:
-    return F.expr(f"({high} + {low}) / 2D")
+def temperature_range(high: Column | str = HIGH, low: Column | str = LOW) -> Column:
+    return as_column(high) - as_column(low)
 
 
-def _bands_sql(value: str, bands: Sequence[tuple[float, str]], top: str) -> str:
-    steps = " ".join(f"when {value} < {float(edge)}D then '{label}'" for edge, label in bands)
-    return f"case {steps} else '{top}' end"
+def temperature_avg(high: Column | str = HIGH, low: Column | str = LOW) -> Column:
+    return (as_column(high) + as_column(low)) / 2.0
 
 
-def banded(value: str, bands: Sequence[tuple[float, str]], top: str) -> Column:
+def banded(value: Column | str, bands: Sequence[tuple[float, str]], top: str | None) -> Column:
     """Label of the first band whose upper edge lies above ``value``.
 
     Bands are (exclusive upper edge, label) in ascending order. A null value is
     below no edge and so gets ``top``.
     """
-    return F.expr(_bands_sql(value, bands, top))
+    value, label = as_column(value), F
+    for edge, name in bands:
+        label = label.when(value < float(edge), F.lit(name))
+    return F.lit(top) if label is F else label.otherwise(F.lit(top))
 
 
-def temperature_category(avg: str = "temperature_avg", null_label: str | None = S.TEMPERATURE_TOP_BAND) -> Column:
+def temperature_category(
+    avg: Column | str = "temperature_avg", null_label: str | None = S.TEMPERATURE_TOP_BAND
+) -> Column:
     """Temperature band of the daily average.
 
     By default a missing average is labelled as the top band, as existing
@@ -51,30 +57,33 @@ def temperature_category(avg: str = "temperature_avg", null_label: str | None =
     bands = banded(avg, S.TEMPERATURE_BANDS, S.TEMPERATURE_TOP_BAND)
     if null_label == S.TEMPERATURE_TOP_BAND:
         return bands
-    return F.when(F.expr(avg).isNull(), F.lit(null_label).cast("string")).otherwise(bands)
+    return F.when(as_column(avg).isNull(), F.lit(null_label).cast("string")).otherwise(bands)
 
 
-def precipitation_level(amount: str = RAIN) -> Column:
-    bands = _bands_sql(amount, S.PRECIPITATION_BANDS, S.PRECIPITATION_TOP_BAND)
-    return F.expr(
-        f"case when {amount} is null then '{S.PRECIPITATION_MISSING}' "
-        f"when {amount} = 0D then '{S.PRECIPITATION_ZERO}' else {bands} end"
+def precipitation_level(amount: Column | str = RAIN) -> Column:
+    amount = as_column(amount)
+    return (
+        F.when(amount.isNull(), F.lit(S.PRECIPITATION_MISSING))
+        .when(amount == 0.0, F.lit(S.PRECIPITATION_ZERO))
+        .otherwise(banded(amount, S.PRECIPITATION_BANDS, S.PRECIPITATION_TOP_BAND))
     )
 
 
 def is_complete() -> Column:
     """True when no measure is null; never null itself."""
-    return F.expr(COMPLETE)
+    return reduce(and_, [F.col(m).isNotNull() for m in S.MEASURES])
 
 
-def quality_score(complete: str = COMPLETE, avg: str = "temperature_avg") -> Column:
-    return F.expr(
-        f"case when {complete} then {S.SCORE_COMPLETE} when {avg} is not null then {S.SCORE_TEMPERATURE_ONLY} "
-        f"else {S.SCORE_NO_TEMPERATURE} end"
+def quality_score(complete: Column | str | None = None, avg: Column | str = "temperature_avg") -> Column:
+    """Score of a row; ``complete`` is the completeness of its measures unless given."""
+    complete = is_complete() if complete is None else as_column(complete)
+    return (
+        F.when(complete, F.lit(S.SCORE_COMPLETE))
+        .when(as_column(avg).isNotNull(), F.lit(S.SCORE_TEMPERATURE_ONLY))
+        .otherwise(F.lit(S.SCORE_NO_TEMPERATURE))
     )
 
 
 def default_fill(value: Column | str, default: str) -> Column:
     """``default`` where the text is null or empty."""
-    text = F.col(value) if isinstance(value, str) else value
-    return F.coalesce(F.nullif(text, F.lit("")), F.lit(default))
+    return F.coalesce(F.nullif(as_column(value), F.lit("")), F.lit(default))

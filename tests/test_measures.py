@@ -125,8 +125,17 @@ def test_request_classes(spark):
     ]
 
 
-def test_default_may_hold_a_quote(spark):
-    from fieldgauge.functions import default_fill
-
-    df = spark.createDataFrame([("",), (None,), ("x",)], "`a b` string")
-    assert [r[0] for r in df.select(default_fill(df["a b"], "it's")).collect()] == ["it's", "it's", "x"]
+def test_names_and_values_need_no_escaping(spark):
+    df = spark.createDataFrame([("", -3.0, 200), (None, None, None), ("x", 40.0, 429)], "`a b` string, `t°` double, `s-1` int")
+    found = df.select(
+        fx.default_fill(df["a b"], "it's"),
+        fx.banded(F.col("`t°`"), [(0, "it's cold")], "o'clock"),
+        fx.to_fahrenheit("`t°`"),
+        fx.response_outcome(df["s-1"]),
+        fx.failure_class("`s-1`", "`a b`"),
+    )
+    assert [tuple(r) for r in found.collect()] == [
+        ("it's", "it's cold", 26.6, "ok", None),
+        ("it's", "o'clock", None, "error", "unexpected_error"),
+        ("x", "o'clock", 104.0, "rate_limited", None),
+    ]
