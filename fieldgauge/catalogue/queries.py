@@ -15,7 +15,6 @@ from .. import operators as op
 from .. import plans, sinks, sources, streaming
 from ..schemas import (
     OBSERVATION_SCHEMA,
-    RUN_SUMMARY_SCHEMA,
     TRANSFORMED_SCHEMA,
     UNASSIGNED_REGION,
     UNKNOWN_SENSOR,
@@ -174,6 +173,13 @@ def sensor_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return plans.sensor_grid(customers, "ordinal", n, ad.CENTRE_LATITUDE, ad.CENTRE_LONGITUDE)
 
 
+@query
+def planned_sensors(spark: SparkSession, sf: str) -> DataFrame:
+    """As many sensors as there are customers."""
+    n = ad.table(spark, sf, "customer").count()
+    return plans.sensor_dimension(spark, ad.CENTRE_LATITUDE, ad.CENTRE_LONGITUDE, n)
+
+
 @query
 def collection_plan(spark: SparkSession, sf: str) -> DataFrame:
     return plans.collection_plan(ad.sensors(ad.observations(spark, sf)), FIRST, LAST)
@@ -238,14 +244,12 @@ def expected_vs_actual(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def incremental_window(spark: SparkSession, sf: str) -> DataFrame:
-    """What each region has still to load, resuming from its last rainless report."""
+    """What each region has still to load, resuming from its last rainless report before the runs began to fail."""
     observed = ad.observations(spark, sf)
-    log = observed.where(
-        F.col("precipitation").isNull() & (F.col("dt") < "2024-01-20") & ~F.col("region").startswith("ZONE_3")
-    ).select(
+    log = observed.where(F.col("precipitation").isNull() & ~F.col("region").startswith("ZONE_3")).select(
         F.col("region").alias("job_name"),
         F.col("dt").alias("last_processed_date"),
-        F.lit("success").alias("status"),
+        F.when(F.col("dt") < "2024-01-20", "success").otherwise("failed").alias("status"),
         F.col("ingestion_timestamp").alias("updated_at"),
         F.col("event_id").cast("string").alias("execution_id"),
     )
@@ -359,7 +363,9 @@ def partition_scan(spark: SparkSession, sf: str) -> DataFrame:
 def catalog_query(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "table") + "/table"
     sinks.write_observations(op.transform(ad.observations(spark, sf), tie_break=TIE).drop("event_id"), path)
-    name = f"readings_{uuid.uuid4().hex}"
+    # One name for each table folder: a later call replaces the entry of an earlier one.
+    name = f"readings_{uuid.uuid5(uuid.NAMESPACE_URL, sf).hex}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     sources.register_table(spark, name, path, TRANSFORMED_SCHEMA)
     sources.discover_partitions(spark, name)
     return sources.recent_readings(spark, name, "2024-01-20")
@@ -398,6 +404,29 @@ def daily_load(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_table(spark, f"{root}/table").drop("processed_at")
 
 
+@query
+def late_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A history in steps of ten days; the middle ten days and a few other rows arrive before the last step only."""
+    root = scratch_path(spark, "late")
+    observed = ad.observations(spark, sf)
+    late = F.col("dt").between("2024-01-11", "2024-01-20") | (F.col("event_id") % 50 == 7)
+    for step, landed in enumerate((observed.where(~late), observed.where(~late), observed)):
+        plans.run_daily(
+            landed,
+            ad.sensors(observed),
+            root,
+            "extract_observations",
+            end=LAST,
+            as_of=LAST,
+            updated_at=f"2024-01-31T0{step}:00:00",
+            start=FIRST,
+            tie_break=TIE,
+            max_days=10,
+            late_days=30,
+        )
+    return sources.read_table(spark, f"{root}/table").drop("processed_at")
+
+
 # Logs.
 
 
@@ -419,7 +448,7 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
         received=ad.observations(spark, sf),
     )
     sinks.append_run_summary(summary, path)
-    return spark.read.schema(RUN_SUMMARY_SCHEMA).json(path)
+    return sources.read_run_summaries(spark, path)
 
 
 @query
@@ -512,3 +541,13 @@ def stale_checkpoints(spark: SparkSession, sf: str) -> DataFrame:
 def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     return op.schema_drift(ad.drifted_observations(spark, sf))
 
+
+@query
+def stored_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns day by day of a table whose writer renamed one in the middle of the month."""
+    path = scratch_path(spark, "table") + "/table"
+    observed = ad.observations(spark, sf)
+    renamed = observed.withColumnRenamed("temperature_max", "temperature_2m_max")
+    sinks.write_observations(observed.where(F.col("dt") <= "2024-01-15"), path)
+    sinks.write_observations(renamed.where(F.col("dt") > "2024-01-15"), path)
+    return op.schema_drift(sources.read_merged(spark, path).withColumn("dt", fx.iso_day("dt")), by=["dt"])

@@ -1,7 +1,7 @@
 """DataFrame to DataFrame operators."""
 
 from .dedup import latest_per_key
-from .gaps import expected_vs_actual, missing_in_range, missing_observations
+from .gaps import expected_vs_actual, missing_in_range, missing_observations, not_stored
 from .health import failure_alerts, health_daily_summary, health_results, latency_percentiles
 from .maintenance import (
     live_rows,
@@ -28,6 +28,7 @@ __all__ = [
     "live_rows",
     "missing_in_range",
     "missing_observations",
+    "not_stored",
     "page_chain_audit",
     "partition_skew",
     "quality_metrics",

@@ -40,6 +40,19 @@ def missing_in_range(sensors: DataFrame, observed: DataFrame, start: date, end:
     return sensors.join(seen, "sensor_id", "left").select(F.explode(gaps).alias("dt"), "sensor_id")
 
 
+def not_stored(observations: DataFrame, stored: DataFrame) -> DataFrame:
+    """Observations whose sensor-day is not stored, or stored from an earlier record.
+
+    ``stored`` holds one row per sensor and day. A filter on the observations' days
+    reaches it through the join.
+    """
+    keys = list(OBSERVATION_KEYS)
+    known = stored.select(*keys, F.col("ingestion_timestamp").alias("_stored"))
+    joined = observations.join(known, keys, "left")
+    newer = F.col("_stored").isNull() | (F.col("ingestion_timestamp") > F.col("_stored"))
+    return joined.where(newer).select(*observations.columns)
+
+
 def expected_vs_actual(days: DataFrame, sensors: DataFrame, observed: DataFrame) -> DataFrame:
     """Expected and received sensor-days for every day of the spine.
 

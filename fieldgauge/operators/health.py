@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +12,9 @@ from pyspark.sql import functions as F
 from .. import functions as fx
 from .. import schemas as S
 
+RANGES_PER_E = 64
+LAST_RANGE = 10**6  # above the range of any number
+
 
 def health_results(df: DataFrame, job_name: str, execution_id: Column | str = "manual") -> DataFrame:
     """Health-check records from logged probes.
@@ -60,6 +65,13 @@ def failure_alerts(history: DataFrame, alert_share: float = S.FAILURE_ALERT_SHAR
     return health_daily_summary(history, alert_share).where("is_alert")
 
 
+def _value_range(value: Column) -> Column:
+    """Number of the range a value lies in: 64 for each power of e, ascending, NaN last."""
+    size = F.floor(F.least(F.log1p(F.abs(value)) * RANGES_PER_E, F.lit(LAST_RANGE - 1.0)))
+    ascending = F.when(value < 0, -size).otherwise(size)
+    return F.when(F.isnan(value), F.lit(LAST_RANGE)).otherwise(ascending)
+
+
 def latency_percentiles(
     df: DataFrame,
     by: Sequence[str] = ("day",),
@@ -69,31 +81,49 @@ def latency_percentiles(
     """Exact interpolated percentiles of latency, one ``p<percent>`` column each.
 
     Rows are first counted per distinct latency (combined before the shuffle), and
-    a running count over those finds the wanted ranks without holding them. A
-    group's distinct latencies are sorted in one task, spilling where they must.
-    Nothing is rounded.
+    those counts per range of latencies, of which a group has some thousands at most.
+    A running count over the ranges finds those that hold a wanted rank; only their
+    latencies are ordered, one range to a task. Nothing is rounded.
     """
     counts = (
         df.where(F.col(latency).isNotNull())
-        .groupBy(*by, F.col(latency).alias("_value"))
+        .groupBy(*by, F.col(latency).cast("double").alias("_value"))
         .agg(F.count("*").alias("_n"))
+        .withColumn("_range", _value_range(F.col("_value")))
     )
     group = Window.partitionBy(*by)
-    upto = group.orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.select(
-        *by, "_value", "_n", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(group).alias("_total")
+    running = F.sum("_size").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranges = (
+        counts.groupBy(*by, "_range")
+        .agg(F.sum("_n").alias("_size"))
+        .select(
+            *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
+            F.col("_range").alias("_at"),
+            (running - F.col("_size")).alias("_before"),
+            running.alias("_end"),
+            F.sum("_size").over(group).alias("_total"),
+        )
     )
 
+    def ranks(percent: int) -> tuple[Column, Column, Column]:
+        # Whole-number arithmetic keeps the rank and its fraction exact.
+        scaled = (F.col("_total") - 1) * F.lit(percent)
+        return F.floor(scaled / 100), F.ceil(scaled / 100), scaled % 100
+
+    wanted = [rank for p in percents for rank in ranks(p)[:2]]
+    holding = ranges.where(reduce(or_, [(F.col("_before") <= r) & (r < F.col("_end")) for r in wanted]))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)], F.col("_range") == F.col("_at"))
+    inside = Window.partitionBy(*by, "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.join(holding, same).withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
+
     def value_at(rank: Column) -> Column:
         here = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
         return F.max(F.when(here, F.col("_value")))
 
     def percentile(percent: int) -> Column:
-        # Whole-number arithmetic keeps the rank and its fraction exact.
-        scaled = (F.col("_total") - 1) * F.lit(percent)
-        lower = F.floor(scaled / 100)
-        share = F.max(scaled % 100) / 100
-        low, high = value_at(lower), value_at(F.ceil(scaled / 100))
-        return (low + (high - low) * share).alias(f"p{percent}")
+        lower, upper, share = ranks(percent)
+        low, high = value_at(lower), value_at(upper)
+        between = F.when(low == high, low).otherwise(low + (high - low) * (F.max(share) / 100))
+        return between.alias(f"p{percent}")
 
     return ranked.groupBy(*by).agg(F.max("_total").alias("checks"), *[percentile(p) for p in percents])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -46,14 +46,18 @@ def partition_skew(df: DataFrame, by: str = "dt", factor: float = 2.0) -> DataFr
     return counts.select(by, "row_count", ratio.alias("ratio_to_mean"), (ratio > factor).alias("is_skewed"))
 
 
-def schema_drift(df: DataFrame, expected: T.StructType = S.OBSERVATION_SCHEMA) -> DataFrame:
+def schema_drift(
+    df: DataFrame, expected: T.StructType = S.OBSERVATION_SCHEMA, by: Sequence[str] = ()
+) -> DataFrame:
     """Expected against actual columns, with how many rows carry each.
 
     ``status`` is ok, type_changed, missing or unexpected. Nothing is changed;
-    one pass counts all columns.
+    one pass counts all columns. With ``by``, such as the day of a stored table read
+    by its merged layout, rows are counted per group, next to its ``row_count``: a
+    column that a group's files lack has no value there and is ``absent``.
     """
-    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name not in by}
+    wanted = {f.name: f.dataType.simpleString() for f in expected.fields if f.name not in by}
     names = [*wanted, *(c for c in actual if c not in wanted)]
 
     def entry(name: str) -> Column:
@@ -63,17 +67,22 @@ def schema_drift(df: DataFrame, expected: T.StructType = S.OBSERVATION_SCHEMA) -
             status = "unexpected"
         else:
             status = "ok" if actual[name] == wanted[name] else "type_changed"
-        rows = F.col(name) if name in actual else F.lit(0).cast("bigint")
+        rows = F.col(f"`{name}`") if name in actual else F.lit(0).cast("bigint")
+        found = F.lit(status)
+        if by and name in actual:
+            found = F.when(rows == 0, F.lit("absent")).otherwise(found)
         return F.struct(
             F.lit(name).alias("column_name"),
             F.lit(wanted.get(name)).cast("string").alias("expected_type"),
             F.lit(actual.get(name)).cast("string").alias("actual_type"),
-            F.lit(status).alias("status"),
+            found.alias("status"),
             rows.alias("rows_with_value"),
         )
 
-    counted = df.agg(*[F.count(c).alias(c) for c in df.columns])
-    return counted.select(F.inline(F.array(*[entry(n) for n in names])))
+    total = [F.count("*").alias("row_count")] if by else []
+    counted = df.groupBy(*by).agg(*total, *[F.count(f"`{c}`").alias(c) for c in actual])
+    keys = [*by, "row_count"] if by else []
+    return counted.select(*keys, F.inline(F.array(*[entry(n) for n in names])))
 
 
 def stale_checkpoints(latest: DataFrame, as_of: Column, hours: int = S.STALE_AFTER_HOURS) -> DataFrame:

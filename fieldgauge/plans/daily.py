@@ -8,12 +8,13 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.gaps import missing_in_range
+from ..operators.gaps import missing_in_range, not_stored
 from ..operators.quality import run_summary
 from ..schemas import RUN_SUMMARY_SCHEMA, TRANSFORMED_SCHEMA
 from ..session import path_exists
 from ..sinks.logs import append_checkpoint, append_run_summary, checkpoint_record
 from ..sinks.observations import upsert_days
+from ..sinks.stages import publish
 from ..sources.checkpoints import read_checkpoint
 from ..sources.tables import read_table
 from .windows import incremental_window, rows_between
@@ -31,6 +32,7 @@ def run_daily(
     execution_id: str = "manual",
     tie_break: Sequence[str] = (),
     max_days: int | None = None,
+    late_days: int = 0,
 ) -> DataFrame | None:
     """Load the days a job has still to process; None when there are none.
 
@@ -39,6 +41,11 @@ def run_daily(
     aggregates never reach across days, so the result is the same, each step
     shuffles its own days only, and a lost driver costs one step.
 
+    ``late_days`` also looks at that many days before the window, not before
+    ``start``: what is not stored there, or newer than what is stored, is merged in,
+    also when the window is empty. So late records and sensor-days once counted as
+    missing are loaded when they arrive. Days without any are not rewritten.
+
     ``root`` holds ``table``, ``checkpoints``, ``runs`` and ``staging``. The
     checkpoint moves only after the days are published, so a failed run is simply
     repeated. Metrics are read back from the published days, a scan of a few
@@ -48,17 +55,23 @@ def run_daily(
     job = spark.range(1).select(F.lit(job_name).alias("job_name"))
     checkpoint = read_checkpoint(spark, f"{root}/checkpoints", job_name)
     window = incremental_window(job, checkpoint, end, as_of, start).first()
+    first, last = window.start_date, window.end_date
+    publish(spark, f"{root}/table", f"{root}/staging")
+    earlier = None
+    if late_days and path_exists(spark, f"{root}/table"):
+        since = (date.fromisoformat(first) - timedelta(days=late_days)).isoformat()
+        since = max(since, start.isoformat()) if start else since
+        before = (date.fromisoformat(first) - timedelta(days=1)).isoformat()
+        earlier = not_stored(rows_between(observations, since, before), read_table(spark, f"{root}/table"))
     if not window.has_work:
+        if earlier is not None:
+            upsert_days(earlier, f"{root}/table", f"{root}/staging", tie_break)
         return None
-    first, last = window.start_date, window.end_date
     if max_days:
         last = min(last, (date.fromisoformat(first) + timedelta(days=max_days - 1)).isoformat())
     batch = rows_between(observations, first, last)
     days = upsert_days(
-        batch,
-        f"{root}/table",
-        f"{root}/staging",
-        tie_break,
+        batch if earlier is None else batch.unionByName(earlier), f"{root}/table", f"{root}/staging", tie_break
     )
     if not days and rows_between(observations, first, window.end_date).isEmpty():
         raise ValueError(f"no observations from {first} to {window.end_date}")

@@ -1,10 +1,10 @@
 """Typed readers."""
 
-from .checkpoints import latest_checkpoints, read_checkpoint
+from .checkpoints import latest_checkpoints, read_checkpoint, read_run_summaries
 from .health import read_health_history
 from .observations import drop_incomplete_records, has_day, load_observations, rejected_observations
 from .payload import parse_daily_payload
-from .tables import discover_partitions, read_table, recent_readings, register_table
+from .tables import discover_partitions, read_merged, read_table, recent_readings, register_table
 
 __all__ = [
     "discover_partitions",
@@ -15,6 +15,8 @@ __all__ = [
     "parse_daily_payload",
     "read_checkpoint",
     "read_health_history",
+    "read_merged",
+    "read_run_summaries",
     "read_table",
     "recent_readings",
     "register_table",

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import CHECKPOINT_SCHEMA
+from ..schemas import CHECKPOINT_SCHEMA, RUN_SUMMARY_SCHEMA
 from ..session import path_exists
 
 
@@ -13,27 +14,46 @@ def latest_checkpoints(log: DataFrame) -> DataFrame:
     """Newest record per job, with the day of its newest success; combined before the shuffle.
 
     Work resumes after the last day processed successfully, so a newer failure shows
-    in ``status`` but doesn't move ``last_processed_date``.
+    in ``status`` but doesn't move ``last_processed_date``. Further columns are the
+    newest record's.
     """
-    fields = [c for c in CHECKPOINT_SCHEMA.names if c != "job_name"]
+    fields = [c for c in log.columns if c != "job_name"]
     order = F.struct("updated_at", "last_processed_date", "execution_id")
     succeeded = F.when(F.col("status") == "success", order)
     newest = log.groupBy("job_name").agg(
         F.max_by(F.struct(*fields), order).alias("_record"), F.max_by("last_processed_date", succeeded).alias("_day")
     )
-    return newest.select("job_name", F.col("_day").alias("last_processed_date"), *[f"_record.{c}" for c in fields if c != "last_processed_date"])
+    rest = [f"_record.{c}" for c in fields if c != "last_processed_date"]
+    return newest.select("job_name", F.col("_day").alias("last_processed_date"), *rest)
 
 
 def read_checkpoint(
-    spark: SparkSession, path: str, job_name: str | None = None, single_document: bool = False
+    spark: SparkSession,
+    path: str,
+    job_name: str | None = None,
+    single_document: bool = False,
+    schema: T.StructType = CHECKPOINT_SCHEMA,
 ) -> DataFrame:
     """Newest record of one job or of all; no rows when there is none.
 
     ``single_document`` reads files that each hold one indented JSON object.
+    ``schema`` is the layout of the records. One that lacks fields of the usual layout
+    says nothing of jobs and order, so all its documents come back as they are.
     """
+    usual = set(CHECKPOINT_SCHEMA.names) <= set(schema.names)
+    if job_name is not None and "job_name" not in schema.names:
+        raise ValueError("records without job_name can't be chosen by it")
     if not path_exists(spark, path):
-        return spark.createDataFrame([], CHECKPOINT_SCHEMA)
-    log = spark.read.schema(CHECKPOINT_SCHEMA).json(path, multiLine=single_document)
+        return spark.createDataFrame([], schema)
+    log = spark.read.schema(schema).json(path, multiLine=single_document)
     if job_name is not None:
         log = log.where(F.col("job_name") == job_name)
-    return latest_checkpoints(log)
+    return latest_checkpoints(log) if usual else log
+
+
+def read_run_summaries(spark: SparkSession, path: str, job_name: str | None = None) -> DataFrame:
+    """Records of runs with their declared layout, of one job or of all."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], RUN_SUMMARY_SCHEMA)
+    log = spark.read.schema(RUN_SUMMARY_SCHEMA).json(path)
+    return log if job_name is None else log.where(F.col("job_name") == job_name)

@@ -17,6 +17,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType = TRANSFORME
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """Stored table with every column that any of its files has; types must agree."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def register_table(
     spark: SparkSession,
     name: str,

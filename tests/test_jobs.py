@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldgauge.operators import transform
 from fieldgauge.plans import run_daily
 from fieldgauge.schemas import RUN_SUMMARY_SCHEMA
-from fieldgauge.sources import read_checkpoint, read_table
+from fieldgauge.sources import read_checkpoint, read_run_summaries, read_table
 from fieldgauge.streaming import incremental_stream
 
 
@@ -52,7 +52,9 @@ def test_daily_load_resumes(spark, month, tmp_path):
     second = run(date(2024, 1, 8), 9).first()
     assert (second.start_date, second.rows_processed, second.failed_fetches) == ("2024-01-05", 40, 0)
     assert read_checkpoint(spark, f"{root}/checkpoints", "load").first().last_processed_date == "2024-01-08"
-    assert spark.read.schema(RUN_SUMMARY_SCHEMA).json(f"{root}/runs").count() == 2
+    runs = read_run_summaries(spark, f"{root}/runs", "load")
+    assert runs.schema == RUN_SUMMARY_SCHEMA and runs.count() == 2
+    assert read_run_summaries(spark, f"{root}/none").count() == 0
     assert comparable(read_table(spark, f"{root}/table")) == comparable(transform(month))
     with pytest.raises(ValueError, match="no observations"):
         run(date(2024, 1, 9), 10)
@@ -91,6 +93,37 @@ def test_history_with_a_gap_and_a_silent_sensor(spark, readings, tmp_path):
     assert read_table(spark, f"{root}/table").count() == 2
 
 
+def test_late_and_missing_days_are_loaded(spark, readings, tmp_path):
+    root = str(tmp_path)
+    sensors = spark.createDataFrame([("a",), ("b",)], "sensor_id string")
+    stored = [{"sensor_id": "a", "dt": f"2024-01-0{d}", "ingestion_timestamp": "t1"} for d in range(1, 5)]
+    late = [
+        {"sensor_id": "b", "dt": "2024-01-02"},
+        {"sensor_id": "a", "dt": "2024-01-03", "precipitation": 9.0, "ingestion_timestamp": "t2"},
+        {"sensor_id": "a", "dt": "2023-12-31"},
+    ]
+
+    def run(rows, day, late_days):
+        end = date(2024, 1, day)
+        stamp = f"2024-01-{day + 1:02d}T0{late_days}:00:00"
+        return run_daily(rows, sensors, root, "load", end, end, stamp, start=date(2024, 1, 1), late_days=late_days)
+
+    def files(day):
+        return sorted(p.name for p in (tmp_path / "table" / f"dt={day}").iterdir())
+
+    run(readings(*stored), 4, 5)
+    untouched = files("2024-01-01")
+    assert run(readings(*stored, *late), 4, 0) is None
+    assert comparable(read_table(spark, f"{root}/table")) == comparable(transform(readings(*stored)))
+    assert run(readings(*stored, *late), 4, 5) is None
+    assert comparable(read_table(spark, f"{root}/table")) == comparable(transform(readings(*stored, *late[:2])))
+    assert files("2024-01-01") == untouched
+    later = {"sensor_id": "b", "dt": "2024-01-05"}
+    done = run(readings(*stored, *late, later, {"sensor_id": "b", "dt": "2024-01-04"}), 5, 3).first()
+    assert (done.start_date, done.rows_processed, done.failed_fetches) == ("2024-01-05", 1, 1)
+    assert read_table(spark, f"{root}/table").where("sensor_id = 'b'").count() == 3
+
+
 def test_stream_merges_late_files(spark, month, tmp_path):
     source, table, state = (str(tmp_path / n) for n in ("landed", "table", "state"))
 

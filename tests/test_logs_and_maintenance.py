@@ -1,6 +1,7 @@
 """Metrics, health history, page chains and maintenance reports."""
 
 import random
+import re
 from datetime import date, timedelta
 
 import numpy as np
@@ -70,6 +71,26 @@ def test_percentiles_equal_numpy(spark):
         assert (got.p50, got.p95, got.p99) == pytest.approx(tuple(np.percentile(values, [50, 95, 99])), rel=1e-12)
 
 
+def test_percentiles_of_all_and_of_odd_groups(spark):
+    rng = random.Random(5)
+    values = [rng.choice([-1, 1]) * rng.lognormvariate(0, 6) for _ in range(1501)] + [0.0, -0.0, 1e300]
+    df = spark.createDataFrame([(None, v) for v in values], "day string, latency_ms double")
+    expected = pytest.approx(tuple(np.percentile(values, [0, 5, 50, 100])), rel=1e-12)
+    for by in ((), ("day",)):
+        row = op.latency_percentiles(df, by, (0, 5, 50, 100)).first()
+        assert row.checks == len(values) and (row.p0, row.p5, row.p50, row.p100) == expected
+    odd = spark.createDataFrame([("n", 1.0), ("n", float("nan")), ("n", float("inf"))], df.schema)
+    row = op.latency_percentiles(odd, percents=(0, 50, 100)).first()
+    assert (row.p0, row.p50) == (1.0, float("inf")) and np.isnan(row.p100)
+
+
+def test_percentiles_order_one_range_of_a_group_at_a_time(spark, final_plan):
+    df = spark.range(5000).select(F.lit("d").alias("day"), (F.col("id") * 1.5).alias("latency_ms"))
+    plan = final_plan(op.latency_percentiles(df))
+    by_value = [line for line in plan.splitlines() if " Window [" in line and ", [_value#" in line]
+    assert by_value and all(re.search(r"\[day#\d+, _range#\d+L?\], \[_value#", line) for line in by_value)
+
+
 def test_page_chains(spark):
     rows = [
         ("full", 1, "c", True),

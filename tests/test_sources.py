@@ -3,6 +3,7 @@
 import json
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldgauge.schemas import CHECKPOINT_SCHEMA, OBSERVATION_SCHEMA
 from fieldgauge.sinks import append_checkpoint, append_health_results, checkpoint_record
@@ -127,6 +128,20 @@ def test_single_document_checkpoint(spark, tmp_path):
     assert read_checkpoint(spark, str(tmp_path), "a", single_document=True).first().last_processed_date == "2024-01-05"
 
 
+def test_checkpoints_of_other_layouts(spark, tmp_path):
+    (tmp_path / "x.json").write_text(json.dumps({"last_date": "2024-01-05", "rows": 7}, indent=2))
+    other = T.StructType([T.StructField("last_date", T.StringType()), T.StructField("rows", T.LongType())])
+    found = read_checkpoint(spark, str(tmp_path), single_document=True, schema=other)
+    assert [tuple(r) for r in found.collect()] == [("2024-01-05", 7)]
+    assert read_checkpoint(spark, str(tmp_path / "none"), schema=other).schema == other
+    log = str(tmp_path / "log")
+    wider = T.StructType([*CHECKPOINT_SCHEMA.fields, T.StructField("rows", T.LongType())])
+    rows = [("a", f"2024-01-0{d}", status, f"2024-01-0{d + 1}", "e", d) for d, status in ((1, "success"), (2, "failed"))]
+    spark.createDataFrame(rows, wider).write.json(log)
+    newest = read_checkpoint(spark, log, "a", schema=wider).first()
+    assert (newest.last_processed_date, newest.status, newest.rows) == ("2024-01-01", "failed", 2)
+
+
 def test_health_history_layouts(spark, tmp_path):
     probes = spark.createDataFrame(
         [(200, 12.345, "2024-01-01T01:02:03", "5", "100", None), (None, None, "2024-01-02T00:00:00", None, None, "Timeout")],
@@ -139,6 +154,10 @@ def test_health_history_layouts(spark, tmp_path):
     assert set(got) == {"2024-01-01", "2024-01-02"}
     assert (got["2024-01-01"].status, got["2024-01-01"].latency_ms) == ("success", 12.35)
     assert (got["2024-01-02"].status, got["2024-01-02"].error) == ("failed", "timeout")
+    one_day = read_health_history(spark, str(root)).where("day = '2024-01-02'")
+    assert [r.error for r in one_day.collect()] == ["timeout"]
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
     single = tmp_path / "old" / "2024-01-03"
     single.mkdir(parents=True)
     (single / "03-00-00-result.json").write_text(json.dumps({"status": "success", "latency_ms": 1.5}, indent=2))
