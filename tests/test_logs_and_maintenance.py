@@ -85,7 +85,7 @@ def test_percentiles_of_all_and_of_odd_groups(spark):
 
 
 def test_percentiles_order_one_range_of_a_group_at_a_time(spark, final_plan):
-    df = spark.range(5000).select(F.lit("d").alias("day"), (F.col("id") * 1.5).alias("latency_ms"))
+    df = spark.range(5000).select((F.col("id") % 3).cast("string").alias("day"), (F.col("id") * 1.5).alias("latency_ms"))
     plan = final_plan(op.latency_percentiles(df))
     by_value = [line for line in plan.splitlines() if " Window [" in line and ", [_value#" in line]
     assert by_value and all(re.search(r"\[day#\d+, _range#\d+L?\], \[_value#", line) for line in by_value)
