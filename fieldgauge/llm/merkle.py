@@ -11,16 +11,16 @@ _LAST = 2**63 - 1
 
 
 def paragraphs(text: Column, piece: int = PIECE) -> Column:
-    """The leaves of each paragraph (line): hashes of its pieces of ``piece`` code points."""
+    """The leaves of each paragraph (line): MD5 digests of its pieces of ``piece`` code points."""
     pieces = F.lit(f"(?s).{{1,{piece}}}")
     return F.transform(
         F.split(text, "\n"),
-        lambda line: F.transform(F.regexp_extract_all(line, pieces, F.lit(0)), lambda p: F.xxhash64(p)),
+        lambda line: F.transform(F.regexp_extract_all(line, pieces, F.lit(0)), lambda p: F.md5(p)),
     )
 
 
 def paragraph_nodes(leaves: Column) -> Column:
-    return F.transform(leaves, lambda part: F.sha2(F.concat_ws(",", part.cast("array<string>")), 256))
+    return F.transform(leaves, lambda part: F.sha2(F.concat_ws(",", part), 256))
 
 
 def section_nodes(nodes: Column, size: int = SECTION) -> Column:

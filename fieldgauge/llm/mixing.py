@@ -95,7 +95,8 @@ def mix(
     )
     sizes = written(sizes, "sizes")
     targets = written(source_targets(sizes, weights, share, REPEATS), "targets")
-    all_targets = targets.agg(F.sum("target")).first()[0] or 0.0
+    # Summed as decimals: the same in any order of the sources, so reruns have the same slots.
+    all_targets = float(targets.agg(F.sum(F.col("target").cast("decimal(38,6)"))).first()[0] or 0)
     block = max(1, -int(-all_targets // slots))
     n_slots = -int(-all_targets // block)
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))

@@ -26,4 +26,86 @@ select t.doc_id, cast(len(t.words) as bigint) as n_words, coalesce(n_removed, 0)
   sha256(coalesce(array_to_string(k.words, ' '), '')) as kept_sha256
 from texts t left join kept k using (doc_id)"""
 
-ORACLE = {"op4_substring_dedup": SUBSTRINGS}
+MIX = r"""
+with sizes as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
+  from documents),
+sources as (
+  select *, cast([3, 1, 2][place % 3 + 1] as double) as weight, cast(2 * source_size as double) as cap
+  from (
+    select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) - 1 as place
+    from sizes group by source) s),
+levels as (
+  select *, (cast(sum(source_size) over () as double) * 1.5
+      - coalesce(sum(cap) over (order by cap / weight, place rows between unbounded preceding and 1 preceding), 0))
+    / sum(weight) over (order by cap / weight, place rows between current row and unbounded following) as level
+  from sources),
+targets as (
+  select source, place, source_size, case when cap <= level * weight then cap else weight * (
+    select level from levels where cap > level * weight order by cap / weight, place limit 1) end as target
+  from levels),
+plan as (
+  select all_targets, block, cast(ceil(all_targets / block) as bigint) as slots
+  from (
+    select all_targets, greatest(1, cast(ceil(all_targets / 1048576) as bigint)) as block
+    from (select cast(sum(cast(target as decimal(38, 6))) as double) as all_targets from targets) t) b),
+shares as (
+  select *, coalesce(lag(until) over (order by place), 0) as since
+  from (
+    select place, (source_size + block - 1) // block as blocks,
+      cast(round(sum(target) over (order by place) / all_targets * 4294967296) as bigint) as until
+    from targets, plan) s),
+filled as (
+  select place, blocks, row_number() over (partition by place order by slot) - 1 as turn
+  from (select slot, slot * 2654435769 % 4294967296 as point
+        from (select unnest(range((select slots from plan))) as slot) r) p
+  join shares on point >= since and point < until),
+schedule as (
+  select place, turn % blocks as block, count(*) as times from filled where turn < 2 * blocks group by all),
+laid as (
+  select row_number() over () as id, doc_id, size, d.source, source_size, target, place, block as width,
+    cast(sum(size) over (partition by place order by md5(cast(doc_id as varchar)), size rows unbounded preceding) as bigint)
+      as until
+  from sizes d join targets t on d.source is not distinct from t.source, plan),
+pieces as (
+  select *, unnest(range((until - size) // width, (until - 1) // width + 1)) as block from laid where size > 0),
+takings as (
+  select id, cast(sum((least(until, (p.block + 1) * width) - greatest(until - size, p.block * width)) * times) as bigint) as taken
+  from pieces p join schedule s on p.place = s.place and p.block = s.block group by id)
+select doc_id, size, source, source_size, target, coalesce(taken, 0) as taken
+from laid left join takings using (id)"""
+
+TREES = r"""
+with near as (
+  select doc_id, coalesce(text, '') as own, coalesce(
+      lead(coalesce(text, '')) over (order by doc_id), first_value(coalesce(text, '')) over (order by doc_id)) as next
+  from documents),
+texts as (
+  select doc_id, own, next, length(own) - length(own) // 2 as kept, length(own) // 2 as half from near),
+edited as (
+  select doc_id, length(own) as n_chars, own, next, substring(own, 1, kept) || substring(next, 1, half) as edited from texts),
+leaves as (
+  select doc_id, n_chars, sha256(edited) as edited_sha256,
+    [[[md5(p) for p in regexp_extract_all(line, '(?s).{1,32}')] for line in string_split(t, chr(10))]
+     for t in [own, edited, next]] as trees
+  from edited),
+nodes as (
+  select *, [[sha256(coalesce(array_to_string(part, ','), '')) for part in tree] for tree in trees[1:2]] as paragraphs,
+    [list_distinct(flatten(tree)) for tree in trees] as parts
+  from leaves),
+roots as (
+  select *, [sha256(array_to_string([sha256(array_to_string(level[8 * i + 1 : 8 * i + 8], ','))
+      for i in range((len(level) - 1) // 8 + 1)], ',')) for level in paragraphs] as root
+  from nodes)
+select doc_id, n_chars, edited_sha256, root[1] as fingerprint, root[2] as edited_fingerprint,
+  case when len(parts[1]) + len(parts[2]) = 0 then 1.0::double
+    else len(list_intersect(parts[1], parts[2])) * 2.0::double / (len(parts[1]) + len(parts[2])) end as near_edited,
+  case when len(parts[1]) + len(parts[3]) = 0 then 1.0::double
+    else len(list_intersect(parts[1], parts[3])) * 2.0::double / (len(parts[1]) + len(parts[3])) end as near_next
+from roots"""
+
+ORACLE = {
+    "op4_substring_dedup": SUBSTRINGS,
+    "op5_source_mixing": MIX,
+    "op6_merkle_fingerprints": TREES,
+}
