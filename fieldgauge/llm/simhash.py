@@ -7,10 +7,19 @@ shuffles each fingerprint to its nodes and sorts a node by Gray rank. Below a no
 consecutive fingerprints form groups of groups that hold the bits their members agree
 on; two groups are skipped as a whole once the differences in bits that both have fixed
 exceed the distance.
+
+Documents of a given similarity differ in far more bits than an exact index of 64-bit
+fingerprints can bear. For these, fingerprints have 256 bits and the upper nodes are many
+masks of a few bits each: a pair within the distance shares at least one of them nearly
+always. The rest of the index is the same. Within a node the closest pairs join first, and
+only pairs that join something become links, so a dense group gives few. Links too far to
+be sure are checked on the shingles themselves.
 """
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,33 +31,55 @@ from pyspark.sql import types as T
 
 from fieldgauge.llm.components import components
 from fieldgauge.llm.tables import written
-from fieldgauge.llm.words import chunks, split_words
+from fieldgauge.llm.words import chunks, mix, span_hashes, split_words
 
 SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 
+SIMILAR_SHINGLE = 5
+SIMILARITY = 0.8
+WIDE_MASKS = 96
+WIDE_MASK_BITS = 20
+
 _FAN = 32  # members of a group, at every level
 _PAIRS = 2048  # group pairs compared at a time
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fingerprint", T.LongType())])
-_NODE = ("mask", "pattern", "fingerprint")
+_WIDE = ("w0", "w1", "w2", "w3")
+_WIDE_BITS = 64 * len(_WIDE)
+_WIDE_PRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", *_WIDE)])
+_WIDE_NODES = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "id", *_WIDE)])
 _LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+_FAR_LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "apart")])
+_SHINGLES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+
+
+def _shingle_words(words, size: int):
+    """The first word of each row's shingles, the word behind the last, and the number of shingles of each row."""
+    counts = words.counts
+    shingles = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
+    first = np.repeat(words.rows[:-1], shingles)
+    first = first + np.arange(len(first)) - np.repeat(np.cumsum(shingles) - shingles, shingles)
+    return first, first + np.repeat(np.minimum(counts, size), shingles), shingles
 
 
 def _shingle_spans(words, size: int):
     """Byte spans, in a text of words with one space between them, of each row's shingles."""
     lengths = words.ends - words.starts
     ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    counts = words.counts
-    shingles = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
-    first = np.repeat(words.rows[:-1], shingles)
-    within = np.arange(len(first)) - np.repeat(np.cumsum(shingles) - shingles, shingles)
-    last = first + within + np.repeat(np.minimum(counts, size), shingles) - 1
-    return starts[first + within], ends[last], shingles
+    first, behind, shingles = _shingle_words(words, size)
+    return (ends - lengths)[first], ends[behind - 1], shingles
+
+
+def _majority(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """For each row with shingles, the bits set in over half of its shingles' hashes."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    filled = np.flatnonzero(shingles)
+    sums = np.add.reduceat(bits, (np.cumsum(shingles) - shingles)[filled], axis=0, dtype=np.int64)
+    return np.packbits(sums * 2 > shingles[filled, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def fingerprint_values(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
@@ -64,11 +95,21 @@ def fingerprint_values(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
     hashes = np.fromiter(
         (digest(text[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), np.uint64, len(starts)
     )
-    filled = np.flatnonzero(shingles)
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    sums = np.add.reduceat(bits, (np.cumsum(shingles) - shingles)[filled], axis=0, dtype=np.int64)
-    majority = sums * 2 > shingles[filled, None]
-    found[filled] = np.packbits(majority, axis=1, bitorder="little").view(np.uint64).ravel()
+    found[np.flatnonzero(shingles)] = _majority(hashes, shingles)
+    return found
+
+
+def wide_values(column: pa.Array, size: int = SIMILAR_SHINGLE) -> np.ndarray:
+    """The fingerprint of each text in 256 bits, four words a row; other hashes of the same shingles."""
+    words = split_words(column)
+    found = np.zeros((len(words.rows) - 1, len(_WIDE)), np.uint64)
+    if not len(words.starts):
+        return found
+    words.data = _LOWER[words.data]
+    first, behind, shingles = _shingle_words(words, size)
+    hashes = span_hashes(words.hashes(), first, behind)
+    for i in range(len(_WIDE)):
+        found[np.flatnonzero(shingles), i] = _majority(mix(hashes ^ np.uint64(i * 0x632BE59BD9B4E019 % 2**64)), shingles)
     return found
 
 
@@ -113,10 +154,11 @@ def _signed(value: int) -> int:
 
 
 class _Labels:
-    """Which of n members are connected so far."""
+    """Which of n members are connected so far, and the pairs that connected them."""
 
     def __init__(self, n: int):
         self.of = np.arange(n)
+        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
         while len(a):
@@ -125,11 +167,21 @@ class _Labels:
             if not apart.any():
                 return
             a, b, one, two = a[apart], b[apart], one[apart], two[apart]
-            np.minimum.at(self.of, np.maximum(one, two), np.minimum(one, two))
+            high, low = np.maximum(one, two), np.minimum(one, two)
+            order = np.lexsort((low, high))
+            used = order[np.append(True, high[order[1:]] != high[order[:-1]])]
+            self.of[high[used]] = low[used]
+            self.pairs.append((a[used], b[used]))
             while (self.of != self.of[self.of]).any():
                 self.of = self.of[self.of]
 
 
+def _bits(differences: np.ndarray, one_word: bool) -> np.ndarray:
+    """How many bits are set; fingerprints of several words lie along the last axis."""
+    counted = np.bitwise_count(differences)
+    return counted if one_word else counted.sum(axis=-1, dtype=np.int64)
+
+
 def _small_groups(values: np.ndarray, group: np.ndarray, labels: _Labels, distance: int) -> None:
     """Compares all members of groups of up to _FAN, all groups at a time."""
     at = np.arange(len(values))
@@ -138,18 +190,18 @@ def _small_groups(values: np.ndarray, group: np.ndarray, labels: _Labels, distan
         at = at[group[at] == group[at + step]]
         if not len(at):
             return
-        close = at[np.bitwise_count(values[at] ^ values[at + step]) <= distance]
+        close = at[_bits(values[at] ^ values[at + step], values.ndim == 1) <= distance]
         labels.join(close, close + step)
 
 
 def _levels(values: np.ndarray):
     """From the leaves up: each group's first member, the bits its members agree on, and its size bounds."""
     levels = []
-    first, agreed = values, np.full(len(values), np.uint64(2**64 - 1))
+    first, agreed = values, np.full_like(values, 2**64 - 1)
     while len(first) > _FAN:
         starts = np.arange(0, len(first), _FAN)
-        lead = np.repeat(first[starts], np.diff(np.append(starts, len(first))))
-        differ = np.bitwise_or.reduceat((first ^ lead) | ~agreed, starts)
+        lead = np.repeat(first[starts], np.diff(np.append(starts, len(first))), axis=0)
+        differ = np.bitwise_or.reduceat((first ^ lead) | ~agreed, starts, axis=0)
         first, agreed = first[starts], ~differ
         levels.append((first, agreed))
     return levels
@@ -158,12 +210,13 @@ def _levels(values: np.ndarray):
 def _large_group(values: np.ndarray, labels: _Labels, base: int, distance: int) -> None:
     """Compares members in Gray order through the tree of groups, skipping pairs of groups that are
     too far apart or already connected as a whole."""
+    one_word = values.ndim == 1
     levels = _levels(values)
     top = len(levels) - 1
     n = len(levels[top][0])
     one, two = np.triu_indices(n)
     stack = [(top, one, two)]
-    full = np.append(values, np.zeros(-len(values) % _FAN, np.uint64))
+    full = np.concatenate([values, np.zeros_like(values, shape=(-len(values) % _FAN, *values.shape[1:]))])
     while stack:
         level, one, two = stack.pop()
         if len(one) > _PAIRS:
@@ -173,7 +226,7 @@ def _large_group(values: np.ndarray, labels: _Labels, base: int, distance: int)
                 stack.append((level, one[start : start + _PAIRS], two[start : start + _PAIRS]))
             continue
         first, agreed = levels[level]
-        apart = np.bitwise_count((first[one] ^ first[two]) & agreed[one] & agreed[two]) > distance
+        apart = _bits((first[one] ^ first[two]) & agreed[one] & agreed[two], one_word) > distance
         one, two = one[~apart], two[~apart]
         span = _FAN ** (level + 1)
         starts = np.arange(0, len(values), span)
@@ -187,59 +240,78 @@ def _large_group(values: np.ndarray, labels: _Labels, base: int, distance: int)
         b = (two[:, None, None] * _FAN + np.arange(_FAN)[None, None, :])
         a, b = np.broadcast_arrays(a, b)
         if level == 0:
-            close = (np.bitwise_count(full[a] ^ full[b]) <= distance) & (a < b) & (b < len(values))
+            close = (_bits(full[a] ^ full[b], one_word) <= distance) & (a < b) & (b < len(values))
             labels.join(base + a[close], base + b[close])
         else:
             use = (a <= b) & (b < len(levels[level - 1][0]))
             stack.append((level - 1, a[use], b[use]))
 
 
-def _links(distance: int):
-    """Links each fingerprint of a node to the least in its component there; one row each at most."""
+def _links(keys: tuple[str, ...], name: str, words: tuple[str, ...], distances: tuple[int, ...]):
+    """Links that connect the fingerprints of a node as their pairs within the last distance do.
+
+    A node gives fewer links than it has members. Pairs within a smaller distance join
+    first. ``keys`` tell nodes apart, ``words`` make up the fingerprint, and links carry ``name``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list = []  # of a node that may go on
+
+        def found() -> pa.RecordBatch:
+            node, names, *values = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            return _link_rows(node, names, values, distances)
+
+        open_key, number = None, 0
         for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in _NODE]
-            mask, pattern, _ = new
-            ends = np.flatnonzero((mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])) + 1
-            if waiting and len(mask) and (waiting[-1][0][-1], waiting[-1][1][-1]) != (mask[0], pattern[0]):
-                ends = np.append(0, ends)
-            cut = ends[-1] if len(ends) else 0
+            if not batch.num_rows:
+                continue
+            key = [batch.column(c).to_numpy(zero_copy_only=False) for c in keys]
+            rest = [batch.column(c).to_numpy(zero_copy_only=False) for c in (name, *words)]
+            new = np.zeros(batch.num_rows, bool)
+            new[0] = open_key != [k[0] for k in key]
+            for k in key:
+                new[1:] |= k[1:] != k[:-1]
+            open_key = [k[-1] for k in key]
+            rest.insert(0, np.cumsum(new) + number)
+            number = rest[0][-1]
+            ends = np.flatnonzero(new)
             if len(ends):
-                whole = [*waiting, [x[:cut] for x in new]]
-                yield _link_rows(*(np.concatenate(x) for x in zip(*whole, strict=True)), distance)
+                if ends[-1]:
+                    waiting.append([x[: ends[-1]] for x in rest])
+                if waiting:
+                    yield found()
                 waiting = []
-            if cut < len(mask):
-                waiting.append([x[cut:] for x in new])
+            cut = ends[-1] if len(ends) else 0
+            waiting.append([x[cut:] for x in rest])
         if waiting:
-            yield _link_rows(*(np.concatenate(x) for x in zip(*waiting, strict=True)), distance)
+            yield found()
 
     return run
 
 
-def _link_rows(mask, pattern, fingerprint, distance) -> pa.RecordBatch:
-    new = np.ones(len(mask), bool)
-    new[1:] = (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])
-    starts = np.flatnonzero(new)
-    sizes = np.diff(np.append(starts, len(mask)))
+def _link_rows(node: np.ndarray, names: np.ndarray, words: list[np.ndarray], distances: tuple[int, ...]) -> pa.RecordBatch:
+    sizes = np.diff(np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]])))
     shared = np.repeat(sizes > 1, sizes)
-    fingerprint, group = fingerprint[shared], (np.cumsum(new) - 1)[shared]
-    values = fingerprint.view(np.uint64)
+    names, group = names[shared], node[shared]
+    values = [w[shared].view(np.uint64) for w in words]
+    values = values[0] if len(values) == 1 else np.stack(values, axis=1)
     labels = _Labels(len(values))
     size = np.repeat(sizes, sizes)[shared]
     small = np.flatnonzero(size <= _FAN)
     inner = _Labels(len(small))
-    _small_groups(values[small], group[small], inner, distance)
-    labels.of[small] = small[inner.of]
     large = np.flatnonzero(size > _FAN)
-    for begin in np.flatnonzero(np.append(True, np.diff(group[large]) != 0)) if len(large) else []:
-        begin = large[begin]
-        _large_group(values[begin : begin + size[begin]], labels, begin, distance)
-    linked = labels.of != np.arange(len(values))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(fingerprint[linked]), pa.array(fingerprint[labels.of[linked]])], names=_LINKS.names
-    )
+    starts = large[np.append(True, np.diff(group[large]) != 0)] if len(large) else []
+    for distance in distances:
+        _small_groups(values[small], group[small], inner, distance)
+        for begin in starts:
+            _large_group(values[begin : begin + size[begin]], labels, begin, distance)
+    pairs = [*labels.pairs, *((small[a], small[b]) for a, b in inner.pairs)]
+    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, int), np.zeros(0, int))
+    columns = [pa.array(names[a]), pa.array(names[b])]
+    if len(distances) == 1:
+        return pa.RecordBatch.from_arrays(columns, names=_LINKS.names)
+    apart = _bits(values[a] ^ values[b], values.ndim == 1).astype(np.int64)
+    return pa.RecordBatch.from_arrays([*columns, pa.array(apart)], names=_FAR_LINKS.names)
 
 
 def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -254,10 +326,95 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return (
         placed.repartition("mask", "pattern")
         .sortWithinPartitions("mask", "pattern", gray_rank(F.col("fingerprint")))
-        .mapInArrow(_links(distance), _LINKS)
+        .mapInArrow(_links(("mask", "pattern"), "fingerprint", ("fingerprint",), (distance,)), _LINKS)
+    )
+
+
+def wide_masks(count: int = WIDE_MASKS, bits: int = WIDE_MASK_BITS) -> np.ndarray:
+    """Masks of ``bits`` of the 256 bits each, four words a row: shuffled bits dealt out in turn, then shuffled anew."""
+    rng, left, found = random.Random(SEED), [], np.zeros((count, len(_WIDE)), np.uint64)
+    for row in found:
+        if len(left) < bits:
+            left = rng.sample(range(_WIDE_BITS), _WIDE_BITS)
+        for bit in left[:bits]:
+            row[bit // 64] |= np.uint64(1 << bit % 64)
+        left = left[bits:]
+    return found
+
+
+def bits_apart(similarity: float, spread: float = 0.0, bits: int = _WIDE_BITS) -> int:
+    """Bits in which fingerprints of this similarity differ: the mean and ``spread`` standard deviations."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return max(0, int(bits * share + spread * math.sqrt(bits * share * (1 - share))))
+
+
+def _wide_rows(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in chunks(whole, "text"):
+                values = wide_values(batch.column("text"), size).view(np.int64)
+                columns = [batch.column("doc_id"), *(pa.array(values[:, i]) for i in range(len(_WIDE)))]
+                yield pa.RecordBatch.from_arrays(columns, names=_WIDE_PRINTS.names)
+
+    return run
+
+
+def _wide_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each fingerprint once for each mask, with a hash of the mask and the pattern under it."""
+    masks = wide_masks()
+    for batch in batches:
+        rest = [batch.column(c) for c in ("id", *_WIDE)]
+        words = [c.to_numpy(zero_copy_only=False).view(np.uint64) for c in rest[1:]]
+        for number, mask in enumerate(masks):
+            node = np.full(batch.num_rows, number, np.uint64)
+            for word, part in zip(words, mask, strict=True):
+                node = mix(node + (word & part))
+            yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *rest], names=_WIDE_NODES.names)
+
+
+def wide_links(distinct: DataFrame, sure: int, distance: int) -> DataFrame:
+    """Links (a, b, apart) between ids of 256-bit fingerprints (id, w0 to w3) that share a mask's bits.
+
+    They connect within ``distance``, closest pairs first: each pair left out is connected
+    by closer ones, up to four steps from ``sure`` to ``distance``.
+    """
+    distances = tuple(sure + (distance - sure) * i // 3 for i in range(4))
+    return (
+        distinct.mapInArrow(_wide_nodes, _WIDE_NODES)
+        .repartition("node")
+        .sortWithinPartitions("node", gray_rank(F.col("w0")))
+        .mapInArrow(_links(("node",), "id", _WIDE, distances), _FAR_LINKS)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "apart")
+        .distinct()
     )
 
 
+def _shingle_rows(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in chunks(whole, "text"):
+                words = split_words(batch.column("text"))
+                words.data = _LOWER[words.data]
+                first, behind, shingles = _shingle_words(words, size)
+                hashes = span_hashes(words.hashes(), first, behind) if len(first) else np.zeros(0, np.uint64)
+                parts = np.split(hashes.view(np.int64), np.cumsum(shingles)[:-1])
+                sets = pa.array([np.unique(p) for p in parts], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], names=_SHINGLES.names)
+
+    return run
+
+
+def _checked(open_links: DataFrame, plain: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The links whose documents share ``similarity`` of their distinct shingles."""
+    ends = open_links.select(F.col("a").alias("doc_id")).unionByName(open_links.select(F.col("b").alias("doc_id")))
+    texts = plain.join(ends.distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    sets = written(texts.mapInArrow(_shingle_rows(size), _SHINGLES), "shingles")
+    one, two = (sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"of_{end}")) for end in ("a", "b"))
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    alike = both >= similarity * (F.size("of_a") + F.size("of_b") - both)
+    return open_links.join(one, "a").join(two, "b").where((both > 0) & alike).select("a", "b")
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
@@ -282,12 +439,62 @@ def near_duplicates(
     )
 
 
+def similar_documents(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    size: int = SIMILAR_SHINGLE,
+    similarity: float = SIMILARITY,
+) -> DataFrame:
+    """(doc_id, component_id) for every row of ``docs``: documents that share ``similarity`` of their shingles.
+
+    Words are those of ``near_duplicates``; a document's shingles are its distinct ones of
+    ``size`` words, and similarity is what two have in common of all they have. Equal
+    texts always link. Others are found by fingerprints of 256 bits, up to two standard
+    deviations above the mean distance at ``similarity``; those closer than four below it
+    link at once, the rest after a comparison of their shingles. Of the pairs between two
+    classes of close ones, the closest is compared. component_id is the smallest doc_id reachable. Null,
+    empty and blank texts are copies of each other. A text whose rows all lack an id links
+    only when close; its component's id is null only if no member has one. Rows that repeat an id are kept, and
+    of different texts under one id the least is compared; an empty table gives an empty
+    table; other columns are not read.
+    """
+    sure, distance = bits_apart(similarity, -4), bits_apart(similarity, 2)
+    plain = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    prints = written(plain.mapInArrow(_wide_rows(size), _WIDE_PRINTS), "fingerprints")
+    distinct = prints.groupBy(*_WIDE).agg(F.min("doc_id").alias("least"))
+    distinct = written(distinct.withColumn("id", F.coalesce("least", F.xxhash64(*_WIDE))), "distinct")
+    found = written(wide_links(distinct, sure, distance), "links")
+    close = found.where(F.col("apart") <= sure).select("a", "b")
+    classes = written(components(close), "classes")
+    open_links = found.where(F.col("apart") > sure)
+    for end in ("a", "b"):
+        named = classes.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        open_links = open_links.join(named, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
+    between = [F.least("a_root", "b_root").alias("one"), F.greatest("a_root", "b_root").alias("two")]
+    open_links = open_links.where("a_root <> b_root").groupBy(*between).agg(F.min(F.struct("apart", "a", "b")).alias("best"))
+    checked = _checked(written(open_links.select("best.a", "best.b"), "open"), plain, size, similarity)
+    linked = components(classes.toDF("a", "b").unionByName(checked)).withColumnRenamed("node", "id")
+    rooted = distinct.join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    members = rooted.join(named, "root").select(*_WIDE, "component_id")
+    return prints.join(members, [*_WIDE]).select("doc_id", "component_id")
+
+
+def _first_of_each(docs: DataFrame, found: DataFrame, id_column: str) -> DataFrame:
+    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")
+
+
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The documents without near duplicates: of each component, the one with the smallest id stays.
 
     Rows that share an id are one document. Rows without an id stay only where no member
     of their component has one.
     """
-    found = near_duplicates(docs, id_column, text, **settings)
-    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")
+    return _first_of_each(docs, near_duplicates(docs, id_column, text, **settings), id_column)
+
+
+def one_of_similar(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """``one_of_each`` by the components of ``similar_documents``."""
+    return _first_of_each(docs, similar_documents(docs, id_column, text, **settings), id_column)

@@ -21,7 +21,7 @@ from fieldgauge.llm.html_text import extract_text, main_text, shared_lines  # no
 from fieldgauge.llm.licences import scan  # noqa: E402
 from fieldgauge.llm.merkle import edits, fingerprints, with_tree  # noqa: E402
 from fieldgauge.llm.mixing import mix, mixed, source_targets  # noqa: E402
-from fieldgauge.llm.simhash import links, near_duplicates, one_of_each  # noqa: E402
+from fieldgauge.llm.simhash import links, near_duplicates, one_of_each, one_of_similar, similar_documents  # noqa: E402
 from fieldgauge.llm.substrings import remove_repeats  # noqa: E402
 from fieldgauge.llm.token_counts import encoded_lengths, length_histogram, length_quantile, truncated_total  # noqa: E402
 from fieldgauge.llm.toxicity import Grammar, Model, score, train, without_toxic  # noqa: E402
@@ -147,6 +147,49 @@ def test_gray_index_loses_no_link_in_dense_groups(spark):
     assert {r.node: r.root for r in got} == {n: r for n, r in expected.items() if n in {x for p in near for x in p}}
 
 
+def test_similar_documents_equal_brute_force(spark, odd):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(150):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(80, 400))]
+        texts.append(" ".join(words))
+        for _ in range(rng.randrange(3)):
+            copy = list(words)
+            for _ in range(rng.randrange(1 + len(words) // 20)):
+                copy[rng.randrange(len(copy))] = "edit"
+            texts.append(" ".join(copy).upper())
+    texts += texts[:10] + ["w1 w2 w3"] * 3 + ["w1 w2 w4", "", None]
+    words = [(t or "").lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    alike = {}
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            alike[a, b] = both / (len(sets[a] | sets[b]) or 1) if sets[a] or sets[b] else 1.0
+    wanted = {pair for pair, share in alike.items() if share >= 0.8}
+    roots = union_find(wanted, range(len(texts)))
+    got = {r.doc_id: r.component_id for r in similar_documents(frame(spark, texts)).collect()}
+    assert sum(got[a] == got[b] for a, b in wanted) >= 0.95 * len(wanted) and len(wanted) > 100
+    assert all(roots[a] == roots[b] for a, b in alike if got[a] == got[b])
+    assert all(got[a] == got[b] for a, b in alike if sets[a] == sets[b])
+    assert all(got[c] == c and c <= i for i, c in got.items())
+    kept = sorted(r.doc_id for r in one_of_similar(frame(spark, texts)).collect())
+    assert kept == sorted(set(got.values()))
+    assert similar_documents(odd).count() == odd.count() and similar_documents(odd.limit(0)).count() == 0
+    assert len({r.component_id for r in similar_documents(odd).collect() if r.doc_id in (0, 1, 2)}) == 1
+
+
+def test_dense_groups_of_similar_documents(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for n in range(400):
+        copy = list(words)
+        copy[rng.randrange(300)] = f"edit{n}"
+        texts.append(" ".join(copy))
+    assert {r.component_id for r in similar_documents(frame(spark, texts)).collect()} == {0}
+
+
 def test_histogram_answers_every_limit(spark, odd):
     docs = frame(spark, [t for t in some_texts(3)] + ["", None, "x " * 3000])
     lengths = [r.length for r in encoded_lengths(docs).collect()]
