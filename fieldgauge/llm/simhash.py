@@ -39,7 +39,7 @@ SEED = 42
 
 SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
-WIDE_MASKS = 96
+WIDE_MASKS = 64
 WIDE_MASK_BITS = 20
 
 _FAN = 32  # members of a group, at every level
