@@ -39,8 +39,9 @@ SEED = 42
 
 SIMILAR_SHINGLE = 5
 SIMILARITY = 0.8
-WIDE_MASKS = 64
-WIDE_MASK_BITS = 20
+WIDE_MASKS = 96
+WIDE_MASK_BITS = 16
+SPREAD = 2.5  # standard deviations above the mean distance at the similarity that are searched
 
 _FAN = 32  # members of a group, at every level
 _PAIRS = 2048  # group pairs compared at a time
@@ -450,7 +451,7 @@ def similar_documents(
 
     Words are those of ``near_duplicates``; a document's shingles are its distinct ones of
     ``size`` words, and similarity is what two have in common of all they have. Equal
-    texts always link. Others are found by fingerprints of 256 bits, up to two standard
+    texts always link. Others are found by fingerprints of 256 bits, up to SPREAD standard
     deviations above the mean distance at ``similarity``; those closer than four below it
     link at once, the rest after a comparison of their shingles. Of the pairs between two
     classes of close ones, the closest is compared. component_id is the smallest doc_id reachable. Null,
@@ -459,7 +460,7 @@ def similar_documents(
     of different texts under one id the least is compared; an empty table gives an empty
     table; other columns are not read.
     """
-    sure, distance = bits_apart(similarity, -4), bits_apart(similarity, 2)
+    sure, distance = bits_apart(similarity, -4), bits_apart(similarity, SPREAD)
     plain = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     prints = written(plain.mapInArrow(_wide_rows(size), _WIDE_PRINTS), "fingerprints")
     distinct = prints.groupBy(*_WIDE).agg(F.min("doc_id").alias("least"))

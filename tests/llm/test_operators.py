@@ -8,12 +8,14 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
+from fieldgauge.llm import simhash as wide  # noqa: E402
 from fieldgauge.llm.components import components  # noqa: E402
 from fieldgauge.llm.decontamination import contamination, without_contamination  # noqa: E402
 from fieldgauge.llm.html_blocks import blocks  # noqa: E402
@@ -179,6 +181,22 @@ def test_similar_documents_equal_brute_force(spark, odd):
     assert len({r.component_id for r in similar_documents(odd).collect() if r.doc_id in (0, 1, 2)}) == 1
 
 
+def test_masks_reach_pairs_at_the_limit():
+    rng = random.Random(8)
+    for new_words, least in ((20, 0.97), (15, 0.98)):  # of 180 shingles: similarity 0.8 exactly, and 0.846
+        one, two = [], []
+        for _ in range(2000):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(184 + new_words)]
+            one.append(" ".join(words[:184]))
+            two.append(" ".join(words[: 184 - new_words] + words[184:]))
+        apart = wide.wide_values(pa.array(one)) ^ wide.wide_values(pa.array(two))
+        shares = np.zeros(len(one), bool)
+        for mask in wide.wide_masks():
+            shares |= ((apart & mask) == 0).all(axis=1)
+        near = np.bitwise_count(apart).sum(axis=1) <= wide.bits_apart(0.8, wide.SPREAD)
+        assert (shares & near).mean() >= least
+
+
 def test_dense_groups_of_similar_documents(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
