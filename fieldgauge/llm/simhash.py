@@ -12,8 +12,8 @@ Documents of a given similarity differ in far more bits than an exact index of 6
 fingerprints can bear. For these, fingerprints have 256 bits and the upper nodes are many
 masks of a few bits each: a pair within the distance shares at least one of them nearly
 always. The rest of the index is the same. Within a node the closest pairs join first, and
-only pairs that join something become links, so a dense group gives few. Links too far to
-be sure are checked on the shingles themselves.
+only pairs that join something become links, so a dense group gives few. Links are checked
+on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -51,11 +51,11 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fingerprint", T.LongType())])
 _WIDE = ("w0", "w1", "w2", "w3")
 _WIDE_BITS = 64 * len(_WIDE)
-_WIDE_PRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", *_WIDE)])
+_WIDE_PRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "id", *_WIDE)])
 _WIDE_NODES = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "id", *_WIDE)])
 _LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 _FAR_LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "apart")])
-_SHINGLES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
+_SHINGLES = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
 
 def _shingle_words(words, size: int):
@@ -100,15 +100,38 @@ def fingerprint_values(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
     return found
 
 
-def wide_values(column: pa.Array, size: int = SIMILAR_SHINGLE) -> np.ndarray:
-    """The fingerprint of each text in 256 bits, four words a row; other hashes of the same shingles."""
+def shingle_sets(column: pa.Array, size: int = SIMILAR_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each text's distinct shingles, row after row and in order, and how many each row has."""
     words = split_words(column)
-    found = np.zeros((len(words.rows) - 1, len(_WIDE)), np.uint64)
     if not len(words.starts):
-        return found
+        return np.zeros(0, np.uint64), np.zeros(len(words.rows) - 1, np.int64)
     words.data = _LOWER[words.data]
     first, behind, shingles = _shingle_words(words, size)
-    hashes = span_hashes(words.hashes(), first, behind)
+    hashes, rows = span_hashes(words.hashes(), first, behind), np.repeat(np.arange(len(shingles)), shingles)
+    order = np.lexsort((hashes, rows))
+    hashes = hashes[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1]))
+    return hashes[new], np.bincount(rows[new], minlength=len(shingles))
+
+
+def set_values(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """A name for each row's set of shingles: equal sets have equal ones."""
+    found = np.zeros(len(shingles), np.uint64)
+    filled = np.flatnonzero(shingles)
+    if len(filled):
+        found[filled] = mix(np.add.reduceat(mix(hashes), (np.cumsum(shingles) - shingles)[filled]))
+    return found
+
+
+def wide_values(column: pa.Array, size: int = SIMILAR_SHINGLE) -> np.ndarray:
+    """The fingerprint of each text in 256 bits, four words a row; other hashes, of its distinct shingles."""
+    return _wide_values(*shingle_sets(column, size))
+
+
+def _wide_values(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    found = np.zeros((len(shingles), len(_WIDE)), np.uint64)
+    if not len(hashes):
+        return found
     for i in range(len(_WIDE)):
         found[np.flatnonzero(shingles), i] = _majority(mix(hashes ^ np.uint64(i * 0x632BE59BD9B4E019 % 2**64)), shingles)
     return found
@@ -353,8 +376,9 @@ def _wide_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole, "text"):
-                values = wide_values(batch.column("text"), size).view(np.int64)
-                columns = [batch.column("doc_id"), *(pa.array(values[:, i]) for i in range(len(_WIDE)))]
+                sets = shingle_sets(batch.column("text"), size)
+                values = [set_values(*sets), *_wide_values(*sets).T]
+                columns = [batch.column("doc_id"), *(pa.array(np.ascontiguousarray(v).view(np.int64)) for v in values)]
                 yield pa.RecordBatch.from_arrays(columns, names=_WIDE_PRINTS.names)
 
     return run
@@ -394,26 +418,44 @@ def _shingle_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole, "text"):
-                words = split_words(batch.column("text"))
-                words.data = _LOWER[words.data]
-                first, behind, shingles = _shingle_words(words, size)
-                hashes = span_hashes(words.hashes(), first, behind) if len(first) else np.zeros(0, np.uint64)
-                parts = np.split(hashes.view(np.int64), np.cumsum(shingles)[:-1])
-                sets = pa.array([np.unique(p) for p in parts], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], names=_SHINGLES.names)
+                hashes, shingles = shingle_sets(batch.column("text"), size)
+                ends = pa.array(np.append(0, np.cumsum(shingles)).astype(np.int32))
+                sets = pa.ListArray.from_arrays(ends, pa.array(hashes.view(np.int64)))
+                names = pa.array(set_values(hashes, shingles).view(np.int64))
+                yield pa.RecordBatch.from_arrays([names, sets], names=_SHINGLES.names)
 
     return run
 
 
-def _checked(open_links: DataFrame, plain: DataFrame, size: int, similarity: float) -> DataFrame:
+def _sets(found: DataFrame, distinct: DataFrame, plain: DataFrame, size: int) -> DataFrame:
+    """(id, shingles) of the ends of links."""
+    ends = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct()
+    needed = written(distinct.select("id", "least").join(ends, "id"), "needed")
+    texts = plain.join(needed.select("least"), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
+    sets = texts.mapInArrow(_shingle_rows(size), _SHINGLES).join(needed.select("id"), "id", "left_semi")
+    return written(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "shingles")
+
+
+def _checked(open_links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The links whose documents share ``similarity`` of their distinct shingles."""
-    ends = open_links.select(F.col("a").alias("doc_id")).unionByName(open_links.select(F.col("b").alias("doc_id")))
-    texts = plain.join(ends.distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    sets = written(texts.mapInArrow(_shingle_rows(size), _SHINGLES), "shingles")
-    one, two = (sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"of_{end}")) for end in ("a", "b"))
+    one, two = (sets.select(F.col("id").alias(end), F.col("shingles").alias(f"of_{end}")) for end in ("a", "b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
     alike = both >= similarity * (F.size("of_a") + F.size("of_b") - both)
-    return open_links.join(one, "a").join(two, "b").where((both > 0) & alike).select("a", "b")
+    return written(open_links.select("a", "b").join(one, "a").join(two, "b").where((both > 0) & alike).select("a", "b"), "checked")
+
+
+def _between(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """The links between different classes, with a_root and b_root."""
+    for end in ("a", "b"):
+        named = classes.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        found = found.join(named, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
+    return found.where("a_root <> b_root")
+
+
+def _closest(found: DataFrame) -> DataFrame:
+    """Of each end's links the closest."""
+    both = found.select(F.explode(F.array("a", "b")).alias("end"), F.struct("apart", "a", "b").alias("link"))
+    return both.groupBy("end").agg(F.min("link").alias("link")).select("link.*").distinct()
 
 
 def near_duplicates(
@@ -450,36 +492,28 @@ def similar_documents(
     """(doc_id, component_id) for every row of ``docs``: documents that share ``similarity`` of their shingles.
 
     Words are those of ``near_duplicates``; a document's shingles are its distinct ones of
-    ``size`` words, and similarity is what two have in common of all they have. Equal
-    texts always link. Others are found by fingerprints of 256 bits, up to SPREAD standard
-    deviations above the mean distance at ``similarity``; those closer than four below it
-    link at once, the rest after a comparison of their shingles. Of the pairs between two
-    classes of close ones, the closest is compared. component_id is the smallest doc_id reachable. Null,
-    empty and blank texts are copies of each other. A text whose rows all lack an id links
-    only when close; its component's id is null only if no member has one. Rows that repeat an id are kept, and
-    of different texts under one id the least is compared; an empty table gives an empty
-    table; other columns are not read.
+    ``size`` words, and similarity is what two have in common of all they have. Texts with
+    equal shingles always link. Others are found by fingerprints of 256 bits, up to SPREAD standard
+    deviations above the mean distance at ``similarity``, and every link is a comparison of
+    their shingles: first each text's closest, then those between texts not yet connected.
+    component_id is the smallest doc_id reachable. Null, empty and blank texts are copies
+    of each other. A component's id is null only if no member has one. Rows that repeat an
+    id are kept; an empty table gives an empty table; other columns are not read.
     """
     sure, distance = bits_apart(similarity, -4), bits_apart(similarity, SPREAD)
     plain = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     prints = written(plain.mapInArrow(_wide_rows(size), _WIDE_PRINTS), "fingerprints")
-    distinct = prints.groupBy(*_WIDE).agg(F.min("doc_id").alias("least"))
-    distinct = written(distinct.withColumn("id", F.coalesce("least", F.xxhash64(*_WIDE))), "distinct")
+    distinct = written(prints.groupBy("id", *_WIDE).agg(F.min("doc_id").alias("least")), "distinct")
     found = written(wide_links(distinct, sure, distance), "links")
-    close = found.where(F.col("apart") <= sure).select("a", "b")
-    classes = written(components(close), "classes")
-    open_links = found.where(F.col("apart") > sure)
-    for end in ("a", "b"):
-        named = classes.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-        open_links = open_links.join(named, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
-    between = [F.least("a_root", "b_root").alias("one"), F.greatest("a_root", "b_root").alias("two")]
-    open_links = open_links.where("a_root <> b_root").groupBy(*between).agg(F.min(F.struct("apart", "a", "b")).alias("best"))
-    checked = _checked(written(open_links.select("best.a", "best.b"), "open"), plain, size, similarity)
-    linked = components(classes.toDF("a", "b").unionByName(checked)).withColumnRenamed("node", "id")
+    sets = _sets(found, distinct, plain, size)
+    checked = _checked(_closest(found), sets, similarity)
+    classes = written(components(checked), "classes")
+    checked = checked.unionByName(_checked(_between(found, classes), sets, similarity))
+    linked = components(checked).withColumnRenamed("node", "id")
     rooted = distinct.join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = rooted.join(named, "root").select(*_WIDE, "component_id")
-    return prints.join(members, [*_WIDE]).select("doc_id", "component_id")
+    members = rooted.join(named, "root").select("id", "component_id")
+    return prints.select("doc_id", "id").join(members, "id").select("doc_id", "component_id")
 
 
 def _first_of_each(docs: DataFrame, found: DataFrame, id_column: str) -> DataFrame:

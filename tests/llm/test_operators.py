@@ -197,6 +197,18 @@ def test_masks_reach_pairs_at_the_limit():
         assert (shares & near).mean() >= least
 
 
+def test_repeated_lines_neither_link_nor_part_documents(spark):
+    rng = random.Random(5)
+    line = " ".join(f"same{i}" for i in range(11))
+    texts = []
+    for times in (10, 20, 60):
+        for _ in range(2):
+            own = " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))
+            texts += [f"{own} " + " ".join([line] * times), f"{own} {line} {line}"]
+    got = {r.doc_id: r.component_id for r in similar_documents(frame(spark, texts)).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_dense_groups_of_similar_documents(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
