@@ -52,7 +52,6 @@ _FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructFie
 _WIDE = ("w0", "w1", "w2", "w3")
 _WIDE_BITS = 64 * len(_WIDE)
 _WIDE_PRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "id", *_WIDE)])
-_WIDE_NODES = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "id", *_WIDE)])
 _LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 _FAR_LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "apart")])
 _SHINGLES = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
@@ -384,17 +383,25 @@ def _wide_rows(size: int):
     return run
 
 
-def _wide_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each fingerprint once for each mask, with a hash of the mask and the pattern under it."""
-    masks = wide_masks()
-    for batch in batches:
-        rest = [batch.column(c) for c in ("id", *_WIDE)]
-        words = [c.to_numpy(zero_copy_only=False).view(np.uint64) for c in rest[1:]]
-        for number, mask in enumerate(masks):
-            node = np.full(batch.num_rows, number, np.uint64)
-            for word, part in zip(words, mask, strict=True):
-                node = mix(node + (word & part))
-            yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *rest], names=_WIDE_NODES.names)
+def _wide_nodes(names: tuple[str, ...]):
+    """Each row of a fingerprint once for each mask, with a hash of the mask and the pattern under it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        masks = wide_masks()
+        for batch in batches:
+            rest = [batch.column(c) for c in names]
+            words = [batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in _WIDE]
+            for number, mask in enumerate(masks):
+                node = np.full(batch.num_rows, number, np.uint64)
+                for word, part in zip(words, mask, strict=True):
+                    node = mix(node + (word & part))
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *rest], names=["node", *names])
+
+    return run
+
+
+def _in_nodes(distinct: DataFrame, *names: str) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("node", *names)])
+    return distinct.select(*names).mapInArrow(_wide_nodes(names), schema)
 
 
 def wide_links(distinct: DataFrame, sure: int, distance: int) -> DataFrame:
@@ -405,7 +412,7 @@ def wide_links(distinct: DataFrame, sure: int, distance: int) -> DataFrame:
     """
     distances = tuple(sure + (distance - sure) * i // 3 for i in range(4))
     return (
-        distinct.mapInArrow(_wide_nodes, _WIDE_NODES)
+        _in_nodes(distinct, "id", *_WIDE)
         .repartition("node")
         .sortWithinPartitions("node", gray_rank(F.col("w0")))
         .mapInArrow(_links(("node",), "id", _WIDE, distances), _FAR_LINKS)
@@ -414,6 +421,20 @@ def wide_links(distinct: DataFrame, sure: int, distance: int) -> DataFrame:
     )
 
 
+def wide_pairs(distinct: DataFrame, similarity: float, distance: int) -> DataFrame:
+    """All pairs (a, b) of ids of different ``root`` that share a mask's bits and are within ``distance``.
+
+    Pairs whose numbers ``n`` of shingles alone rule out ``similarity`` are left out.
+    """
+    columns = ("id", *_WIDE, "root", "n")
+    placed = _in_nodes(distinct, *columns)
+    one, two = (placed.select("node", *[F.col(c).alias(f"{end}_{c}") for c in columns]) for end in ("a", "b"))
+    apart = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in _WIDE), F.lit(0))
+    pairs = one.join(two, "node").where("a_id < b_id and a_root <> b_root").where(apart <= distance)
+    pairs = pairs.where(F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n"))
+    return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+
 def _shingle_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -496,6 +517,8 @@ def similar_documents(
     equal shingles always link. Others are found by fingerprints of 256 bits, up to SPREAD standard
     deviations above the mean distance at ``similarity``, and every link is a comparison of
     their shingles: first each text's closest, then those between texts not yet connected.
+    Where some fail, the pairs that they stood for are compared as well, so that no link
+    between two texts is lost to a third.
     component_id is the smallest doc_id reachable. Null, empty and blank texts are copies
     of each other. A component's id is null only if no member has one. Rows that repeat an
     id are kept; an empty table gives an empty table; other columns are not read.
@@ -509,6 +532,16 @@ def similar_documents(
     checked = _checked(_closest(found), sets, similarity)
     classes = written(components(checked), "classes")
     checked = checked.unionByName(_checked(_between(found, classes), sets, similarity))
+    classes = written(components(checked), "classes")
+    failed = written(_between(found, classes).select("a", "b", "a_root", "b_root"), "failed")
+    if not failed.isEmpty():
+        roots = failed.select(F.explode(F.array("a_root", "b_root")).alias("root")).distinct()
+        rooted = distinct.join(classes.withColumnRenamed("node", "id"), "id", "left")
+        rooted = rooted.withColumn("root", F.coalesce("root", "id")).join(roots, "root", "left_semi")
+        sizes = sets.select("id", F.size("shingles").cast("long").alias("n"))
+        more = wide_pairs(written(rooted.join(sizes, "id"), "open"), similarity, distance)
+        more = written(more.join(failed.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        checked = checked.unionByName(_checked(more, sets, similarity))
     linked = components(checked).withColumnRenamed("node", "id")
     rooted = distinct.join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -209,6 +209,31 @@ def test_repeated_lines_neither_link_nor_part_documents(spark):
     assert got == {i: i - i % 2 for i in range(len(texts))}
 
 
+def test_no_link_is_lost_to_failed_ones(spark):
+    rng = random.Random(21)
+    texts, groups = [], 20
+    for g in range(groups):
+        words = [f"g{g}w{i}" for i in range(184)]
+        for n in range(12):
+            begin, width = rng.randrange(170), rng.randrange(6, 14)
+            copy = list(words)
+            copy[begin : begin + width] = [f"g{g}n{n}e{i}" for i in range(width)]
+            texts.append(" ".join(copy))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    wanted = []
+    for a in range(len(texts)):
+        for b in range(a - a % 12, a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                wanted.append((a, b))
+    roots = union_find(wanted, range(len(texts)))
+    got = {r.doc_id: r.component_id for r in similar_documents(frame(spark, texts)).collect()}
+    assert len(set(roots.values())) > groups
+    assert all(roots[a] == roots[b] for a in got for b in got if got[a] == got[b])
+    lost = [pair for pair in wanted if got[pair[0]] != got[pair[1]]]
+    assert len(wanted) > 100 and len(lost) <= 0.01 * len(wanted)
+
+
 def test_dense_groups_of_similar_documents(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
