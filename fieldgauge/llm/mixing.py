@@ -4,6 +4,8 @@ The mix is a row of equal slots. The golden-ratio point of each slot, mapped thr
 sources' cumulative targets, says which source fills it, so any stretch of the mix holds
 the sources nearly in proportion. A source's documents are shuffled and laid end to end;
 its slots, by rank, take the blocks of that row in turn, and start again at its end.
+A source that few slots would fill has narrower blocks, and as many turns of its own,
+evenly spaced over the mix, as meet its target.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 REPEATS = 2
 SLOTS = 1 << 20
+FINE = 1 << 10  # blocks that a source's target has at least, unless they would be under a word
 
 _GOLDEN = 2654435769  # 2**32 over the golden ratio
 _CELL_BITS = 12
@@ -52,13 +55,13 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, repe
 
 
 def _schedule(targets: DataFrame, block: int, slots: int, all_targets: float) -> DataFrame:
-    """(rank, block, times): how often the mix takes each block of each source."""
+    """(rank, block, times): how often the mix takes each block of each source whose blocks fill a slot."""
     spark = targets.sparkSession
     order = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     points = 1 << 32
     shares = targets.withColumn("until", F.round(F.sum("target").over(order) / F.lit(all_targets) * points).cast("long"))
     shares = shares.withColumn("since", F.coalesce(F.lag("until").over(Window.orderBy("rank")), F.lit(0)))
-    shares = shares.where("until > since")
+    shares = shares.where((F.col("until") > F.col("since")) & (F.col("width") == block))
     cells = F.sequence(F.shiftright("since", 32 - _CELL_BITS), F.shiftright(F.col("until") - 1, 32 - _CELL_BITS))
     shares = shares.withColumn("cell", F.explode(cells)).withColumn("blocks", F.ceil(F.col("source_size") / block))
     slot = spark.range(slots).withColumn("point", (F.col("id") * _GOLDEN) % points)
@@ -86,7 +89,8 @@ def mix(
     document of size 0 has taken 0; null sources are one source, the last. Rows that
     repeat an id are mixed as documents of their own. An empty table gives an empty
     table; other columns are not read. The schedule has ``slots`` slots at most, which
-    bounds its table; a slot is a block of at least one word.
+    bounds its table; a slot is a block of at least one word. A source whose target has under
+    FINE slots is cut into blocks of a FINE of its target instead, of one word at least.
     """
     sizes = docs.select(
         F.col(f"`{id_column}`").alias("doc_id"),
@@ -99,22 +103,27 @@ def mix(
     all_targets = float(targets.agg(F.sum(F.col("target").cast("decimal(38,6)"))).first()[0] or 0)
     block = max(1, -int(-all_targets // slots))
     n_slots = -int(-all_targets // block)
+    fine = F.greatest(F.floor(F.col("target") / FINE), F.lit(1))
+    targets = targets.withColumn("width", F.least(F.lit(block), fine).cast("long"))
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     keyed = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).select(
-        "doc_id", "size", sizes["source"], "rank", "source_size", "target", digest.alias("digest")
+        "doc_id", "size", sizes["source"], "rank", "source_size", "target", "width", digest.alias("digest")
     )
     keyed = keyed.withColumn("bucket", F.substring("digest", 1, 3))
     laid = running_sums(keyed, ["rank"], "bucket", ["digest", "size"], {"until": "size"})
     out = ["doc_id", "size", "source", "source_size", "target"]
-    laid = written(laid.select(*out, "rank", "until"), "laid")
-    since = F.col("until") - F.col("size")
+    laid = written(laid.select(*out, "rank", "until", "width"), "laid")
+    since, width = F.col("until") - F.col("size"), F.col("width")
     pieces = laid.where("size > 0").withColumn(
-        "block", F.explode(F.sequence(F.floor(since / block), F.floor((F.col("until") - 1) / block)))
+        "block", F.explode(F.sequence(F.floor(since / width), F.floor((F.col("until") - 1) / width)))
     )
-    overlap = F.least("until", (F.col("block") + 1) * block) - F.greatest(since, F.col("block") * block)
+    overlap = F.least("until", (F.col("block") + 1) * width) - F.greatest(since, F.col("block") * width)
     pieces = pieces.withColumn("overlap", overlap)
     schedule = _schedule(targets, block, n_slots, all_targets or 1.0)
-    times = F.coalesce("times", F.lit(0))
+    blocks = F.ceil(F.col("source_size") / width)
+    turns = F.least(F.round(F.col("target") / width).cast("long"), blocks * REPEATS)
+    even = F.floor(turns / blocks) + (F.col("block") < turns % blocks).cast("long")
+    times = F.when(width < block, even).otherwise(F.coalesce("times", F.lit(0)))
     taken = (
         pieces.join(schedule, ["rank", "block"], "left")
         .groupBy(*out, "rank", "until")

@@ -299,6 +299,16 @@ def test_mixing_meets_targets(spark, odd):
     assert mixed(docs).agg(F.sum("taken")).first()[0] == sum(taken.values())
 
 
+def test_small_sources_meet_their_targets_beside_a_large_one(spark):
+    sizes = {"a": 500, "b": 5_000, "c": 2_000_000}
+    docs = spark.createDataFrame(
+        [(i, "w " * 100, None, s, 0) for s, n in sizes.items() for i in range(min(n, 20_000) // 100)], DOCS
+    ).withColumn("text", F.when(F.col("source") == "c", F.repeat(F.lit("w "), 10_000)).otherwise(F.col("text")))
+    found = mix(docs, slots=4096).groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken"))
+    found = {r.source: r for r in found.collect()}
+    assert all(abs(r.taken - r.target) <= 0.005 * r.target for r in found.values()) and len(found) == 3
+
+
 def test_merkle_trees(spark, odd):
     texts = [*some_texts(6)[:30], "same\ntext", "same\ntext", "", "🎈" * 50 + "\nend"]
     rows = {r.doc_id: r for r in fingerprints(frame(spark, texts)).collect()}
