@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldgauge.llm.decontamination import without_contamination
 from fieldgauge.llm.mixing import mixed
-from fieldgauge.llm.simhash import one_of_similar
+from fieldgauge.llm.simhash import one_of_each
 from fieldgauge.llm.substrings import remove_repeats
 from fieldgauge.llm.tables import written
 from fieldgauge.llm.toxicity import train, without_toxic
@@ -19,8 +19,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 0.8 of their five-word shingles, the one with the smallest id stays."""
-    return one_of_similar(docs)
+    """Of documents whose SimHash fingerprints link, the one with the smallest id stays; see ``one_of_each``."""
+    return one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
