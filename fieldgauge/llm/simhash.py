@@ -7,19 +7,10 @@ shuffles each fingerprint to its nodes and sorts a node by Gray rank. Below a no
 consecutive fingerprints form groups of groups that hold the bits their members agree
 on; two groups are skipped as a whole once the differences in bits that both have fixed
 exceed the distance.
-
-Documents of a given similarity differ in far more bits than an exact index of 64-bit
-fingerprints can bear. For these, fingerprints have 256 bits and the upper nodes are many
-masks of a few bits each: a pair within the distance shares at least one of them nearly
-always. The rest of the index is the same. Within a node the closest pairs join first, and
-only pairs that join something become links, so a dense group gives few. Links are checked
-on the shingles themselves.
 """
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,30 +22,19 @@ from pyspark.sql import types as T
 
 from fieldgauge.llm.components import components
 from fieldgauge.llm.tables import written
-from fieldgauge.llm.words import chunks, mix, span_hashes, split_words
+from fieldgauge.llm.words import chunks, split_words
 
 SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 
-SIMILAR_SHINGLE = 5
-SIMILARITY = 0.8
-WIDE_MASKS = 96
-WIDE_MASK_BITS = 16
-SPREAD = 2.5  # standard deviations above the mean distance at the similarity that are searched
-
 _FAN = 32  # members of a group, at every level
 _PAIRS = 2048  # group pairs compared at a time
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fingerprint", T.LongType())])
-_WIDE = ("w0", "w1", "w2", "w3")
-_WIDE_BITS = 64 * len(_WIDE)
-_WIDE_PRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "id", *_WIDE)])
 _LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-_FAR_LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "apart")])
-_SHINGLES = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
 
 def _shingle_words(words, size: int):
@@ -99,43 +79,6 @@ def fingerprint_values(column: pa.Array, size: int = SHINGLE) -> np.ndarray:
     return found
 
 
-def shingle_sets(column: pa.Array, size: int = SIMILAR_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each text's distinct shingles, row after row and in order, and how many each row has."""
-    words = split_words(column)
-    if not len(words.starts):
-        return np.zeros(0, np.uint64), np.zeros(len(words.rows) - 1, np.int64)
-    words.data = _LOWER[words.data]
-    first, behind, shingles = _shingle_words(words, size)
-    hashes, rows = span_hashes(words.hashes(), first, behind), np.repeat(np.arange(len(shingles)), shingles)
-    order = np.lexsort((hashes, rows))
-    hashes = hashes[order]
-    new = np.append(True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1]))
-    return hashes[new], np.bincount(rows[new], minlength=len(shingles))
-
-
-def set_values(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
-    """A name for each row's set of shingles: equal sets have equal ones."""
-    found = np.zeros(len(shingles), np.uint64)
-    filled = np.flatnonzero(shingles)
-    if len(filled):
-        found[filled] = mix(np.add.reduceat(mix(hashes), (np.cumsum(shingles) - shingles)[filled]))
-    return found
-
-
-def wide_values(column: pa.Array, size: int = SIMILAR_SHINGLE) -> np.ndarray:
-    """The fingerprint of each text in 256 bits, four words a row; other hashes, of its distinct shingles."""
-    return _wide_values(*shingle_sets(column, size))
-
-
-def _wide_values(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
-    found = np.zeros((len(shingles), len(_WIDE)), np.uint64)
-    if not len(hashes):
-        return found
-    for i in range(len(_WIDE)):
-        found[np.flatnonzero(shingles), i] = _majority(mix(hashes ^ np.uint64(i * 0x632BE59BD9B4E019 % 2**64)), shingles)
-    return found
-
-
 def _fingerprint_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -199,12 +142,6 @@ class _Labels:
                 self.of = self.of[self.of]
 
 
-def _bits(differences: np.ndarray, one_word: bool) -> np.ndarray:
-    """How many bits are set; fingerprints of several words lie along the last axis."""
-    counted = np.bitwise_count(differences)
-    return counted if one_word else counted.sum(axis=-1, dtype=np.int64)
-
-
 def _small_groups(values: np.ndarray, group: np.ndarray, labels: _Labels, distance: int) -> None:
     """Compares all members of groups of up to _FAN, all groups at a time."""
     at = np.arange(len(values))
@@ -213,7 +150,7 @@ def _small_groups(values: np.ndarray, group: np.ndarray, labels: _Labels, distan
         at = at[group[at] == group[at + step]]
         if not len(at):
             return
-        close = at[_bits(values[at] ^ values[at + step], values.ndim == 1) <= distance]
+        close = at[np.bitwise_count(values[at] ^ values[at + step]) <= distance]
         labels.join(close, close + step)
 
 
@@ -223,8 +160,8 @@ def _levels(values: np.ndarray):
     first, agreed = values, np.full_like(values, 2**64 - 1)
     while len(first) > _FAN:
         starts = np.arange(0, len(first), _FAN)
-        lead = np.repeat(first[starts], np.diff(np.append(starts, len(first))), axis=0)
-        differ = np.bitwise_or.reduceat((first ^ lead) | ~agreed, starts, axis=0)
+        lead = np.repeat(first[starts], np.diff(np.append(starts, len(first))))
+        differ = np.bitwise_or.reduceat((first ^ lead) | ~agreed, starts)
         first, agreed = first[starts], ~differ
         levels.append((first, agreed))
     return levels
@@ -233,13 +170,12 @@ def _levels(values: np.ndarray):
 def _large_group(values: np.ndarray, labels: _Labels, base: int, distance: int) -> None:
     """Compares members in Gray order through the tree of groups, skipping pairs of groups that are
     too far apart or already connected as a whole."""
-    one_word = values.ndim == 1
     levels = _levels(values)
     top = len(levels) - 1
     n = len(levels[top][0])
     one, two = np.triu_indices(n)
     stack = [(top, one, two)]
-    full = np.concatenate([values, np.zeros_like(values, shape=(-len(values) % _FAN, *values.shape[1:]))])
+    full = np.concatenate([values, np.zeros(-len(values) % _FAN, np.uint64)])
     while stack:
         level, one, two = stack.pop()
         if len(one) > _PAIRS:
@@ -249,7 +185,7 @@ def _large_group(values: np.ndarray, labels: _Labels, base: int, distance: int)
                 stack.append((level, one[start : start + _PAIRS], two[start : start + _PAIRS]))
             continue
         first, agreed = levels[level]
-        apart = _bits((first[one] ^ first[two]) & agreed[one] & agreed[two], one_word) > distance
+        apart = np.bitwise_count((first[one] ^ first[two]) & agreed[one] & agreed[two]) > distance
         one, two = one[~apart], two[~apart]
         span = _FAN ** (level + 1)
         starts = np.arange(0, len(values), span)
@@ -263,39 +199,36 @@ def _large_group(values: np.ndarray, labels: _Labels, base: int, distance: int)
         b = (two[:, None, None] * _FAN + np.arange(_FAN)[None, None, :])
         a, b = np.broadcast_arrays(a, b)
         if level == 0:
-            close = (_bits(full[a] ^ full[b], one_word) <= distance) & (a < b) & (b < len(values))
+            close = (np.bitwise_count(full[a] ^ full[b]) <= distance) & (a < b) & (b < len(values))
             labels.join(base + a[close], base + b[close])
         else:
             use = (a <= b) & (b < len(levels[level - 1][0]))
             stack.append((level - 1, a[use], b[use]))
 
 
-def _links(keys: tuple[str, ...], name: str, words: tuple[str, ...], distances: tuple[int, ...]):
-    """Links that connect the fingerprints of a node as their pairs within the last distance do.
+def _links(distance: int):
+    """Links that connect the fingerprints of a node as their pairs within the distance do.
 
-    A node gives fewer links than it has members. Pairs within a smaller distance join
-    first. ``keys`` tell nodes apart, ``words`` make up the fingerprint, and links carry ``name``.
+    A node gives fewer links than it has members.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list = []  # of a node that may go on
 
         def found() -> pa.RecordBatch:
-            node, names, *values = (np.concatenate(x) for x in zip(*waiting, strict=True))
-            return _link_rows(node, names, values, distances)
+            return _link_rows(*(np.concatenate(x) for x in zip(*waiting, strict=True)), distance)
 
         open_key, number = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = [batch.column(c).to_numpy(zero_copy_only=False) for c in keys]
-            rest = [batch.column(c).to_numpy(zero_copy_only=False) for c in (name, *words)]
+            *key, values = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "pattern", "fingerprint"))
             new = np.zeros(batch.num_rows, bool)
             new[0] = open_key != [k[0] for k in key]
             for k in key:
                 new[1:] |= k[1:] != k[:-1]
             open_key = [k[-1] for k in key]
-            rest.insert(0, np.cumsum(new) + number)
+            rest = [np.cumsum(new) + number, values]
             number = rest[0][-1]
             ends = np.flatnonzero(new)
             if len(ends):
@@ -312,29 +245,23 @@ def _links(keys: tuple[str, ...], name: str, words: tuple[str, ...], distances:
     return run
 
 
-def _link_rows(node: np.ndarray, names: np.ndarray, words: list[np.ndarray], distances: tuple[int, ...]) -> pa.RecordBatch:
+def _link_rows(node: np.ndarray, names: np.ndarray, distance: int) -> pa.RecordBatch:
     sizes = np.diff(np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]])))
     shared = np.repeat(sizes > 1, sizes)
     names, group = names[shared], node[shared]
-    values = [w[shared].view(np.uint64) for w in words]
-    values = values[0] if len(values) == 1 else np.stack(values, axis=1)
+    values = names.view(np.uint64)
     labels = _Labels(len(values))
     size = np.repeat(sizes, sizes)[shared]
     small = np.flatnonzero(size <= _FAN)
     inner = _Labels(len(small))
     large = np.flatnonzero(size > _FAN)
     starts = large[np.append(True, np.diff(group[large]) != 0)] if len(large) else []
-    for distance in distances:
-        _small_groups(values[small], group[small], inner, distance)
-        for begin in starts:
-            _large_group(values[begin : begin + size[begin]], labels, begin, distance)
+    _small_groups(values[small], group[small], inner, distance)
+    for begin in starts:
+        _large_group(values[begin : begin + size[begin]], labels, begin, distance)
     pairs = [*labels.pairs, *((small[a], small[b]) for a, b in inner.pairs)]
     a, b = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, int), np.zeros(0, int))
-    columns = [pa.array(names[a]), pa.array(names[b])]
-    if len(distances) == 1:
-        return pa.RecordBatch.from_arrays(columns, names=_LINKS.names)
-    apart = _bits(values[a] ^ values[b], values.ndim == 1).astype(np.int64)
-    return pa.RecordBatch.from_arrays([*columns, pa.array(apart)], names=_FAR_LINKS.names)
+    return pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], names=_LINKS.names)
 
 
 def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -349,136 +276,10 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return (
         placed.repartition("mask", "pattern")
         .sortWithinPartitions("mask", "pattern", gray_rank(F.col("fingerprint")))
-        .mapInArrow(_links(("mask", "pattern"), "fingerprint", ("fingerprint",), (distance,)), _LINKS)
-    )
-
-
-def wide_masks(count: int = WIDE_MASKS, bits: int = WIDE_MASK_BITS) -> np.ndarray:
-    """Masks of ``bits`` of the 256 bits each, four words a row: shuffled bits dealt out in turn, then shuffled anew."""
-    rng, left, found = random.Random(SEED), [], np.zeros((count, len(_WIDE)), np.uint64)
-    for row in found:
-        if len(left) < bits:
-            left = rng.sample(range(_WIDE_BITS), _WIDE_BITS)
-        for bit in left[:bits]:
-            row[bit // 64] |= np.uint64(1 << bit % 64)
-        left = left[bits:]
-    return found
-
-
-def bits_apart(similarity: float, spread: float = 0.0, bits: int = _WIDE_BITS) -> int:
-    """Bits in which fingerprints of this similarity differ: the mean and ``spread`` standard deviations."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return max(0, int(bits * share + spread * math.sqrt(bits * share * (1 - share))))
-
-
-def _wide_rows(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in chunks(whole, "text"):
-                sets = shingle_sets(batch.column("text"), size)
-                values = [set_values(*sets), *_wide_values(*sets).T]
-                columns = [batch.column("doc_id"), *(pa.array(np.ascontiguousarray(v).view(np.int64)) for v in values)]
-                yield pa.RecordBatch.from_arrays(columns, names=_WIDE_PRINTS.names)
-
-    return run
-
-
-def _wide_nodes(names: tuple[str, ...]):
-    """Each row of a fingerprint once for each mask, with a hash of the mask and the pattern under it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = wide_masks()
-        for batch in batches:
-            rest = [batch.column(c) for c in names]
-            words = [batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in _WIDE]
-            for number, mask in enumerate(masks):
-                node = np.full(batch.num_rows, number, np.uint64)
-                for word, part in zip(words, mask, strict=True):
-                    node = mix(node + (word & part))
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *rest], names=["node", *names])
-
-    return run
-
-
-def _in_nodes(distinct: DataFrame, *names: str) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("node", *names)])
-    return distinct.select(*names).mapInArrow(_wide_nodes(names), schema)
-
-
-def wide_links(distinct: DataFrame, sure: int, distance: int) -> DataFrame:
-    """Links (a, b, apart) between ids of 256-bit fingerprints (id, w0 to w3) that share a mask's bits.
-
-    They connect within ``distance``, closest pairs first: each pair left out is connected
-    by closer ones, up to four steps from ``sure`` to ``distance``.
-    """
-    distances = tuple(sure + (distance - sure) * i // 3 for i in range(4))
-    return (
-        _in_nodes(distinct, "id", *_WIDE)
-        .repartition("node")
-        .sortWithinPartitions("node", gray_rank(F.col("w0")))
-        .mapInArrow(_links(("node",), "id", _WIDE, distances), _FAR_LINKS)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "apart")
-        .distinct()
+        .mapInArrow(_links(distance), _LINKS)
     )
 
 
-def wide_pairs(distinct: DataFrame, similarity: float, distance: int) -> DataFrame:
-    """All pairs (a, b) of ids of different ``root`` that share a mask's bits and are within ``distance``.
-
-    Pairs whose numbers ``n`` of shingles alone rule out ``similarity`` are left out.
-    """
-    columns = ("id", *_WIDE, "root", "n")
-    placed = _in_nodes(distinct, *columns)
-    one, two = (placed.select("node", *[F.col(c).alias(f"{end}_{c}") for c in columns]) for end in ("a", "b"))
-    apart = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in _WIDE), F.lit(0))
-    pairs = one.join(two, "node").where("a_id < b_id and a_root <> b_root").where(apart <= distance)
-    pairs = pairs.where(F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n"))
-    return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
-
-
-def _shingle_rows(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in chunks(whole, "text"):
-                hashes, shingles = shingle_sets(batch.column("text"), size)
-                ends = pa.array(np.append(0, np.cumsum(shingles)).astype(np.int32))
-                sets = pa.ListArray.from_arrays(ends, pa.array(hashes.view(np.int64)))
-                names = pa.array(set_values(hashes, shingles).view(np.int64))
-                yield pa.RecordBatch.from_arrays([names, sets], names=_SHINGLES.names)
-
-    return run
-
-
-def _sets(found: DataFrame, distinct: DataFrame, plain: DataFrame, size: int) -> DataFrame:
-    """(id, shingles) of the ends of links."""
-    ends = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct()
-    needed = written(distinct.select("id", "least").join(ends, "id"), "needed")
-    texts = plain.join(needed.select("least"), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
-    sets = texts.mapInArrow(_shingle_rows(size), _SHINGLES).join(needed.select("id"), "id", "left_semi")
-    return written(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "shingles")
-
-
-def _checked(open_links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The links whose documents share ``similarity`` of their distinct shingles."""
-    one, two = (sets.select(F.col("id").alias(end), F.col("shingles").alias(f"of_{end}")) for end in ("a", "b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    alike = both >= similarity * (F.size("of_a") + F.size("of_b") - both)
-    return written(open_links.select("a", "b").join(one, "a").join(two, "b").where((both > 0) & alike).select("a", "b"), "checked")
-
-
-def _between(found: DataFrame, classes: DataFrame) -> DataFrame:
-    """The links between different classes, with a_root and b_root."""
-    for end in ("a", "b"):
-        named = classes.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-        found = found.join(named, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
-    return found.where("a_root <> b_root")
-
-
-def _closest(found: DataFrame) -> DataFrame:
-    """Of each end's links the closest."""
-    both = found.select(F.explode(F.array("a", "b")).alias("end"), F.struct("apart", "a", "b").alias("link"))
-    return both.groupBy("end").agg(F.min("link").alias("link")).select("link.*").distinct()
-
-
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
@@ -503,66 +304,13 @@ def near_duplicates(
     )
 
 
-def similar_documents(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text: str = "text",
-    size: int = SIMILAR_SHINGLE,
-    similarity: float = SIMILARITY,
-) -> DataFrame:
-    """(doc_id, component_id) for every row of ``docs``: documents that share ``similarity`` of their shingles.
-
-    Words are those of ``near_duplicates``; a document's shingles are its distinct ones of
-    ``size`` words, and similarity is what two have in common of all they have. Texts with
-    equal shingles always link. Others are found by fingerprints of 256 bits, up to SPREAD standard
-    deviations above the mean distance at ``similarity``, and every link is a comparison of
-    their shingles: first each text's closest, then those between texts not yet connected.
-    Where some fail, the pairs that they stood for are compared as well, so that no link
-    between two texts is lost to a third.
-    component_id is the smallest doc_id reachable. Null, empty and blank texts are copies
-    of each other. A component's id is null only if no member has one. Rows that repeat an
-    id are kept; an empty table gives an empty table; other columns are not read.
-    """
-    sure, distance = bits_apart(similarity, -4), bits_apart(similarity, SPREAD)
-    plain = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    prints = written(plain.mapInArrow(_wide_rows(size), _WIDE_PRINTS), "fingerprints")
-    distinct = written(prints.groupBy("id", *_WIDE).agg(F.min("doc_id").alias("least")), "distinct")
-    found = written(wide_links(distinct, sure, distance), "links")
-    sets = _sets(found, distinct, plain, size)
-    checked = _checked(_closest(found), sets, similarity)
-    classes = written(components(checked), "classes")
-    checked = checked.unionByName(_checked(_between(found, classes), sets, similarity))
-    classes = written(components(checked), "classes")
-    failed = written(_between(found, classes).select("a", "b", "a_root", "b_root"), "failed")
-    if not failed.isEmpty():
-        roots = failed.select(F.explode(F.array("a_root", "b_root")).alias("root")).distinct()
-        rooted = distinct.join(classes.withColumnRenamed("node", "id"), "id", "left")
-        rooted = rooted.withColumn("root", F.coalesce("root", "id")).join(roots, "root", "left_semi")
-        sizes = sets.select("id", F.size("shingles").cast("long").alias("n"))
-        more = wide_pairs(written(rooted.join(sizes, "id"), "open"), similarity, distance)
-        more = written(more.join(failed.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        checked = checked.unionByName(_checked(more, sets, similarity))
-    linked = components(checked).withColumnRenamed("node", "id")
-    rooted = distinct.join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = rooted.join(named, "root").select("id", "component_id")
-    return prints.select("doc_id", "id").join(members, "id").select("doc_id", "component_id")
-
-
-def _first_of_each(docs: DataFrame, found: DataFrame, id_column: str) -> DataFrame:
-    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")
-
-
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The documents without near duplicates: of each component, the one with the smallest id stays.
 
-    Rows that share an id are one document. Rows without an id stay only where no member
-    of their component has one.
+    All columns stay as they are, whatever their names. Rows that share an id are one
+    document. Null, empty and blank texts are near duplicates of each other. Rows without
+    an id stay only where no member of their component has one. An empty table stays empty.
     """
-    return _first_of_each(docs, near_duplicates(docs, id_column, text, **settings), id_column)
-
-
-def one_of_similar(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """``one_of_each`` by the components of ``similar_documents``."""
-    return _first_of_each(docs, similar_documents(docs, id_column, text, **settings), id_column)
+    found = near_duplicates(docs, id_column, text, **settings)
+    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(kept, docs[f"`{id_column}`"].eqNullSafe(kept["_kept_id"]), "left_semi")

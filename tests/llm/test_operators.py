@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
-from fieldgauge.llm import simhash as wide  # noqa: E402
 from fieldgauge.llm.components import components  # noqa: E402
 from fieldgauge.llm.decontamination import contamination, without_contamination  # noqa: E402
 from fieldgauge.llm.html_blocks import blocks  # noqa: E402
@@ -23,7 +22,7 @@ from fieldgauge.llm.html_text import extract_text, main_text, shared_lines  # no
 from fieldgauge.llm.licences import scan  # noqa: E402
 from fieldgauge.llm.merkle import edits, fingerprints, with_tree  # noqa: E402
 from fieldgauge.llm.mixing import mix, mixed, source_targets  # noqa: E402
-from fieldgauge.llm.simhash import links, near_duplicates, one_of_each, one_of_similar, similar_documents  # noqa: E402
+from fieldgauge.llm.simhash import links, near_duplicates, one_of_each  # noqa: E402
 from fieldgauge.llm.substrings import remove_repeats  # noqa: E402
 from fieldgauge.llm.token_counts import encoded_lengths, length_histogram, length_quantile, truncated_total  # noqa: E402
 from fieldgauge.llm.toxicity import Grammar, Model, score, train, without_toxic  # noqa: E402
@@ -149,100 +148,16 @@ def test_gray_index_loses_no_link_in_dense_groups(spark):
     assert {r.node: r.root for r in got} == {n: r for n, r in expected.items() if n in {x for p in near for x in p}}
 
 
-def test_similar_documents_equal_brute_force(spark, odd):
-    rng = random.Random(12)
-    texts = []
-    for _ in range(150):
-        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(80, 400))]
-        texts.append(" ".join(words))
-        for _ in range(rng.randrange(3)):
-            copy = list(words)
-            for _ in range(rng.randrange(1 + len(words) // 20)):
-                copy[rng.randrange(len(copy))] = "edit"
-            texts.append(" ".join(copy).upper())
-    texts += texts[:10] + ["w1 w2 w3"] * 3 + ["w1 w2 w4", "", None]
-    words = [(t or "").lower().split() for t in texts]
-    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
-    alike = {}
-    for a in range(len(texts)):
-        for b in range(a):
-            both = len(sets[a] & sets[b])
-            alike[a, b] = both / (len(sets[a] | sets[b]) or 1) if sets[a] or sets[b] else 1.0
-    wanted = {pair for pair, share in alike.items() if share >= 0.8}
-    roots = union_find(wanted, range(len(texts)))
-    got = {r.doc_id: r.component_id for r in similar_documents(frame(spark, texts)).collect()}
-    assert sum(got[a] == got[b] for a, b in wanted) >= 0.95 * len(wanted) and len(wanted) > 100
-    assert all(roots[a] == roots[b] for a, b in alike if got[a] == got[b])
-    assert all(got[a] == got[b] for a, b in alike if sets[a] == sets[b])
-    assert all(got[c] == c and c <= i for i, c in got.items())
-    kept = sorted(r.doc_id for r in one_of_similar(frame(spark, texts)).collect())
-    assert kept == sorted(set(got.values()))
-    assert similar_documents(odd).count() == odd.count() and similar_documents(odd.limit(0)).count() == 0
-    assert len({r.component_id for r in similar_documents(odd).collect() if r.doc_id in (0, 1, 2)}) == 1
-
-
-def test_masks_reach_pairs_at_the_limit():
-    rng = random.Random(8)
-    for new_words, least in ((20, 0.97), (15, 0.98)):  # of 180 shingles: similarity 0.8 exactly, and 0.846
-        one, two = [], []
-        for _ in range(2000):
-            words = [f"w{rng.randrange(10**6)}" for _ in range(184 + new_words)]
-            one.append(" ".join(words[:184]))
-            two.append(" ".join(words[: 184 - new_words] + words[184:]))
-        apart = wide.wide_values(pa.array(one)) ^ wide.wide_values(pa.array(two))
-        shares = np.zeros(len(one), bool)
-        for mask in wide.wide_masks():
-            shares |= ((apart & mask) == 0).all(axis=1)
-        near = np.bitwise_count(apart).sum(axis=1) <= wide.bits_apart(0.8, wide.SPREAD)
-        assert (shares & near).mean() >= least
-
-
-def test_repeated_lines_neither_link_nor_part_documents(spark):
-    rng = random.Random(5)
-    line = " ".join(f"same{i}" for i in range(11))
-    texts = []
-    for times in (10, 20, 60):
-        for _ in range(2):
-            own = " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))
-            texts += [f"{own} " + " ".join([line] * times), f"{own} {line} {line}"]
-    got = {r.doc_id: r.component_id for r in similar_documents(frame(spark, texts)).collect()}
-    assert got == {i: i - i % 2 for i in range(len(texts))}
-
-
-def test_no_link_is_lost_to_failed_ones(spark):
-    rng = random.Random(21)
-    texts, groups = [], 20
-    for g in range(groups):
-        words = [f"g{g}w{i}" for i in range(184)]
-        for n in range(12):
-            begin, width = rng.randrange(170), rng.randrange(6, 14)
-            copy = list(words)
-            copy[begin : begin + width] = [f"g{g}n{n}e{i}" for i in range(width)]
-            texts.append(" ".join(copy))
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
-    wanted = []
-    for a in range(len(texts)):
-        for b in range(a - a % 12, a):
-            both = len(sets[a] & sets[b])
-            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
-                wanted.append((a, b))
-    roots = union_find(wanted, range(len(texts)))
-    got = {r.doc_id: r.component_id for r in similar_documents(frame(spark, texts)).collect()}
-    assert len(set(roots.values())) > groups
-    assert all(roots[a] == roots[b] for a in got for b in got if got[a] == got[b])
-    lost = [pair for pair in wanted if got[pair[0]] != got[pair[1]]]
-    assert len(wanted) > 100 and len(lost) <= 0.01 * len(wanted)
-
-
-def test_dense_groups_of_similar_documents(spark):
-    rng = random.Random(3)
-    words = [f"w{i}" for i in range(300)]
-    texts = []
-    for n in range(400):
-        copy = list(words)
-        copy[rng.randrange(300)] = f"edit{n}"
-        texts.append(" ".join(copy))
-    assert {r.component_id for r in similar_documents(frame(spark, texts)).collect()} == {0}
+def test_one_of_each_by_value(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text, "en", "a", 1), (2, text.upper(), "en", "b", 2), (2, "other words here", "en", "b", 3)]
+    rows += [(None, text, None, None, 4), (None, "alone without an id", None, None, 5), (9, "", None, None, 6), (7, None, None, None, 7)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("_kept_id", F.lit(0)).withColumn("component_id", F.lit("x"))
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    # The text without an id goes with its component; the one that is alone stays, as do all rows of a kept id.
+    assert sorted(r.n_chars for r in kept.where("doc_id is not null").collect()) == [2, 3, 7]
+    assert one_of_each(docs.limit(0)).count() == 0
 
 
 def test_histogram_answers_every_limit(spark, odd):
