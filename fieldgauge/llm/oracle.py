@@ -104,7 +104,46 @@ select doc_id, n_chars, edited_sha256, root[1] as fingerprint, root[2] as edited
     else len(list_intersect(parts[1], parts[3])) * 2.0::double / (len(parts[1]) + len(parts[3])) end as near_next
 from roots"""
 
+COLLOCATIONS = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+spoken as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+totals as (
+  select lang, cast(sum(len(words)) as bigint) as n from spoken group by lang),
+places as (
+  select lang, words, size, unnest(range(1, len(words) - size + 2)) as place
+  from spoken, (select unnest([1, 2, 3, 4]) as size) s where len(words) >= size),
+phrases as (
+  select lang, size, words[place : place + size - 1] as words, count(*) as f from places group by all having f >= 30),
+candidates as (
+  select lang, size, words, f as a, unnest(range(1, size)) as k from phrases where size > 1),
+cuts as (
+  select c.*, one.f as l, two.f as r, cast(2000000 as hugeint) * a // (one.f + two.f) as score
+  from candidates c
+  join phrases one on one.lang = c.lang and one.words = c.words[1 : c.k]
+  join phrases two on two.lang = c.lang and two.words = c.words[c.k + 1 : c.size]),
+lowest as (
+  select * from cuts qualify row_number() over (partition by lang, words order by score, k) = 1),
+parts as (
+  select lang, words, a, n, unnest(range(1, size - n + 2)) as i
+  from lowest, (select unnest([2, 3]) as n) t where n < size),
+holders as (
+  select lang, words[i : i + n - 1] as words, max(a) as longer from parts group by all),
+alone as (
+  select l.* from lowest l left join holders h on h.lang = l.lang and h.words = l.words
+  where longer is null or cast(100 as hugeint) * longer < cast(80 as hugeint) * a),
+ranked as (
+  select lang, array_to_string(words, ' ') as phrase, a, l, r, cast(score as bigint) as score,
+    row_number() over (partition by lang order by score desc, a desc, array_to_string(words, ' ')) as rank
+  from alone)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000"""
+
 ORACLE = {
+    "op13_phrase_collocations": COLLOCATIONS,
     "op4_substring_dedup": SUBSTRINGS,
     "op5_source_mixing": MIX,
     "op6_merkle_fingerprints": TREES,

@@ -79,9 +79,22 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split_words(column: pa.Array) -> Words:
+def byte_table(chosen: bytes) -> np.ndarray:
+    """Which of the 256 bytes are among the chosen ones."""
+    table = np.zeros(256, bool)
+    table[list(chosen)] = True
+    return table
+
+
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    """The bytes with A to Z in lower case."""
+    return data + ((data >= ord("A")) & (data <= ord("Z"))).astype(np.uint8) * np.uint8(32)
+
+
+def split_words(column: pa.Array, separators: np.ndarray = _IS_SPACE) -> Words:
+    """The maximal runs of bytes that are not among the separators, a table of the 256 bytes."""
     data, offsets = text_bytes(column)
-    inside = ~_IS_SPACE[data]
+    inside = ~separators[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
