@@ -6,8 +6,11 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldgauge.llm.alignment import align
+from fieldgauge.llm.collocations import collocations
 from fieldgauge.llm.decontamination import contamination
 from fieldgauge.llm.html_text import extract_text
+from fieldgauge.llm.language_model import held_out_scores
 from fieldgauge.llm.licences import scan
 from fieldgauge.llm.merkle import fingerprints
 from fieldgauge.llm.mixing import mix
@@ -66,6 +69,18 @@ def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_scores(_table(spark, sf_dir, "documents"))
+
+
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_table(spark, sf_dir, "documents"))
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": token_counts,
     "op2_simhash_dedup": simhash_dedup,
@@ -77,5 +92,8 @@ QUERIES = {
     "op8_warc_derivatives": warc_derivatives,
     "op9_toxicity": toxicity,
     "op10_licence_scan": licence_scan,
+    "op11_language_model": language_model,
+    "op12_tokenizer_alignment": tokenizer_alignment,
+    "op13_phrase_collocations": phrase_collocations,
     "pipeline": corpus_pipeline.run,
 }

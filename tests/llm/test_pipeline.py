@@ -14,7 +14,7 @@ DATA = "/root/testdata/sf0.001"
 
 def test_registered():
     numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES if name.startswith("op"))
-    assert numbers == list(range(1, 11)) and set(QUERIES) <= set(entry_module.queries())
+    assert numbers == list(range(1, 14)) and set(QUERIES) <= set(entry_module.queries())
     assert set(ORACLE) <= set(entry_module.oracle_sql()) and set(ORACLE) <= set(QUERIES)
 
 
