@@ -15,6 +15,7 @@ from .. import operators as op
 from .. import plans, sinks, sources, streaming
 from ..schemas import (
     OBSERVATION_SCHEMA,
+    PAYLOAD_REQUEST_SCHEMA,
     TRANSFORMED_SCHEMA,
     UNASSIGNED_REGION,
     UNKNOWN_SENSOR,
@@ -341,9 +342,7 @@ def compaction_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     observed = ad.observations(spark, sf)
     sinks.write_observations(observed.where(F.col("precipitation").isNull()), f"{root}/table")
     sinks.write_observations(observed.where(F.col("precipitation").isNotNull()), f"{root}/table")
-    sinks.compact_days(
-        spark, f"{root}/table", ["2024-01-02", "2024-01-03", "2024-01-04"], f"{root}/staging", WITH_ID
-    )
+    sinks.compact_days(spark, f"{root}/table", ["2024-01-02", "2024-01-03", "2024-01-04"], WITH_ID)
     return sources.read_table(spark, f"{root}/table", WITH_ID)
 
 
@@ -551,3 +550,183 @@ def stored_drift(spark: SparkSession, sf: str) -> DataFrame:
     sinks.write_observations(observed.where(F.col("dt") <= "2024-01-15"), path)
     sinks.write_observations(renamed.where(F.col("dt") > "2024-01-15"), path)
     return op.schema_drift(sources.read_merged(spark, path).withColumn("dt", fx.iso_day("dt")), by=["dt"])
+
+
+# Versions of a table, footers, streams with rejects.
+
+
+@query
+def versioned_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Two commits; the first version reads as it was after the second and a compaction."""
+    path = scratch_path(spark, "table") + "/table"
+    observed = ad.observations(spark, sf)
+    first = sinks.upsert_days(observed.where(F.col("event_id") % 2 == 0), path, TIE)
+    sinks.upsert_days(observed.where(F.col("event_id") % 2 == 1), path, TIE)
+    last = sinks.compact_days(spark, path, ["2024-01-02", "2024-01-03"])
+    kept = ["dt", "sensor_id", "ingestion_timestamp", "region_total_precipitation"]
+    versions = [sources.read_version(spark, path, v).select(F.lit(v.number).alias("version"), *kept) for v in (first, last)]
+    return versions[0].unionByName(versions[1])
+
+
+def _drifting_table(spark: SparkSession, sf: str) -> str:
+    """A week as declared, one with a renamed column, one with a retyped and one with an empty."""
+    path = scratch_path(spark, "table") + "/table"
+    observed = ad.observations(spark, sf)
+    weeks = (
+        observed.where(F.col("dt") <= "2024-01-08"),
+        observed.where(F.col("dt").between("2024-01-09", "2024-01-15")).withColumnRenamed("temperature_max", "temperature_2m_max"),
+        observed.where(F.col("dt").between("2024-01-16", "2024-01-22")).withColumn("latitude", F.col("latitude").cast("float")),
+        observed.where(F.col("dt") > "2024-01-22").withColumn("precipitation", F.lit(None).cast("double")),
+    )
+    for week in weeks:
+        sinks.write_observations(week, path)
+    return path
+
+
+@query
+def footer_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Which days lack a column, hold it with another type, or hold no value in it, from footers alone."""
+    found = op.footer_drift(sources.table_footers(spark, _drifting_table(spark, sf)))
+    return found.select("dt", "column_name", "expected_type", "types", "rows_with_value", "status")
+
+
+@query
+def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed responses, a tenth of them unreadable and a tenth of no day, as stored sensor-days and rejects."""
+    root = scratch_path(spark, "stream")
+    kind = F.col("event_id") % 10
+    day = F.when(kind == 1, "2024-02-30").otherwise(F.col("dt"))
+    daily = F.struct(
+        F.array(day).alias("time"),
+        F.array("temperature_max").alias("temperature_2m_max"),
+        F.array("temperature_min").alias("temperature_2m_min"),
+        F.array("precipitation").alias("precipitation_sum"),
+    )
+    payload = F.when(kind == 0, "<html>busy</html>").otherwise(F.to_json(F.struct(daily.alias("daily"))))
+    landed = ad.observations(spark, sf).withColumn("payload", payload)
+    landed.select(*PAYLOAD_REQUEST_SCHEMA.names).repartition(4, "sensor_id").write.json(f"{root}/landed")
+    streaming.payload_stream(
+        spark, f"{root}/landed", f"{root}/table", f"{root}/state", files_per_batch=2, payload_source="events"
+    ).awaitTermination()
+    stored = sources.read_table(spark, f"{root}/table")
+    rejects = sinks.read_rejects(spark, f"{root}/table", OBSERVATION_SCHEMA)
+    kept = ["dt", "sensor_id", "ingestion_timestamp"]
+    return stored.select(F.lit("stored").alias("outcome"), *kept).unionByName(rejects.select(F.col("reason").alias("outcome"), *kept))
+
+
+@query
+def expired_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A dry run of expiry, then what table and catalog hold after it, by day."""
+    path = scratch_path(spark, "table") + "/table"
+    name = f"expiring_{uuid.uuid5(uuid.NAMESPACE_URL, sf).hex}"
+    sinks.upsert_days(ad.observations(spark, sf).drop("event_id"), path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    sources.register_table(spark, name, path, TRANSFORMED_SCHEMA)
+    sources.sync_partitions(spark, name, path)
+    dry = sinks.expired_days(spark, path, LAST, expire_after=15)
+    found = dry.select(F.lit("dry run").alias("source"), "dt", F.col("age_days").cast("long").alias("n"))
+    sinks.expire_days(spark, path, LAST, expire_after=15, name=name)
+    for source, table in (("table", sources.read_table(spark, path)), ("catalog", spark.table(name))):
+        found = found.unionByName(table.groupBy(F.lit(source).alias("source"), "dt").agg(F.count("*").alias("n")))
+    return found
+
+
+@query
+def synced_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog entry brought up to date commit by commit, and the log of layout changes."""
+    root = scratch_path(spark, "table")
+    path, log = f"{root}/table", f"{root}/layout"
+    name = f"synced_{uuid.uuid5(uuid.NAMESPACE_URL, sf).hex}"
+    observed = ad.observations(spark, sf)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    sources.register_table(spark, name, path, TRANSFORMED_SCHEMA)
+    # The second batch brings a column that the layout does not declare, and replaces the tenth of January.
+    for batch in (observed.where(F.col("dt") <= "2024-01-10").drop("event_id"), observed.where(F.col("dt") >= "2024-01-10")):
+        sinks.upsert_days(batch, path)
+        days = sources.sync_partitions(spark, name, path)
+        sinks.append_layout_changes(spark, path, days, log, "2024-01-31T03:00:00")
+    held = spark.table(name).groupBy(F.lit("catalog").alias("source"), "dt").agg(F.count("*").alias("n"))
+    logged = spark.read.json(log).where("status <> 'all_null'")
+    return held.unionByName(logged.select(F.concat_ws(" ", "status", "column_name").alias("source"), "dt", F.col("rows_with_value").alias("n")))
+
+
+@query
+def request_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as sensors and order days as readings: what to ask again for two years."""
+    sensors = ad.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("sensor_id"))
+    observed = ad.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("sensor_id"), fx.iso_day("o_orderdate").alias("dt"))
+    return plans.request_ranges(sensors, observed, date(1995, 1, 1), date(1996, 12, 31))
+
+
+@query
+def sketched_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored daily sketches merged over three ranges, and whether each percentile's rank is within the stated error."""
+    path = scratch_path(spark, "sketches") + "/days"
+    log = ad.request_log(spark, sf)
+    op.latency_sketches(log).write.parquet(path)
+    stored = spark.read.parquet(path)
+    ends = F.explode(F.array(*[F.lit(d) for d in ("2024-01-05", "2024-01-20", "2024-01-31")])).alias("until")
+    merged = op.merged_percentiles(stored.select("*", ends).where(F.col("day") <= F.col("until")), by=["until"])
+    ranked = log.select("day", "latency_ms").join(merged, F.col("day") <= F.col("until")).groupBy("until", "checks")
+
+    def within(percent: int):
+        below, upto = F.count_if(F.col("latency_ms") < F.col(f"p{percent}")), F.count_if(F.col("latency_ms") <= F.col(f"p{percent}"))
+        wanted, slack = F.count("*") * (percent / 100), F.count("*") * op.RANK_ERROR
+        return ((below <= wanted + slack) & (upto >= wanted - slack)).alias(f"p{percent}_within")
+
+    return ranked.agg(F.count("*").alias("rows"), *[within(p) for p in (50, 95, 99)])
+
+
+@query
+def cursor_chains(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversation turns as pages known by cursors: chains that are whole, lack a page, go round, or are not ended."""
+    turns = ad.table(spark, sf, "conversations").selectExpr(
+        "conv_id as chain_id", "conv_id % 4 as kind", "turn", "max(turn) over (partition by conv_id) = turn as is_last"
+    )
+    pages = turns.where("not (kind = 0 and turn = 1) and not (kind = 1 and turn = 0)").selectExpr(
+        "chain_id",
+        "case when turn > 0 then concat('c', turn) end as cursor",
+        "case when not is_last then concat('c', turn + 1) when kind = 1 then 'c1' when kind = 2 then 'later' end as next_cursor",
+        "if(kind = 3 and turn = 1, 2, 1) as copies",
+    )
+    return op.cursor_chain_audit(pages.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))))
+
+
+@query
+def checkpoint_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """A log appended to in three parts with a snapshot after the first two."""
+    log = scratch_path(spark, "checkpoints") + "/log"
+    records = ad.checkpoint_log(spark, sf)
+    for part in range(3):
+        sinks.append_checkpoint(records.where(F.pmod(F.xxhash64("execution_id"), F.lit(3)) == part), log)
+        if part < 2:
+            sinks.compact_checkpoints(spark, log)
+    return sources.read_checkpoint(spark, log)
+
+
+def _stored_bitmaps(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    path = scratch_path(spark, "presence") + "/days"
+    observed = ad.observations(spark, sf).withColumn("ordinal", op.sensor_ordinal())
+    op.presence_bitmaps(observed).write.partitionBy("dt").parquet(path)
+    layout = "bucket long, present binary, dt string"
+    return spark.read.schema(layout).parquet(path), observed.select("sensor_id", "ordinal").distinct()
+
+
+@query
+def presence_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct sensors of three ranges of days and missing sensors of each day, from stored bitmaps."""
+    bitmaps, sensors = _stored_bitmaps(spark, sf)
+    ends = F.explode(F.array(*[F.lit(d) for d in ("2024-01-01", "2024-01-07", "2024-01-30")])).alias("until")
+    ranges = op.distinct_present(bitmaps.select("*", ends).where(F.col("dt") <= F.col("until")), by=["until"])
+    days = plans.date_spine(spark, date(2023, 12, 31), LAST)
+    planned = op.presence_bitmaps(sensors, by=())
+    missing = op.missing_counts(bitmaps, planned, days)
+    return ranges.select(F.lit("present until").alias("what"), F.col("until").alias("dt"), F.col("sensors").alias("n")).unionByName(
+        missing.select(F.lit("missing on").alias("what"), "dt", F.col("missing").alias("n"))
+    )
+
+
+@query
+def absent_sensors(spark: SparkSession, sf: str) -> DataFrame:
+    bitmaps, sensors = _stored_bitmaps(spark, sf)
+    return op.absent_sensors(bitmaps, sensors, FIRST, LAST)

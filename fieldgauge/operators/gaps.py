@@ -40,6 +40,34 @@ def missing_in_range(sensors: DataFrame, observed: DataFrame, start: date, end:
     return sensors.join(seen, "sensor_id", "left").select(F.explode(gaps).alias("dt"), "sensor_id")
 
 
+def missing_ranges(sensors: DataFrame, observed: DataFrame, start: date, end: date) -> DataFrame:
+    """Each sensor's runs of days without an observation, as inclusive dates ``start_day`` and ``end_day``.
+
+    Observed days are collected per sensor, at most one entry for each day of the range
+    and combined before the shuffle. What lies between two of them, or between one and an
+    end of the range, is a run, found next to the sensor: no plan of days is made.
+    Repeated sensors give their runs each.
+    """
+    if start > end:
+        return sensors.where(F.lit(False)).select(
+            "sensor_id", F.lit(start).alias("start_day"), F.lit(end).alias("end_day")
+        )
+    seen = (
+        observed.where(F.col("dt").between(start.isoformat(), end.isoformat()))
+        .groupBy("sensor_id")
+        .agg(F.collect_set(F.to_date("dt")).alias("_seen"))
+    )
+    before, behind = F.array(F.date_sub(F.lit(start), 1)), F.array(F.date_add(F.lit(end), 1))
+    known = F.coalesce("_seen", F.array().cast("array<date>"))
+    edges = F.sort_array(F.concat(before, known, behind))
+    listed = sensors.join(seen, "sensor_id", "left").select("sensor_id", edges.alias("_edges"))
+    pairs = F.arrays_zip(F.slice("_edges", 1, F.size("_edges") - 1).alias("a"), F.slice("_edges", 2, F.size("_edges") - 1).alias("b"))
+    gaps = F.filter(pairs, lambda p: F.datediff(p["b"], p["a"]) > 1)
+    return listed.select("sensor_id", F.explode(gaps).alias("_gap")).select(
+        "sensor_id", F.date_add("_gap.a", 1).alias("start_day"), F.date_sub("_gap.b", 1).alias("end_day")
+    )
+
+
 def not_stored(observations: DataFrame, stored: DataFrame) -> DataFrame:
     """Observations whose sensor-day is not stored, or stored from an earlier record.
 

@@ -13,6 +13,7 @@ from .. import functions as fx
 from .. import schemas as S
 
 RANGES_PER_E = 64
+PIECES = 4096
 LAST_RANGE = 10**6  # above the range of any number
 
 
@@ -72,6 +73,14 @@ def _value_range(value: Column) -> Column:
     return F.when(F.isnan(value), F.lit(LAST_RANGE)).otherwise(ascending)
 
 
+def _ranked_ranges(counts: DataFrame, keys: Sequence[str], rank: str) -> DataFrame:
+    """Groups ``keys`` with their ranges in order of ``rank``: rows, rows before and at the end, bounds, rows of the group."""
+    group = Window.partitionBy(*keys)
+    running = F.sum("_size").over(group.orderBy(rank).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranges = counts.groupBy(*keys, rank).agg(F.sum("_n").alias("_size"), F.min("_value").alias("_low"), F.max("_value").alias("_high"))
+    return ranges.withColumn("_end", running).withColumn("_before", F.col("_end") - F.col("_size"))
+
+
 def latency_percentiles(
     df: DataFrame,
     by: Sequence[str] = ("day",),
@@ -82,8 +91,11 @@ def latency_percentiles(
 
     Rows are first counted per distinct latency (combined before the shuffle), and
     those counts per range of latencies, of which a group has some thousands at most.
-    A running count over the ranges finds those that hold a wanted rank; only their
-    latencies are ordered, one range to a task. Nothing is rounded.
+    A running count over the ranges finds those that hold a wanted rank. These are cut once
+    more, into PIECES of equal width between their own least and greatest latency, and
+    again only the pieces that hold a rank go on; their latencies alone are ordered, one
+    piece to a task. So latencies crowded into one range do not meet in one task. Nothing
+    is rounded.
     """
     counts = (
         df.where(F.col(latency).isNotNull())
@@ -91,19 +103,8 @@ def latency_percentiles(
         .agg(F.count("*").alias("_n"))
         .withColumn("_range", _value_range(F.col("_value")))
     )
-    group = Window.partitionBy(*by)
-    running = F.sum("_size").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranges = (
-        counts.groupBy(*by, "_range")
-        .agg(F.sum("_n").alias("_size"))
-        .select(
-            *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
-            F.col("_range").alias("_at"),
-            (running - F.col("_size")).alias("_before"),
-            running.alias("_end"),
-            F.sum("_size").over(group).alias("_total"),
-        )
-    )
+    names = {c: f"_by{i}" for i, c in enumerate(by)}
+    ranges = _ranked_ranges(counts, by, "_range").withColumn("_total", F.sum("_size").over(Window.partitionBy(*by)))
 
     def ranks(percent: int) -> tuple[Column, Column, Column]:
         # Whole-number arithmetic keeps the rank and its fraction exact.
@@ -111,10 +112,34 @@ def latency_percentiles(
         return F.floor(scaled / 100), F.ceil(scaled / 100), scaled % 100
 
     wanted = [rank for p in percents for rank in ranks(p)[:2]]
-    holding = ranges.where(reduce(or_, [(F.col("_before") <= r) & (r < F.col("_end")) for r in wanted]))
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)], F.col("_range") == F.col("_at"))
-    inside = Window.partitionBy(*by, "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.join(holding, same).withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
+
+    def holds(before: Column, end: Column) -> Column:
+        return reduce(or_, [(before <= r) & (r < end) for r in wanted])
+
+    def same(*more: Column) -> Column:
+        return reduce(and_, [F.col(c).eqNullSafe(F.col(name)) for c, name in names.items()], reduce(and_, more))
+
+    holding = ranges.where(holds(F.col("_before"), F.col("_end"))).select(
+        *[F.col(c).alias(name) for c, name in names.items()], F.col("_range").alias("_at"), "_before", "_low", "_high", "_total"
+    )
+    # Infinite bounds, and a range of one latency, give no width: one piece.
+    width = (F.col("_high") - F.col("_low")) / PIECES
+    piece = F.floor((F.col("_value") - F.col("_low")) / width)
+    usable = (width > 0) & (width < float("inf")) & ~F.isnan("_value")
+    cut = counts.join(holding, same(F.col("_range") == F.col("_at"))).withColumn(
+        "_piece", F.when(usable, F.least(piece, F.lit(PIECES - 1))).otherwise(0)
+    )
+    inner = cut.select(*by, "_range", "_piece", "_value", "_n", F.col("_before").alias("_base"), "_total")
+    pieces = _ranked_ranges(inner, [*by, "_range", "_base", "_total"], "_piece")
+    chosen = pieces.where(holds(F.col("_base") + F.col("_before"), F.col("_base") + F.col("_end"))).select(
+        *[F.col(c).alias(name) for c, name in names.items()],
+        F.col("_range").alias("_at"),
+        F.col("_piece").alias("_part"),
+        (F.col("_base") + F.col("_before")).alias("_until"),
+    )
+    inside = Window.partitionBy(*by, "_range", "_piece").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = inner.join(chosen, same(F.col("_range") == F.col("_at"), F.col("_piece") == F.col("_part")))
+    ranked = found.withColumn("_upto", F.col("_until") + F.sum("_n").over(inside))
 
     def value_at(rank: Column) -> Column:
         here = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)

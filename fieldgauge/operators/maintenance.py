@@ -54,7 +54,9 @@ def schema_drift(
     ``status`` is ok, type_changed, missing or unexpected. Nothing is changed;
     one pass counts all columns. With ``by``, such as the day of a stored table read
     by its merged layout, rows are counted per group, next to its ``row_count``: a
-    column that a group's files lack has no value there and is ``absent``.
+    column without any value in a group is ``no_values`` there. Whether the group's files
+    lack the column, or hold it with another type, only their footers tell
+    (:func:`footer_drift`).
     """
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name not in by}
     wanted = {f.name: f.dataType.simpleString() for f in expected.fields if f.name not in by}
@@ -70,7 +72,7 @@ def schema_drift(
         rows = F.col(f"`{name}`") if name in actual else F.lit(0).cast("bigint")
         found = F.lit(status)
         if by and name in actual:
-            found = F.when(rows == 0, F.lit("absent")).otherwise(found)
+            found = F.when(rows == 0, F.lit("no_values")).otherwise(found)
         return F.struct(
             F.lit(name).alias("column_name"),
             F.lit(wanted.get(name)).cast("string").alias("expected_type"),
@@ -85,6 +87,52 @@ def schema_drift(
     return counted.select(*keys, F.inline(F.array(*[entry(n) for n in names])))
 
 
+def footer_drift(
+    footers: DataFrame, expected: T.StructType = S.OBSERVATION_SCHEMA, by: Sequence[str] = ("dt",)
+) -> DataFrame:
+    """Expected columns against those that stored files have, from their footers (no row is read).
+
+    For each group, such as a day, one row for each expected and each further column.
+    ``files`` of the group's files ``files_with_column`` have it, ``types`` are the types
+    they hold it with, and ``rows_with_value`` counts its values (null if a file does not
+    say). ``status`` is ``absent`` if no file has it, ``partly_absent`` if some lack it,
+    ``type_changed`` if a file holds another type, ``all_null`` if all have it but no value,
+    ``unexpected`` for further columns, and else ``ok``. Files without rows say nothing and
+    are left out. Columns of ``by`` are folders, not file columns.
+    """
+    keys = list(by)
+    wanted = [f for f in expected.fields if f.name not in keys]
+    spoken = footers.where("rows > 0")
+    files = spoken.groupBy(*keys).agg(
+        F.countDistinct("file").alias("files"),
+        F.array_sort(F.collect_set("column_name")).alias("_held"),
+    )
+    counted = spoken.where("column_name is not null").groupBy(*keys, "column_name")
+    held = counted.agg(
+        F.count("*").alias("files_with_column"),
+        F.array_join(F.array_sort(F.collect_set("type")), "|").alias("types"),
+        F.when(F.count("nulls") == F.count("*"), F.sum(F.col("rows") - F.col("nulls"))).alias("rows_with_value"),
+    )
+    names = F.array_union(F.array(*[F.lit(f.name) for f in wanted]), "_held")
+    asked = files.select(*keys, "files", F.explode(names).alias("column_name"))
+    kinds = F.create_map(*[F.lit(x) for f in wanted for x in (f.name, f.dataType.simpleString())])
+    joined = asked.join(held, [*keys, "column_name"], "left").withColumn("expected_type", F.try_element_at(kinds, F.col("column_name")))
+    with_column = F.coalesce("files_with_column", F.lit(0))
+    status = (
+        F.when(F.col("expected_type").isNull(), "unexpected")
+        .when(with_column == 0, "absent")
+        .when(F.col("types") != F.col("expected_type"), "type_changed")
+        .when(with_column < F.col("files"), "partly_absent")
+        .when(F.col("rows_with_value") == 0, "all_null")
+        .otherwise("ok")
+    )
+    values = F.when(with_column == 0, F.lit(0)).otherwise(F.col("rows_with_value"))
+    return joined.select(
+        *keys, "column_name", "expected_type", "types", "files", with_column.alias("files_with_column"),
+        values.cast("long").alias("rows_with_value"), status.alias("status"),
+    )
+
+
 def stale_checkpoints(latest: DataFrame, as_of: Column, hours: int = S.STALE_AFTER_HOURS) -> DataFrame:
     """Age of each job's checkpoint and whether it is older than ``hours``."""
     seconds = F.unix_timestamp(as_of) - F.unix_timestamp(F.to_timestamp("updated_at"))

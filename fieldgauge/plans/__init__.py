@@ -7,6 +7,7 @@ from .collection import (
     date_spine,
     days_between,
     expected_rows,
+    request_ranges,
     sensor_dimension,
     sensor_grid,
 )
@@ -21,6 +22,7 @@ __all__ = [
     "days_between",
     "expected_rows",
     "incremental_window",
+    "request_ranges",
     "rows_between",
     "run_daily",
     "sensor_dimension",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..functions.grid import grid_side
+from ..operators.gaps import missing_ranges
 from ..schemas import MAX_DAYS_PER_REQUEST
 
 
@@ -80,6 +81,22 @@ def chunk_ranges(df: DataFrame, start: str, end: str, days: int = MAX_DAYS_PER_R
     )
 
 
+def request_ranges(
+    sensors: DataFrame, observed: DataFrame, start: date, end: date, days: int = MAX_DAYS_PER_REQUEST
+) -> DataFrame:
+    """What to fetch again: requests of at most ``days`` that cover each sensor's missing days and no others.
+
+    Columns ``sensor_id``, ``start_date`` and ``end_date`` (ISO, inclusive) and ``days``.
+    """
+    chunked = chunk_ranges(missing_ranges(sensors, observed, start, end), "start_day", "end_day", days)
+    return chunked.select(
+        "sensor_id",
+        fx.iso_day("chunk_start").alias("start_date"),
+        fx.iso_day("chunk_end").alias("end_date"),
+        (F.datediff("chunk_end", "chunk_start") + 1).alias("days"),
+    )
+
+
 def assign_zone(
     df: DataFrame,
     centre_latitude: float,

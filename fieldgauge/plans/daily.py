@@ -5,18 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.gaps import missing_in_range, not_stored
 from ..operators.quality import run_summary
-from ..schemas import RUN_SUMMARY_SCHEMA, TRANSFORMED_SCHEMA
-from ..session import path_exists
+from ..schemas import RUN_SUMMARY_SCHEMA
 from ..sinks.logs import append_checkpoint, append_run_summary, checkpoint_record
 from ..sinks.observations import upsert_days
-from ..sinks.stages import publish
 from ..sources.checkpoints import read_checkpoint
-from ..sources.tables import read_table
+from ..sources.tables import read_version
+from ..versions import Version, latest_version
 from .windows import incremental_window, rows_between
 
 
@@ -46,39 +45,41 @@ def run_daily(
     also when the window is empty. So late records and sensor-days once counted as
     missing are loaded when they arrive. Days without any are not rewritten.
 
-    ``root`` holds ``table``, ``checkpoints``, ``runs`` and ``staging``. The
-    checkpoint moves only after the days are published, so a failed run is simply
-    repeated. Metrics are read back from the published days, a scan of a few
-    columns that counts what was really written.
+    ``root`` holds ``table``, ``checkpoints`` and ``runs``. Days are published by one
+    commit (see :mod:`fieldgauge.versions`); the checkpoint moves only after that, so a
+    failed run is simply repeated, and its record takes the place of the one before. What
+    the summary says of the rows is observed while they are written; only where the window
+    holds days that this run did not write is it counted from the table.
     """
     spark = observations.sparkSession
     job = spark.range(1).select(F.lit(job_name).alias("job_name"))
     checkpoint = read_checkpoint(spark, f"{root}/checkpoints", job_name)
     window = incremental_window(job, checkpoint, end, as_of, start).first()
     first, last = window.start_date, window.end_date
-    publish(spark, f"{root}/table", f"{root}/staging")
+    table = f"{root}/table"
     earlier = None
-    if late_days and path_exists(spark, f"{root}/table"):
+    before = latest_version(spark, table)
+    if late_days and before.folders():
         since = (date.fromisoformat(first) - timedelta(days=late_days)).isoformat()
         since = max(since, start.isoformat()) if start else since
-        before = (date.fromisoformat(first) - timedelta(days=1)).isoformat()
-        earlier = not_stored(rows_between(observations, since, before), read_table(spark, f"{root}/table"))
+        until = (date.fromisoformat(first) - timedelta(days=1)).isoformat()
+        stored = read_version(spark, table, before, since=since, until=until)
+        earlier = not_stored(rows_between(observations, since, until), stored)
     if not window.has_work:
         if earlier is not None:
-            upsert_days(earlier, f"{root}/table", f"{root}/staging", tie_break)
+            upsert_days(earlier, table, tie_break)
         return None
     if max_days:
         last = min(last, (date.fromisoformat(first) + timedelta(days=max_days - 1)).isoformat())
     batch = rows_between(observations, first, last)
-    days = upsert_days(
-        batch if earlier is None else batch.unionByName(earlier), f"{root}/table", f"{root}/staging", tie_break
+    version = upsert_days(
+        batch if earlier is None else batch.unionByName(earlier), table, tie_break, observe=window_metrics(first, last)
     )
+    days = version.changed.get("rows", []) if version.number > before.number else []
     if not days and rows_between(observations, first, window.end_date).isEmpty():
         raise ValueError(f"no observations from {first} to {window.end_date}")
     # An empty step before later data moves on; its days are recorded as missing.
-    written = spark.createDataFrame([], TRANSFORMED_SCHEMA)
-    if path_exists(spark, f"{root}/table"):
-        written = rows_between(read_table(spark, f"{root}/table"), first, last)
+    written = read_version(spark, table, version, since=first, until=last)
     summary = run_summary(
         written,
         missing_in_range(sensors, written, date.fromisoformat(first), date.fromisoformat(last)),
@@ -89,9 +90,24 @@ def run_daily(
         F.lit(updated_at),
         planned=sensors,
         received=batch,
+        counted=observed_counts(version, days, first, last),
     )
     # One row: kept as a value, so that using the result runs nothing again.
     summary = spark.createDataFrame([summary.select(*RUN_SUMMARY_SCHEMA.names).first()], RUN_SUMMARY_SCHEMA)
     append_run_summary(summary, f"{root}/runs")
     append_checkpoint(checkpoint_record(spark, job_name, last, updated_at, "success", execution_id), f"{root}/checkpoints")
     return summary
+
+
+def window_metrics(first: str, last: str) -> list[Column]:
+    """What to observe of transformed rows while they are written: all and the complete ones of a range of days."""
+    inside = F.col("dt").between(first, last)
+    return [F.count_if(inside).alias("rows"), F.count_if(inside & F.col("is_complete")).alias("complete")]
+
+
+def observed_counts(version: Version, days: Sequence[str], first: str, last: str) -> tuple[int, int] | None:
+    """Rows and complete rows of a range of days as the commit observed them; None unless it wrote them all."""
+    held = {day for day in version.folders() if first <= day <= last}
+    if not held <= set(days) or "rows" not in version.metrics:
+        return None
+    return version.metrics["rows"], version.metrics["complete"]

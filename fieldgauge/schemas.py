@@ -45,6 +45,19 @@ DERIVED_SCHEMA = T.StructType(
 
 TRANSFORMED_SCHEMA = T.StructType(OBSERVATION_SCHEMA.fields + DERIVED_SCHEMA.fields)
 
+# What a landed response says of its request, and the response itself.
+PAYLOAD_REQUEST_SCHEMA = T.StructType(
+    [
+        T.StructField("dt", T.StringType()),
+        T.StructField("sensor_id", T.StringType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("latitude", T.DoubleType()),
+        T.StructField("longitude", T.DoubleType()),
+        T.StructField("ingestion_timestamp", T.StringType()),
+        T.StructField("payload", T.StringType()),
+    ]
+)
+
 REQUIRED_FIELDS = tuple(f.name for f in OBSERVATION_SCHEMA.fields if not f.nullable)
 
 CHECKPOINT_SCHEMA = T.StructType(

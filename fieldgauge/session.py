@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings that hold at any scale; those that depend on the input come from sizing().
@@ -93,14 +94,6 @@ def remove_path(spark: SparkSession, path: str) -> None:
     file_system.delete(jvm_path, True)
 
 
-def move_path(spark: SparkSession, source: str, target: str) -> None:
-    file_system, jvm_path = _hadoop_path(spark, source)
-    _, to = _hadoop_path(spark, target)
-    file_system.mkdirs(to.getParent())
-    if not file_system.rename(jvm_path, to):
-        raise OSError(f"could not move {source} to {target}")
-
-
 def _children(spark: SparkSession, path: str) -> list:
     file_system, jvm_path = _hadoop_path(spark, path)
     return list(file_system.listStatus(jvm_path)) if file_system.exists(jvm_path) else []
@@ -116,11 +109,34 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in _children(spark, path) if s.isDirectory())
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed, in milliseconds."""
     file_system, jvm_path = _hadoop_path(spark, path)
-    stream = file_system.create(jvm_path, True)
+    return file_system.getFileStatus(jvm_path).getModificationTime()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a file with its whole text at once; False if it exists.
+
+    The text is written aside and renamed, which fails where the target exists.
+    """
+    aside = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    file_system, jvm_aside = _hadoop_path(spark, aside)
+    stream = file_system.create(jvm_aside, False)
     stream.write(bytearray(text.encode()))
     stream.close()
+    jvm = spark._jvm
+    target = file_system.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    refusing = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        files.rename(file_system.makeQualified(jvm_aside), target, refusing)
+    except Py4JJavaError as error:
+        file_system.delete(jvm_aside, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.transform import transform
 from ..schemas import OBSERVATION_SCHEMA, ROWS_PER_FILE, TRANSFORMED_SCHEMA
-from ..session import path_exists
-from ..sources.tables import read_table
-from .stages import publish, seal, snapshot
+from ..sources.tables import read_version
+from ..versions import Change, Version, commit, latest_version, version_numbers
 
-ATTEMPTS = 3
+REJECTS, BATCH = "rejects", "batch"
 
 
 def sized_for_write(df: DataFrame, partition_cols: Sequence[str] = ("dt",)) -> DataFrame:
@@ -52,8 +51,11 @@ def write_observations(
 
     File size follows the adaptive advisory size; ``rows_per_file`` caps the rows
     of a file as well, without dropping any. ``gather=False`` skips the shuffle
-    that brings a day's rows together, for rows that already lie that way.
+    that brings a day's rows together, for rows that already lie that way. A table with
+    versions takes rows by commits only (:func:`upsert_days`), so this refuses it.
     """
+    if version_numbers(df.sparkSession, path):
+        raise ValueError(f"{path} has versions; files written into it belong to none")
     sized = sized_for_write(df, partition_cols) if gather else df
     writer = sized.write.mode(mode).partitionBy(*partition_cols)
     if rows_per_file:
@@ -78,42 +80,51 @@ def _days_in(df: DataFrame) -> list[str]:
 def upsert_days(
     batch: DataFrame,
     path: str,
-    staging: str,
     tie_break: Sequence[str] = (),
-) -> list[str]:
-    """Merge observations into a stored table and return the days touched.
+    rejects: DataFrame | None = None,
+    writer: str | None = None,
+    key: int | None = None,
+    observe: Sequence[Column] = (),
+) -> Version:
+    """Merge observations into a stored table by one commit and return its version.
 
     Stored rows of the touched days join the batch before deduplication, so late
     records replace older ones and nothing already stored is lost; regional
-    aggregates are recomputed over the whole day. ``staging`` is the table's one
-    folder for pending work: what an interrupted run left there is finished or
-    discarded first (see :mod:`fieldgauge.sinks.stages`), so repeating that run
-    merges its batch again and changes nothing already merged. A day that another
-    writer changes in between is merged anew. Days must be ISO days; see
+    aggregates are recomputed over the whole day. Readers see all days as they were or
+    all as they are (see :mod:`fieldgauge.versions`); a day that another writer commits in
+    between is merged anew. ``rejects`` are published by the same commit, as what
+    ``key`` turned away. Days must be ISO days; see
     :func:`fieldgauge.sources.rejected_observations`.
     """
     spark = batch.sparkSession
-    publish(spark, path, staging)
     extra = [f for f in batch.schema.fields if f.name not in TRANSFORMED_SCHEMA.names]
     stored_schema = T.StructType(TRANSFORMED_SCHEMA.fields + extra)
     days = _days_in(batch)
     odd = [day for day in days if not _is_day(day)]
     if odd:
         raise ValueError(f"days that are not ISO days: {odd[:5]}")
-    if not days:
-        return []
     raw = [*OBSERVATION_SCHEMA.names, *(f.name for f in extra)]
 
-    def rows() -> DataFrame:
+    def rows(base: Version) -> DataFrame:
         new = batch.select(*raw)
-        if path_exists(spark, path):
-            stored = read_table(spark, path, stored_schema).where(F.col("dt").isin(days))
-            new = new.unionByName(stored.select(*raw))
+        if any(day in base.folders() for day in days):
+            new = new.unionByName(read_version(spark, path, base, stored_schema, values=set(days)).select(*raw))
         return transform(new, tie_break=tie_break)
 
-    # Rows of a single day are together already, in tasks of the advisory size.
-    _replace_days(spark, path, staging, days, rows, gather=len(days) > 1)
-    return days
+    changes = []
+    if days:
+        # Rows of a single day are together already, in tasks of the advisory size.
+        changes.append(Change(rows, days, gather=len(days) > 1, observe=observe))
+    if rejects is not None:
+        turned_away = rejects.withColumn(BATCH, F.lit(key))
+        changes.append(Change(lambda base: turned_away, part=REJECTS, column=BATCH))
+    return commit(spark, path, changes, writer, key) if changes else latest_version(spark, path)
+
+
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows that commits to a table have turned away, with their ``reason`` and ``batch``."""
+    layout = T.StructType([*schema.fields, T.StructField("reason", T.StringType()), T.StructField(BATCH, T.LongType())])
+    return read_version(spark, path, latest_version(spark, path), layout, part=REJECTS, column=BATCH)
 
 
 def _is_day(text: str | None) -> bool:
@@ -123,28 +134,16 @@ def _is_day(text: str | None) -> bool:
         return False
 
 
-def _replace_days(
-    spark: SparkSession, path: str, staging: str, days: Sequence[str], rows: Callable[[], DataFrame], gather: bool
-) -> None:
-    for _ in range(ATTEMPTS):
-        base = snapshot(spark, path, days)
-        write_observations(rows(), f"{staging}/rows", mode="overwrite", gather=gather)
-        seal(spark, staging, base)
-        if publish(spark, path, staging):
-            return
-    raise RuntimeError(f"{path} kept changing while its days were replaced")
-
-
 def compact_days(
-    spark: SparkSession,
-    path: str,
-    days: Sequence[str],
-    staging: str,
-    schema: T.StructType = TRANSFORMED_SCHEMA,
-) -> None:
-    """Rewrite exactly the given days into few files of the advisory size, by way of a stage."""
-    publish(spark, path, staging)
-    days = [day for day in dict.fromkeys(days) if path_exists(spark, f"{path}/dt={day}")]
-    if days:
-        wanted = F.col("dt").isin(days)
-        _replace_days(spark, path, staging, days, lambda: read_table(spark, path, schema).where(wanted), gather=True)
+    spark: SparkSession, path: str, days: Sequence[str], schema: T.StructType = TRANSFORMED_SCHEMA
+) -> Version:
+    """Rewrite exactly the given days into few files of the advisory size, by one commit.
+
+    A table without versions gets its first one. Its old files stay until
+    :func:`fieldgauge.versions.remove_unused` finds them old enough.
+    """
+    stored = latest_version(spark, path)
+    days = [day for day in dict.fromkeys(days) if day in stored.folders()]
+    if not days:
+        return stored
+    return commit(spark, path, [Change(lambda base: read_version(spark, path, base, schema, values=set(days)), days)])

@@ -20,6 +20,33 @@ PAYLOAD_DDL = """
 """
 
 
+def _body(json_col: str) -> Column:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+    return F.from_json(json_col, PAYLOAD_DDL, options)
+
+
+def _is_readable() -> Column:
+    body = F.col("_body")
+    return body.isNotNull() & (body["_malformed"].isNull() | body["daily"].isNotNull())
+
+
+def unreadable_payloads(df: DataFrame, json_col: str = "payload", source: str = S.PAYLOAD_SOURCE) -> DataFrame:
+    """The responses that :func:`parse_daily_payload` makes no row of, laid out as observations.
+
+    They keep what the request says and the body, next to the ``reason``.
+    """
+    left_out = df.withColumn("_body", _body(json_col)).where(~F.coalesce(_is_readable(), F.lit(False)))
+    given = {"dt": "string", "latitude": "double", "longitude": "double"}
+
+    def column(name: str, kind: str) -> Column:
+        if name == "source":
+            return F.lit(source)
+        return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
+
+    columns = [column(f.name, given.get(f.name, f.dataType.simpleString())).alias(f.name) for f in S.OBSERVATION_SCHEMA.fields]
+    return left_out.select(*columns, F.col(json_col).alias("payload"), F.lit("unreadable payload").alias("reason"))
+
+
 def parse_daily_payload(df: DataFrame, json_col: str = "payload", source: str = S.PAYLOAD_SOURCE) -> DataFrame:
     """Observation rows from responses whose ``daily`` part holds one array per measure.
 
@@ -32,10 +59,7 @@ def parse_daily_payload(df: DataFrame, json_col: str = "payload", source: str =
 
     Narrow: no shuffle, each response is expanded where it was read.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
-    parsed = df.withColumn("_body", F.from_json(json_col, PAYLOAD_DDL, options)).where(
-        F.col("_body").isNotNull() & (F.col("_body._malformed").isNull() | F.col("_body.daily").isNotNull())
-    )
+    parsed = df.withColumn("_body", _body(json_col)).where(_is_readable())
     daily = F.col("_body.daily")
     time = F.coalesce(daily["time"], F.array().cast("array<string>"))
     requested = F.col("dt") if "dt" in df.columns else F.lit(None).cast("string")

@@ -1,0 +1,157 @@
+"""Layouts told from footers, the layout log, catalog entries and expiry."""
+
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fieldgauge.operators import footer_drift
+from fieldgauge.schemas import OBSERVATION_SCHEMA, TRANSFORMED_SCHEMA
+from fieldgauge.sinks import append_layout_changes, expire_days, expired_days, upsert_days, write_observations
+from fieldgauge.sources import read_footers, read_table, register_table, sync_partitions, table_footers
+from fieldgauge.versions import Change, commit, latest_version, remove_unused
+
+
+def statuses(footers, **given):
+    return {(r.dt, r.column_name): r.status for r in footer_drift(footers, **given).collect()}
+
+
+def test_absent_empty_and_retyped_days_are_told_apart(spark, readings, tmp_path):
+    path = str(tmp_path / "table")
+    rows = readings(*[{"dt": f"2024-01-0{d}", "precipitation": None if d == 2 else 1.0} for d in range(1, 6)])
+    on = {d: rows.where(F.col("dt") == f"2024-01-0{d}") for d in range(1, 6)}
+    write_observations(on[1].unionByName(on[2]), path)
+    write_observations(on[3].drop("precipitation"), path)
+    write_observations(on[4].withColumn("precipitation", F.col("precipitation").cast("float")), path)
+    write_observations(on[5].withColumn("extra", F.lit(1)), path)
+    write_observations(on[5].drop("source"), path)
+    found = statuses(table_footers(spark, path))
+    assert {d: found[f"2024-01-0{d}", "precipitation"] for d in range(1, 6)} == {
+        1: "ok", 2: "all_null", 3: "absent", 4: "type_changed", 5: "ok"
+    }
+    assert found["2024-01-05", "extra"] == "unexpected" and found["2024-01-05", "source"] == "partly_absent"
+    assert {s for (day, column), s in found.items() if column == "region"} == {"ok"}
+    one = footer_drift(table_footers(spark, path)).where("dt = '2024-01-04' and column_name = 'precipitation'").first()
+    assert (one.expected_type, one.types, one.files, one.files_with_column, one.rows_with_value) == ("double", "float", 1, 1, 1)
+
+
+def test_footers_of_many_types_and_no_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "a int, b bigint, c string, d double, e float, f boolean, g date, h timestamp, i timestamp_ntz, j decimal(7,2), k array<int>, l binary"
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(path)
+    got = {r.column_name: (r.rows, r.type, r.nulls) for r in read_footers(spark, path).collect()}
+    wanted = [f.dataType.simpleString() for f in T._parse_datatype_string(schema).fields]
+    assert [got[c][1] for c in "abcdefghij"] == wanted[:10] and got["k"][0] == 0
+    assert read_footers(spark).count() == 0
+    spark.createDataFrame([(1, None), (None, [1])], "a int, k array<int>").coalesce(1).write.mode("overwrite").parquet(path)
+    got = {r.column_name: (r.rows, r.nulls) for r in read_footers(spark, path).collect()}
+    assert got["a"] == (2, 1) and got["k"] == (2, None)
+    empty = spark.createDataFrame([], "file string, rows long, column_name string, type string, nulls long, dt string")
+    assert footer_drift(empty).count() == 0
+
+
+@pytest.fixture
+def entry(spark):
+    spark.sql("DROP TABLE IF EXISTS entry_test")
+    yield "entry_test"
+    spark.sql("DROP TABLE IF EXISTS entry_test")
+
+
+def in_catalog(spark, entry):
+    return sorted((r.dt, r.sensor_id) for r in spark.table(entry).select("dt", "sensor_id").collect())
+
+
+def in_table(spark, path):
+    return sorted((r.dt, r.sensor_id) for r in read_table(spark, path).collect())
+
+
+def test_catalog_follows_commits(spark, readings, tmp_path, entry, monkeypatch):
+    path = str(tmp_path / "it's a table")
+    upsert_days(readings({"sensor_id": "a"}, {"sensor_id": "a", "dt": "2024-01-16"}), path)
+    register_table(spark, entry, path)
+    assert sync_partitions(spark, entry, path) == ["2024-01-15", "2024-01-16"]
+    assert in_catalog(spark, entry) == in_table(spark, path)
+    assert sync_partitions(spark, entry, path) == []
+    upsert_days(readings({"sensor_id": "b"}), path)
+    commit(spark, path, [Change(None, ["2024-01-16"])])
+    upsert_days(readings({"sensor_id": "c", "dt": "2024-01-20"}), path)
+    with monkeypatch.context() as patch:
+        from fieldgauge import session
+
+        listed = []
+        inner = session._children
+        patch.setattr(session, "_children", lambda s, p: listed.append(p) or inner(s, p))
+        assert sync_partitions(spark, entry, path) == ["2024-01-15", "2024-01-16", "2024-01-20"]
+    assert set(listed) == {f"{path}/_versions"}
+    assert in_catalog(spark, entry) == in_table(spark, path) == [("2024-01-15", "a"), ("2024-01-15", "b"), ("2024-01-20", "c")]
+
+
+def test_catalog_catches_up_without_the_manifests_in_between(spark, readings, tmp_path, entry):
+    path = str(tmp_path / "table")
+    upsert_days(readings({"sensor_id": "a"}, {"sensor_id": "a", "dt": "2024-01-16"}), path)
+    register_table(spark, entry, path)
+    sync_partitions(spark, entry, path)
+    upsert_days(readings({"sensor_id": "b"}), path)
+    commit(spark, path, [Change(None, ["2024-01-16"])])
+    remove_unused(spark, path, datetime.now() + timedelta(minutes=1))
+    sync_partitions(spark, entry, path)
+    assert in_catalog(spark, entry) == in_table(spark, path) == [("2024-01-15", "a"), ("2024-01-15", "b")]
+    commit(spark, path, [Change(lambda base: read_table(spark, path))])
+    with pytest.raises(ValueError, match="compact"):
+        sync_partitions(spark, entry, path)
+
+
+def test_layout_changes_are_logged_and_not_applied(spark, readings, tmp_path, entry):
+    path, log = str(tmp_path / "table"), str(tmp_path / "log")
+    register_table(spark, entry, path)
+    upsert_days(readings({"sensor_id": "a"}).withColumn("gust", F.lit(1.5)), path)
+    days = sync_partitions(spark, entry, path)
+    append_layout_changes(spark, path, days, log, "2024-01-16T03:00:00")
+    rows = spark.read.json(log).collect()
+    assert [(r.dt, r.column_name, r.status, r.types, r.updated_at) for r in rows] == [
+        ("2024-01-15", "gust", "unexpected", "double", "2024-01-16T03:00:00")
+    ]
+    assert sorted(spark.table(entry).columns) == sorted(TRANSFORMED_SCHEMA.names)
+
+
+def test_expiry_by_metadata(spark, readings, tmp_path, entry):
+    path = str(tmp_path / "table")
+    days = [f"2024-01-{d:02d}" for d in range(1, 11)]
+    upsert_days(readings(*[{"dt": day} for day in days]), path)
+    register_table(spark, entry, path)
+    sync_partitions(spark, entry, path)
+    before = latest_version(spark, path)
+    for file in Path(path).rglob("*.parquet"):
+        if any(f"dt={day}/" in str(file) for day in days[:4]):
+            file.write_bytes(b"not read")  # rows of expired days are never looked at
+    as_of = date(2024, 1, 10)
+    dry = expired_days(spark, path, as_of, expire_after=6).collect()
+    assert [(r.dt, r.age_days, r.files, r.bytes) for r in sorted(dry)] == [(day, 10 - i, 1, 8) for i, day in enumerate(days[:4], 1)]
+    assert latest_version(spark, path) == before
+    version = expire_days(spark, path, as_of, expire_after=6, name=entry)
+    assert sorted(version.folders()) == days[4:] and version.changed == {"rows": days[:4]}
+    assert in_catalog(spark, entry) == in_table(spark, path) == [(day, "SENSOR_0001") for day in days[4:]]
+    assert expire_days(spark, path, as_of, expire_after=6, name=entry) == version
+    assert expired_days(spark, path, as_of, expire_after=6).count() == 0
+    gone = remove_unused(spark, path, datetime.now() + timedelta(minutes=1))
+    assert len(gone) == 4 and len(list(Path(path).rglob("*.parquet"))) == 6
+
+
+def test_expiry_that_died_before_the_catalog_is_finished(spark, readings, tmp_path, entry):
+    path = str(tmp_path / "table")
+    upsert_days(readings({"dt": "2024-01-01"}, {"dt": "2024-01-10"}), path)
+    register_table(spark, entry, path)
+    sync_partitions(spark, entry, path)
+    version = expire_days(spark, path, date(2024, 1, 10), expire_after=6)
+    assert len(in_catalog(spark, entry)) == 2
+    assert expire_days(spark, path, date(2024, 1, 10), expire_after=6, name=entry) == version
+    assert in_catalog(spark, entry) == [("2024-01-10", "SENSOR_0001")]
+
+
+def test_footers_of_observation_layout_are_all_ok(spark, readings, tmp_path):
+    path = str(tmp_path / "table")
+    write_observations(readings({}, {"dt": "2024-01-16"}), path)
+    assert set(statuses(table_footers(spark, path), expected=OBSERVATION_SCHEMA).values()) == {"ok"}
+    assert table_footers(spark, path, days=["2024-01-16"]).select("dt").distinct().count() == 1

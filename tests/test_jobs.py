@@ -10,6 +10,7 @@ from fieldgauge.plans import run_daily
 from fieldgauge.schemas import RUN_SUMMARY_SCHEMA
 from fieldgauge.sources import read_checkpoint, read_run_summaries, read_table
 from fieldgauge.streaming import incremental_stream
+from fieldgauge.versions import latest_version
 
 
 def comparable(df):
@@ -61,6 +62,28 @@ def test_daily_load_resumes(spark, month, tmp_path):
     assert read_checkpoint(spark, f"{root}/checkpoints", "load").first().last_processed_date == "2024-01-08"
 
 
+def test_summary_counts_are_observed_while_writing(spark, month, tmp_path, monkeypatch):
+    from fieldgauge.plans import daily
+
+    root, counted = str(tmp_path), []
+    sensors = spark.createDataFrame([(f"S{i}",) for i in range(5)], "sensor_id string")
+    summarise = daily.run_summary
+
+    def watched(*args, **given):
+        counted.append(given.pop("counted"))
+        return summarise(*args, **given)  # read back from the table
+
+    monkeypatch.setattr(daily, "run_summary", watched)
+    for end, stamp in ((date(2024, 1, 4), "2024-01-05T03:00:00"), (date(2024, 1, 8), "2024-01-09T03:00:00")):
+        read_back = run_daily(month, sensors, root, "load", end, end, stamp, start=date(2024, 1, 1)).first()
+        rows, complete = counted[-1]
+        assert read_back.data_quality_rate == pytest.approx(100 * complete / rows)
+    assert counted == [(19, 14), (20, 20)]
+    # A window with days that this run does not write is counted from the table.
+    version = latest_version(spark, f"{root}/table")
+    assert daily.observed_counts(version, ["2024-01-05"], "2024-01-05", "2024-01-08") is None
+
+
 def test_history_in_steps(spark, month, tmp_path):
     root = str(tmp_path)
     sensors = spark.createDataFrame([(f"S{i}",) for i in range(5)], "sensor_id string")
@@ -109,7 +132,7 @@ def test_late_and_missing_days_are_loaded(spark, readings, tmp_path):
         return run_daily(rows, sensors, root, "load", end, end, stamp, start=date(2024, 1, 1), late_days=late_days)
 
     def files(day):
-        return sorted(p.name for p in (tmp_path / "table" / f"dt={day}").iterdir())
+        return latest_version(spark, f"{root}/table").folders()[day]
 
     run(readings(*stored), 4, 5)
     untouched = files("2024-01-01")

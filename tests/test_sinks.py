@@ -5,7 +5,6 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from fieldgauge.operators import transform
 from fieldgauge.schemas import OBSERVATION_SCHEMA, TRANSFORMED_SCHEMA
 from fieldgauge.sinks import compact_days, file_plan, overwrite_days, upsert_days, write_observations
 from fieldgauge.sources import discover_partitions, read_table, recent_readings, register_table
@@ -51,14 +50,14 @@ def test_file_plan(spark, readings):
 
 
 def test_upsert_merges_with_stored_rows(spark, readings, tmp_path):
-    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
-    assert upsert_days(readings({"sensor_id": "a"}, {"sensor_id": "b"}, {"dt": "2024-01-14"}), path, staging)
+    path = str(tmp_path / "table")
+    assert upsert_days(readings({"sensor_id": "a"}, {"sensor_id": "b"}, {"dt": "2024-01-14"}), path).number == 1
     late = readings(
         {"sensor_id": "b", "ingestion_timestamp": "2024-01-15T11:00:00", "precipitation": 7.0},
         {"sensor_id": "a", "ingestion_timestamp": "2024-01-15T09:00:00", "precipitation": 99.0},
         {"sensor_id": "c", "precipitation": 4.0},
     )
-    assert upsert_days(late, path, staging) == ["2024-01-15"]
+    assert upsert_days(late, path).changed == {"rows": ["2024-01-15"]}
     stored = read_table(spark, path)
     got = {(r.dt, r.sensor_id): (r.precipitation, r.region_total_precipitation) for r in stored.collect()}
     assert got == {
@@ -67,99 +66,13 @@ def test_upsert_merges_with_stored_rows(spark, readings, tmp_path):
         ("2024-01-15", "c"): (4.0, 12.0),
         ("2024-01-14", "SENSOR_0001"): (1.0, 1.0),
     }
-    assert not Path(staging).exists()
-    assert upsert_days(readings({}).limit(0), path, staging) == []
-
-
-class Lost(Exception):
-    pass
-
-
-def interrupt(monkeypatch, days_done=0):
-    """From now on a run dies once it has published so many days."""
-    from fieldgauge.sinks import stages
-
-    publish_day, done = stages._publish_day, []
-
-    def die(*args):
-        if len(done) == days_done:
-            raise Lost
-        done.append(args)
-        return publish_day(*args)
-
-    monkeypatch.setattr(stages, "_publish_day", die)
-
-
-def sensors_in(spark, path):
-    return sorted((r.dt, r.sensor_id) for r in read_table(spark, path).collect())
-
-
-def test_upsert_finishes_or_discards_a_stage(spark, readings, tmp_path, monkeypatch):
-    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
-    upsert_days(readings({"sensor_id": "a"}, {"sensor_id": "a", "dt": "2024-01-16"}), path, staging)
-    batch = readings({"sensor_id": "b"}, {"sensor_id": "b", "dt": "2024-01-16"})
-    both = [(d, s) for d in ("2024-01-15", "2024-01-16") for s in "ab"]
-    with monkeypatch.context() as patch:
-        interrupt(patch, days_done=1)
-        with pytest.raises(Lost):
-            upsert_days(batch, path, staging)
-    # Another batch first finishes what was pending.
-    assert upsert_days(readings({"sensor_id": "c", "dt": "2024-01-17"}), path, staging) == ["2024-01-17"]
-    assert sensors_in(spark, path) == [*both, ("2024-01-17", "c")]
-
-
-def test_second_writer_is_not_lost(spark, readings, tmp_path, monkeypatch):
-    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
-    upsert_days(readings({"sensor_id": "a"}), path, staging)
-    batch = readings({"sensor_id": "b"})
-    with monkeypatch.context() as patch:
-        interrupt(patch)
-        with pytest.raises(Lost):
-            upsert_days(batch, path, staging)
-    upsert_days(readings({"sensor_id": "c"}), path, str(tmp_path / "other"))
-    upsert_days(batch, path, staging)
-    assert sensors_in(spark, path) == [("2024-01-15", s) for s in "abc"]
-
-
-def test_folder_moved_aside_comes_back(spark, readings, tmp_path, monkeypatch):
-    from fieldgauge.sinks import stages
-
-    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
-    upsert_days(readings({"sensor_id": "a"}), path, staging)
-    batch, move = readings({"sensor_id": "b"}), stages.move_path
-
-    def die(spark, source, target):
-        if "/rows/" in source:
-            raise Lost
-        move(spark, source, target)
-
-    with monkeypatch.context() as patch:
-        patch.setattr(stages, "move_path", die)
-        with pytest.raises(Lost):
-            upsert_days(batch, path, staging)
-    # Someone writes the day while its old folder is aside: all three stay.
-    write_observations(transform(readings({"sensor_id": "c"})), path)
-    upsert_days(batch, path, staging)
-    assert sensors_in(spark, path) == [("2024-01-15", s) for s in "abc"]
+    assert upsert_days(readings({}).limit(0), path).number == 2
 
 
 def test_upsert_refuses_days_that_are_none(readings, tmp_path):
     for day in ("", "2024-02-30", "15.01.2024"):
         with pytest.raises(ValueError, match="ISO"):
-            upsert_days(readings({"dt": day}), str(tmp_path / "t"), str(tmp_path / "s"))
-
-
-def test_compaction_keeps_rows_appended_to_its_days(spark, readings, tmp_path, monkeypatch):
-    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
-    write_observations(transform(readings({"sensor_id": "a"}, {"sensor_id": "a", "dt": "2024-01-16"})), path)
-    with monkeypatch.context() as patch:
-        interrupt(patch)
-        with pytest.raises(Lost):
-            compact_days(spark, path, ["2024-01-15"], staging)
-    write_observations(transform(readings({"sensor_id": "b"}, {"sensor_id": "b", "dt": "2024-01-16"})), path)
-    compact_days(spark, path, ["2024-01-16"], staging)
-    assert len(files(path, "2024-01-16")) == 1
-    assert sensors_in(spark, path) == [(d, s) for d in ("2024-01-15", "2024-01-16") for s in "ab"]
+            upsert_days(readings({"dt": day}), str(tmp_path / "t"))
 
 
 def test_compaction(spark, readings, tmp_path):
@@ -168,9 +81,14 @@ def test_compaction(spark, readings, tmp_path):
     write_observations(rows, path, rows_per_file=4)
     before = sorted(read_table(spark, path, OBSERVATION_SCHEMA).collect())
     assert len(files(path, "2024-01-10")) == 5
-    compact_days(spark, path, ["2024-01-10", "2024-01-11"], str(tmp_path / "staging"), OBSERVATION_SCHEMA)
-    assert [len(files(path, f"2024-01-1{d}")) for d in range(3)] == [1, 1, 5]
+    version = compact_days(spark, path, ["2024-01-10", "2024-01-11", "2024-01-10", "1999-01-01"], OBSERVATION_SCHEMA)
+    many = {day: sum(len(list(Path(path, f).glob("*.parquet"))) for f in folders) for day, folders in version.folders().items()}
+    assert many == {"2024-01-10": 1, "2024-01-11": 1, "2024-01-12": 5}
+    assert version.folders()["2024-01-12"] == ["dt=2024-01-12"]
     assert sorted(read_table(spark, path, OBSERVATION_SCHEMA).collect()) == before
+    assert compact_days(spark, path, ["1999-01-01"], OBSERVATION_SCHEMA) == version
+    with pytest.raises(ValueError, match="versions"):
+        write_observations(rows, path)
 
 
 def test_day_filter_prunes_folders_and_columns(spark, readings, tmp_path, final_plan):
