@@ -38,15 +38,14 @@ ADDED = 0.1  # to every count of the base model
 PRIOR = (64.0, 2.0)  # words that the shorter context's probability counts for, after one word and after two
 FREQUENT = 1 << 20  # words of at least this share of all tokens, of which there can't be more, are kept exactly
 BITS_PER_ENTRY = 8
-SEGMENT_WORDS = 1 << 23  # of 64 bits: 64 MiB are broadcast at a time
-KEPT_SEGMENTS = 4  # as many stay loaded in a Python worker; others are loaded again by each task
+SEGMENT_WORDS = 1 << 22  # of 64 bits: 32 MiB are broadcast at a time
+KEPT_SEGMENTS = 1  # of so many all stay loaded in a Python worker; of more each is loaded when it is probed
 
 # Fixed values that no word's hash is likely to have: two marks before a text, one behind it.
 FIRST, SECOND, END = (np.uint64(v) for v in (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D))
 
 _RANGES = 1 << 16
-_CHUNK_BYTES = 4 << 20
-_TOKENS = 1 << 21  # counted, or scored, together
+_COUNTED, _SCORED_TOGETHER = 1 << 20, 1 << 19  # tokens
 _GROUP_BYTES = 32 << 20
 
 
@@ -101,25 +100,32 @@ def _tokens(texts: pa.Array) -> _Tokens:
     return _Tokens(found, starts, lengths)
 
 
-def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, _Tokens]]:
-    """Rows and their tokens, about _TOKENS at a time."""
-    waiting: list[pa.RecordBatch] = []
+def _several(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.RecordBatch, _Tokens]]:
+    """Rows and their tokens, about ``most`` at a time; words are hashed in smaller chunks, of the size of caches."""
+    waiting: list[tuple[pa.RecordBatch, _Tokens]] = []
     many = 0
+
+    def together() -> tuple[pa.RecordBatch, _Tokens]:
+        rows, tokens = zip(*waiting, strict=True)
+        shifts = np.cumsum([0] + [len(t.all) for t in tokens])
+        starts = [t.starts + shift for t, shift in zip(tokens, shifts, strict=False)]
+        parts = [t.all for t in tokens], starts, [t.lengths for t in tokens]
+        return pa.concat_batches(rows), _Tokens(*map(np.concatenate, parts))
+
     for whole in batches:
-        for batch in chunks(whole, "text", _CHUNK_BYTES):
-            waiting.append(batch)
-            many += batch.nbytes // 6
-            if many >= _TOKENS:
-                rows = pa.concat_batches(waiting)
-                yield rows, _tokens(rows.column("text"))
+        for batch in chunks(whole, "text"):
+            tokens = _tokens(batch.column("text"))
+            waiting.append((batch, tokens))
+            many += len(tokens.all)
+            if many >= most:
+                yield together()
                 waiting, many = [], 0
     if waiting:
-        rows = pa.concat_batches(waiting)
-        yield rows, _tokens(rows.column("text"))
+        yield together()
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, tokens in _several(batches):
+    for _, tokens in _several(batches, _COUNTED):
         keys, times = np.unique(tokens.all[tokens.behind(2)], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(times)], names=_COUNTS.names)
 
@@ -131,7 +137,7 @@ def _sequence_keys(tokens: _Tokens, at: np.ndarray, size: int) -> np.ndarray:
 
 def _sequence_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts and sequences with their counts, a row for each range of keys."""
-    for _, tokens in _several(batches):
+    for _, tokens in _several(batches, _COUNTED):
         one = np.setdiff1d(tokens.behind(1), tokens.starts + tokens.lengths - 1, assume_unique=True)
         found = [_sequence_keys(tokens, one, 1)]
         found += [_sequence_keys(tokens, tokens.behind(size - 1), size) for size in (2, 3)]
@@ -254,7 +260,7 @@ def _scoring(total: float, words: Broadcast, sizes: Broadcast, segments: list[tu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = words.value
         row = TaskContext.get().partitionId() << 40
-        for rows, tokens in _several(batches):
+        for rows, tokens in _several(batches, _SCORED_TOGETHER):
             yield _scored(rows, tokens, row, known, counts.astype(np.float64), total, sizes.value, segments)
             row += rows.num_rows
 
