@@ -7,11 +7,16 @@ shuffles each fingerprint to its nodes and sorts a node by Gray rank. Below a no
 consecutive fingerprints form groups of groups that hold the bits their members agree
 on; two groups are skipped as a whole once the differences in bits that both have fixed
 exceed the distance.
+
+A node with very many fingerprints is no work for one task: its members go on to nodes
+below it, where some of the remaining bits are masked as well, in a further round. Each
+round leaves fewer bits open, so a node's size is bounded whatever the documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +33,14 @@ SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 
+NODE = 1 << 16  # fingerprints of a node that one task links
 _FAN = 32  # members of a group, at every level
 _PAIRS = 2048  # group pairs compared at a time
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fingerprint", T.LongType())])
-_LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+_LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "mask")])
 
 
 def _shingle_words(words, size: int):
@@ -95,17 +101,16 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return plain.mapInArrow(_fingerprint_rows(size), _FINGERPRINTS)
 
 
+def finer(mask: int, distance: int = DISTANCE, bits: int = 64) -> list[int]:
+    """Masks of more bits: two words that agree under ``mask`` and are within the distance agree under one at least."""
+    left, parts = [p for p in range(bits) if not mask >> p & 1], distance + 1
+    blocks = [left[len(left) * i // parts : len(left) * (i + 1) // parts] for i in range(parts)]
+    return [mask | sum(1 << p for p in block) for block in blocks]
+
+
 def masks(distance: int = DISTANCE, bits: int = 64) -> list[int]:
     """Masks of the index's upper nodes: two words within the distance agree under one at least."""
-    def cut(positions: list[int]) -> list[list[int]]:
-        parts = distance + 1
-        return [positions[len(positions) * i // parts : len(positions) * (i + 1) // parts] for i in range(parts)]
-
-    found = []
-    for block in cut(list(range(bits))):
-        for more in cut([p for p in range(bits) if p not in block]):
-            found.append(sum(1 << p for p in [*block, *more]))
-    return found
+    return [fine for block in finer(0, distance, bits) for fine in finer(block, distance, bits)]
 
 
 def gray_rank(value: Column) -> Column:
@@ -206,19 +211,24 @@ def _large_group(values: np.ndarray, labels: _Labels, base: int, distance: int)
             stack.append((level - 1, a[use], b[use]))
 
 
-def _links(distance: int):
+def _links(distance: int, most: int):
     """Links that connect the fingerprints of a node as their pairs within the distance do.
 
-    A node gives fewer links than it has members.
+    A node gives fewer links than it has members. One of more than about ``most`` members
+    gives its members with its mask, and no links.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list = []  # of a node that may go on
+        open_key, number, too_many = None, 0, False
 
         def found() -> pa.RecordBatch:
             return _link_rows(*(np.concatenate(x) for x in zip(*waiting, strict=True)), distance)
 
-        open_key, number = None, 0
+        def passed_on(values: np.ndarray) -> pa.RecordBatch:
+            rows = [pa.array(values), pa.nulls(len(values), pa.int64()), pa.array(np.full(len(values), open_key[0]))]
+            return pa.RecordBatch.from_arrays(rows, names=_LINKS.names)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -227,18 +237,27 @@ def _links(distance: int):
             new[0] = open_key != [k[0] for k in key]
             for k in key:
                 new[1:] |= k[1:] != k[:-1]
-            open_key = [k[-1] for k in key]
             rest = [np.cumsum(new) + number, values]
             number = rest[0][-1]
             ends = np.flatnonzero(new)
+            begin = 0
+            if too_many:  # the open node's further members
+                begin = int(ends[0]) if len(ends) else len(values)
+                if begin:
+                    yield passed_on(values[:begin])
+                too_many = not len(ends)
+            open_key = [k[-1] for k in key]
             if len(ends):
-                if ends[-1]:
-                    waiting.append([x[: ends[-1]] for x in rest])
+                if ends[-1] > begin:
+                    waiting.append([x[begin : ends[-1]] for x in rest])
                 if waiting:
                     yield found()
-                waiting = []
-            cut = ends[-1] if len(ends) else 0
-            waiting.append([x[cut:] for x in rest])
+                waiting, begin = [], ends[-1]
+            if begin < len(values):
+                waiting.append([x[begin:] for x in rest])
+            if sum(len(x) for x, _ in waiting) > most:
+                yield passed_on(np.concatenate([x for _, x in waiting]))
+                waiting, too_many = [], True
         if waiting:
             yield found()
 
@@ -261,23 +280,36 @@ def _link_rows(node: np.ndarray, names: np.ndarray, distance: int) -> pa.RecordB
         _large_group(values[begin : begin + size[begin]], labels, begin, distance)
     pairs = [*labels.pairs, *((small[a], small[b]) for a, b in inner.pairs)]
     a, b = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, int), np.zeros(0, int))
-    return pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], names=_LINKS.names)
+    columns = [pa.array(names[a]), pa.array(names[b]), pa.nulls(len(a), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=_LINKS.names)
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Edges (a, b) that connect the fingerprints within the distance, directly or over others."""
-    nodes = F.array(
-        *[
-            F.struct(F.lit(i).alias("mask"), F.col("fingerprint").bitwiseAND(F.lit(_signed(m))).alias("pattern"))
-            for i, m in enumerate(masks(distance))
-        ]
-    )
-    placed = distinct.select("fingerprint", F.explode(nodes).alias("node")).select("node.*", "fingerprint")
-    return (
-        placed.repartition("mask", "pattern")
-        .sortWithinPartitions("mask", "pattern", gray_rank(F.col("fingerprint")))
-        .mapInArrow(_links(distance), _LINKS)
-    )
+def links(distinct: DataFrame, distance: int = DISTANCE, most: int = NODE) -> DataFrame:
+    """Edges (a, b) that connect the fingerprints within the distance, directly or over others.
+
+    Nodes of over ``most`` fingerprints go on to finer masks, round by round. The last have
+    so few bits open that they can't hold as many.
+    """
+    level, found = masks(distance), []
+    mask = F.explode(F.array(*[F.lit(_signed(m)) for m in level])).alias("mask")
+    placed = distinct.select("fingerprint", mask)
+    while True:
+        placed = placed.withColumn("pattern", F.col("fingerprint").bitwiseAND(F.col("mask")))
+        linked = (
+            placed.repartition("mask", "pattern")
+            .sortWithinPartitions("mask", "pattern", gray_rank(F.col("fingerprint")))
+            .mapInArrow(_links(distance, most), _LINKS)
+        )
+        linked = written(linked, "links")
+        found.append(linked.where("b is not null").select("a", "b"))
+        going_on = linked.where("b is null").select(F.col("a").alias("fingerprint"), "mask")
+        if going_on.isEmpty():
+            return reduce(DataFrame.unionAll, found)
+        below = [(_signed(m), _signed(f)) for m in level for f in finer(m, distance)]
+        level = list({f for m in level for f in finer(m, distance)})
+        table = distinct.sparkSession.createDataFrame(below, "mask long, finer long")
+        # Different masks may have a finer one in common.
+        placed = going_on.join(F.broadcast(table), "mask").select("fingerprint", F.col("finer").alias("mask")).distinct()
 
 
 def near_duplicates(
