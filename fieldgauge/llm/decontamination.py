@@ -53,18 +53,23 @@ def sample_times(walk: int) -> list[int]:
 
 
 class _Walk:
-    """A walk over all places of a word sequence at once."""
-
-    def __init__(self, symbols: np.ndarray, number: int):
+    """A walk over all places of word sequences at once; behind each sequence lies nothing, so no walk goes on into the next."""
+
+    def __init__(self, symbols: np.ndarray, rows: np.ndarray, number: int):
+        gap = STEPS + 2
+        self.shift = np.repeat(np.arange(len(rows) - 1), np.diff(rows)) * gap
+        spread = np.zeros(len(symbols) + gap * (len(rows) - 1), np.uint64)
+        there = np.arange(len(symbols)) + self.shift
+        spread[there] = symbols
         # What a walk gives out is a word with its successor, which is rarer than a word.
-        pad = np.zeros(STEPS + 2, np.uint64)
-        self.output = np.concatenate([mix(symbols + mix(np.append(symbols[1:], 0).astype(np.uint64) + np.uint64(1))), pad])
-        self.bits = np.concatenate([mix(symbols ^ np.uint64(_SEED * (number + 1) & (2**64 - 1))), pad])
+        self.output, self.bits = np.zeros_like(spread), np.zeros_like(spread)
+        self.output[there] = mix(symbols + mix(spread[there + 1] + np.uint64(1)))
+        self.bits[there] = mix(symbols ^ np.uint64(_SEED * (number + 1) & (2**64 - 1)))
         self.times = sample_times(number)
 
     def keys(self, starts: np.ndarray, known: list[np.ndarray] | None = None):
         """Starts and their keys; with ``known`` tables, starts whose samples can't be an item's fall out early."""
-        at = starts
+        at = starts + self.shift[starts]
         key = np.zeros(len(starts), np.uint64)
         for time in range(self.times[-1] + 1):
             if time in self.times:
@@ -77,7 +82,7 @@ class _Walk:
         return starts, key
 
     def outputs(self, starts: np.ndarray) -> list[np.ndarray]:
-        at, found = starts, []
+        at, found = starts + self.shift[starts], []
         for time in range(self.times[-1] + 1):
             if time in self.times:
                 found.append(self.output[at])
@@ -100,7 +105,7 @@ class Items:
         starts = place[(counts[row] >= SHORT) & (offset % STRIDE == 0) & (offset + SHORT <= counts[row])]
         self.walks = []
         for number in range(WALKS):
-            walk = _Walk(self.symbols, number)
+            walk = _Walk(self.symbols, self.rows, number)
             _, keys = walk.keys(starts)
             tables = []
             for output in walk.outputs(starts):
@@ -147,6 +152,22 @@ def best_window(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
+def _regions(tried: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(row, item, first, last): the words around candidates (row, item, begin), in order; what overlaps is one region."""
+    if not len(tried):
+        return
+    row, item, begin = tried.T
+    most = (sizes[item] * EDITS).astype(np.int64)
+    first = np.maximum(rows[row], begin - most)
+    last = np.minimum(rows[row + 1], begin + sizes[item] + most)
+    new = np.ones(len(tried), bool)
+    # Begins ascend within a row and item, and so do the ends of their regions.
+    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (first[1:] > last[:-1])
+    heads = np.flatnonzero(new)
+    tails = np.append(heads[1:], len(tried)) - 1
+    yield from zip(row[heads].tolist(), item[heads].tolist(), first[heads].tolist(), last[tails].tolist(), strict=True)
+
+
 def _found(words: Words, items: Items) -> dict[tuple[int, int], tuple[int, int]]:
     """(row, item) to (distance, start) of the best match of every item in every row."""
     symbols = words.hashes()
@@ -158,23 +179,15 @@ def _found(words: Words, items: Items) -> dict[tuple[int, int], tuple[int, int]]
     for number, (wanted, item, offset, tables) in enumerate(items.walks):
         if not len(wanted):
             continue
-        starts, keys = _Walk(symbols, number).keys(np.arange(len(symbols)), tables)
+        starts, keys = _Walk(symbols, words.rows, number).keys(np.arange(len(symbols)), tables)
         mine, theirs = _pairs(keys, wanted)
-        candidates.append(np.stack([starts[mine], item[theirs], starts[mine] - offset[theirs]], 1))
+        row = np.searchsorted(words.rows, starts[mine], "right") - 1
+        candidates.append(np.stack([row, item[theirs], starts[mine] - offset[theirs]], 1))
     tried = np.unique(np.concatenate(candidates), axis=0) if candidates else np.zeros((0, 3), np.int64)
-    tried = tried[np.unique(tried[:, 1:], axis=0, return_index=True)[1]]
-    rows = np.searchsorted(words.rows, tried[:, 0], "right") - 1
-    covered: dict[tuple[int, int], int] = {}
-    for (_, item, begin), row in sorted(zip(map(tuple, tried.tolist()), rows.tolist(), strict=True), key=lambda x: (x[1], x[0][1], x[0][2])):
+    for row, item, first, last in _regions(tried, words.rows, np.diff(items.rows)):
         wanted = items.of(item)
-        most = int(len(wanted) * EDITS)
-        if covered.get((row, item), -1) >= begin:
-            continue
-        first = max(int(words.rows[row]), begin - most)
-        last = min(int(ends[row]), begin + len(wanted) + most)
         distance, end = best_window(wanted, symbols[first:last])
-        if distance <= most:
-            covered[row, item] = begin + most
+        if distance <= int(len(wanted) * EDITS):
             start = max(0, first + end - len(wanted) - int(words.rows[row]))
             found[row, item] = min(found.get((row, item), (distance, start)), (distance, start))
     for size, (wanted, item) in items.short.items():
