@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldgauge.llm.tables import written
 from fieldgauge.llm.words import chunks, mix, span_hashes, split_words
 
 WINDOW = 20
@@ -29,10 +30,8 @@ _LEFT = np.uint64(0xD6E8FEB86659FD93)
 _RIGHT = np.uint64(0xA0761D6478BD642F)
 _ROUND = 0xE7037ED1A0B428DB
 _LEVEL_BITS = 40
-# A place holds a text's tag, the first window's start (32 bits) and the windows less one.
+# A place holds the first window's start and the windows less one.
 _COUNT_BITS = 12
-_TAG_SHIFT = 32 + _COUNT_BITS
-_TAGS = 1 << 18
 # Windows are compared by their own 56 bits, within an anchor of 48: unrelated ones by 104 bits.
 _HASH_BYTES = 7
 _ANCHOR_MASK = np.uint64(2**64 - 2**16)
@@ -45,9 +44,7 @@ _ANCHORS = T.StructType(
         T.StructField("windows", T.BinaryType()),
     ]
 )
-_REPEATS = T.StructType(
-    [T.StructField("doc", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("repeat", T.LongType())]
-)
+_REPEATS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("repeat", T.LongType())])
 
 
 def _name_runs(symbols, first, low, high):
@@ -196,9 +193,8 @@ def _anchors_of(batch: pa.RecordBatch, width: int):
     begins = np.flatnonzero(new)
     counts = np.diff(np.append(begins, len(at)))
     row = row[begins]
-    tag = batch.column("tag").to_numpy(zero_copy_only=False)[row]
     doc = batch.column("doc").to_numpy(zero_copy_only=False)[row]
-    place = (tag << _TAG_SHIFT) + ((at[begins] - words.rows[row]) << _COUNT_BITS) + counts - 1
+    place = ((at[begins] - words.rows[row]) << _COUNT_BITS) + counts - 1
     return anchor[begins], doc, place, span_hashes(symbols, at, at + width), counts
 
 
@@ -227,7 +223,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = batch.column("place").to_numpy(zero_copy_only=False)
         windows, counts = _binary_values(batch.column("windows"))
         known = counts == 0
-        yield _repeat_rows(doc[known], place[known] >> _TAG_SHIFT, place[known])
+        yield _repeat_rows(doc[known], place[known])
         anchor, doc, place, counts = anchor[~known], doc[~known], place[~known], counts[~known]
         if not len(anchor):
             continue
@@ -266,24 +262,21 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = repeated.copy()
         ends[:-1] &= ~repeated[1:] | (row[1:] != row[:-1])
         begins, ends = np.flatnonzero(begins), np.flatnonzero(ends)
-        runs = (place[begins] << _COUNT_BITS) + ends - begins
-        yield _repeat_rows(doc[begins], runs >> _TAG_SHIFT, runs)
+        yield _repeat_rows(doc[begins], (place[begins] << _COUNT_BITS) + ends - begins)
 
 
-def _repeat_rows(doc, tag, place) -> pa.RecordBatch:
-    repeat = place & ((1 << _TAG_SHIFT) - 1)
-    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(repeat)], names=_REPEATS.names)
+def _repeat_rows(doc, repeat) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(repeat)], names=_REPEATS.names)
 
 
-def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WINDOW) -> DataFrame:
-    """Windows whose words also start earlier, as (doc, tag, repeat): start * 2**12 + windows - 1.
+def repeated_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
+    """Windows of (doc, text) whose words also start earlier, as (doc, repeat): start * 2**12 + windows - 1.
 
-    ``tag`` tells apart different texts under one id.
+    Different texts must have different numbers ``doc``.
     """
     if not 1 <= width <= 1 << _COUNT_BITS:
         raise ValueError(f"width must be between 1 and {1 << _COUNT_BITS}")
-    found = docs.select(*_keys(id_column, text), F.col(f"`{text}`").alias("text"))
-    anchors = found.mapInArrow(_anchor_rows(width), _ANCHORS)
+    anchors = docs.select("doc", "text").mapInArrow(_anchor_rows(width), _ANCHORS)
     return (
         anchors.repartition("anchor")
         .sortWithinPartitions("anchor", "doc", "place")
@@ -291,11 +284,24 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     )
 
 
-def _keys(id_column: str, text: str) -> list[Column]:
-    return [
-        F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(2**63 - 1)).alias("doc"),
-        F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(_TAGS)).alias("tag"),
-    ]
+def _numbered(docs: DataFrame, text: str) -> DataFrame:
+    """The rows with a ``doc`` that tells different texts apart and keeps their order.
+
+    That is the id itself where every text has its own. Otherwise (null ids, or several
+    texts under one) texts are numbered in the order of their ids, null last, and of their
+    64-bit hashes; equal texts under one id have one number.
+    """
+    content = F.xxhash64(F.col(f"`{text}`"))
+    keys = docs.select("doc", content.alias("content"))
+    mixed = keys.groupBy("doc").agg(F.min("content").alias("one"), F.max("content").alias("two"))
+    if mixed.where("doc is null or one <> two").isEmpty():
+        return docs
+    ordered = keys.distinct().orderBy(F.asc_nulls_last("doc"), "content")
+    numbers = written(ordered.withColumn("number", F.monotonically_increasing_id()), "numbers")
+    left = docs.withColumn("content", content)
+    same = left["doc"].eqNullSafe(numbers["doc"]) & (left["content"] == numbers["content"])
+    kept = [left[c] for c in docs.columns if c != "doc"]
+    return left.join(numbers, same).select(numbers["number"].alias("doc"), *kept)
 
 
 def _cut(width: int, one_space: bool, position: int, names: list[str]):
@@ -309,8 +315,11 @@ def _cut(width: int, one_space: bool, position: int, names: list[str]):
                 packed = repeats.flatten().to_numpy(zero_copy_only=False)
                 row = np.repeat(np.arange(len(repeats)), np.diff(repeats.offsets.to_numpy()))
                 start = words.rows[row] + (packed >> _COUNT_BITS)
+                behind = start + (packed & ((1 << _COUNT_BITS) - 1)) + width
+                if (behind > words.rows[row + 1]).any():
+                    raise ValueError("a repeat goes beyond its text")
                 np.add.at(removed, start, 1)
-                np.add.at(removed, start + (packed & ((1 << _COUNT_BITS) - 1)) + width, -1)
+                np.add.at(removed, behind, -1)
                 gone = np.cumsum(removed[:-1]) > 0
                 kept = np.flatnonzero(~gone)
                 n_gone = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.rows])
@@ -358,18 +367,19 @@ def remove_repeats(
     different texts under one id come in the order of their hashes. An empty table
     gives an empty table.
     """
+    names = [c for c in docs.columns if c not in ("n_words", "n_removed")]
+    inner = [f"c{i}" for i in range(len(names))]
+    position = names.index(text)
+    given = docs.select(F.col(f"`{id_column}`").cast("long"), *[F.col(f"`{c}`") for c in names]).toDF("doc", *inner)
+    left = _numbered(given, inner[position])
     repeats = (
-        repeated_windows(docs, id_column, text, width)
-        .groupBy("doc", "tag")
+        repeated_windows(left.select("doc", F.col(inner[position]).alias("text")), width)
+        .groupBy("doc")
         .agg(F.collect_list("repeat").alias("repeats"))
     )
-    names = [c for c in docs.columns if c not in ("n_words", "n_removed")]
-    inner = [f"c{i}" for i in range(len(names))]
-    left = docs.select(*_keys(id_column, text), *[F.col(f"`{c}`") for c in names]).toDF("doc", "tag", *inner)
-    joined = left.join(repeats, ["doc", "tag"], "left").select(
+    joined = left.join(repeats, "doc", "left").select(
         *inner, F.coalesce("repeats", F.array().cast("array<long>")).alias("repeats")
     )
-    position = names.index(text)
     schema = T.StructType([T.StructField(i, left.schema[i].dataType) for i in inner])
     schema = schema.add("n_words", T.LongType()).add("n_removed", T.LongType())
     cut = joined.mapInArrow(_cut(width, one_space, position, inner), schema)
