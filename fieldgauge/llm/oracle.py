@@ -52,26 +52,30 @@ plan as (
 shares as (
   select *, coalesce(lag(until) over (order by place), 0) as since
   from (
-    select place, (source_size + block - 1) // block as blocks,
-      cast(round(sum(target) over (order by place) / all_targets * 4294967296) as bigint) as until
+    select place, target, cast(round(sum(target) over (order by place) / all_targets * 4294967296) as bigint) as until
     from targets, plan) s),
 filled as (
-  select place, blocks, row_number() over (partition by place order by slot) - 1 as turn
+  select place, slot
   from (select slot, slot * 2654435769 % 4294967296 as point
         from (select unnest(range((select slots from plan))) as slot) r) p
   join shares on point >= since and point < until),
-schedule as (
-  select place, turn % blocks as block, count(*) as times from filled where turn < 2 * blocks group by all),
+turns as (
+  select place, greatest(count(slot), 1) as turns from shares left join filled using (place) where target > 0 group by place),
+blocks as (
+  select place, turn, cast(turn as hugeint) * cast(round(target) as bigint) // turns as begin,
+    cast(turn + 1 as hugeint) * cast(round(target) as bigint) // turns as behind
+  from (select place, target, turns, unnest(range(turns)) as turn from turns join targets using (place)) t),
 laid as (
-  select row_number() over () as id, doc_id, size, d.source, source_size, target, place, block as width,
+  select row_number() over () as id, doc_id, size, d.source, source_size, target, place,
     cast(sum(size) over (partition by place order by md5(cast(doc_id as varchar)), size rows unbounded preceding) as bigint)
       as until
-  from sizes d join targets t on d.source is not distinct from t.source, plan),
-pieces as (
-  select *, unnest(range((until - size) // width, (until - 1) // width + 1)) as block from laid where size > 0),
+  from sizes d join targets t on d.source is not distinct from t.source),
+places as (
+  select id, place, until - size + pass * source_size as first, until + pass * source_size as last
+  from laid, (select unnest([0, 1]) as pass) p where size > 0),
 takings as (
-  select id, cast(sum((least(until, (p.block + 1) * width) - greatest(until - size, p.block * width)) * times) as bigint) as taken
-  from pieces p join schedule s on p.place = s.place and p.block = s.block group by id)
+  select id, cast(sum(least(last, behind) - greatest(first, begin)) as bigint) as taken
+  from places p join blocks b on p.place = b.place and b.begin < p.last and b.behind > p.first group by id)
 select doc_id, size, source, source_size, target, coalesce(taken, 0) as taken
 from laid left join takings using (id)"""
 
