@@ -6,6 +6,7 @@ import base64
 import codecs
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -63,19 +64,58 @@ def _charset(content_type: str | None) -> str:
         key, _, value = part.partition("=")
         if key.strip().lower() == "charset":
             try:
-                return codecs.lookup(value.strip(" \"'")).name
-            except LookupError:
+                name = codecs.lookup(value.strip(" \"'")).name
+                b"".decode(name)  # refused by codecs that are not of text
+            except (LookupError, ValueError):  # a zero character is no LookupError
                 break
+            return name
     return "utf-8"
 
 
+def _decoded(payload: bytes, charset: str) -> str:
+    """The payload as text that has a form in UTF-8; what can't be decoded is replaced."""
+    try:
+        text = payload.decode(charset, "replace")
+    except (LookupError, ValueError):  # codecs that know no replacement, or refuse every input
+        text = payload.decode("utf-8", "replace")
+    return text.encode("utf-8", "replace").decode("utf-8")
+
+
+def _dechunked(payload: bytes) -> bytes:
+    """The body of a chunked transfer; what does not follow the form ends it."""
+    found, at = [], 0
+    while True:
+        end = payload.find(b"\r\n", at)
+        size = payload[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not size or not all(c in b"0123456789abcdefABCDEF" for c in size) or int(size, 16) == 0:
+            return b"".join(found)
+        begin = end + 2
+        found.append(payload[begin : begin + int(size, 16)])
+        at = begin + int(size, 16) + 2
+
+
+def _body(headers: str, payload: bytes) -> bytes:
+    """The payload without its transfer and content encoding, as far as it follows them."""
+    if "chunked" in (_header(headers, "transfer-encoding") or "").lower():
+        payload = _dechunked(payload)
+    encoding = (_header(headers, "content-encoding") or "").strip().lower()
+    if encoding in ("gzip", "x-gzip", "deflate"):
+        for bits in (47, -15):  # with a header of either kind, then without
+            inflater = zlib.decompressobj(bits)
+            try:
+                return inflater.decompress(payload) + inflater.flush()
+            except zlib.error:
+                continue
+    return payload
+
+
 def derive(source_id: str | None, uri: str | None, date: str | None, block: bytes | None) -> list[tuple]:
     """The metadata and the conversion record of one response."""
     block = block or b""
     source_id = source_id or record_id("response", f"{uri} {date} {digest(block)}")
     headers, payload = split_response(block)
     content_type = _header(headers, "content-type")
-    page = payload.decode(_charset(content_type), "replace")
+    page = _decoded(_body(headers, payload), _charset(content_type))
     text = "\n".join(b.text for b in blocks(page))
     source = (digest(block), digest(payload), headers or None)
     fields = [
@@ -115,7 +155,9 @@ def build_derivatives(responses: DataFrame) -> DataFrame:
 
     Both refer to the response and keep its URI and date, its HTTP headers as they were,
     and digests (SHA-1, base 32) of its block and payload; the conversion holds all
-    visible text of the payload, a block a line. A response without an id is named after
+    visible text of the payload, a block a line, once its transfer and content encoding
+    (chunks, gzip, deflate) are undone and its charset is read; an unknown charset counts
+    as UTF-8, and what can't be decoded is replaced. A response without an id is named after
     its URI, date and content. Null blocks count as empty and give an empty conversion;
     a block without HTTP headers is all payload. Repeated responses give repeated
     records; other columns are not read; an empty table gives an empty table.
