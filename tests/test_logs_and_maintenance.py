@@ -84,11 +84,11 @@ def test_percentiles_of_all_and_of_odd_groups(spark):
     assert (row.p0, row.p50) == (1.0, float("inf")) and np.isnan(row.p100)
 
 
-def test_percentiles_order_one_range_of_a_group_at_a_time(spark, final_plan):
+def test_percentiles_order_one_piece_of_a_range_at_a_time(spark, final_plan):
     df = spark.range(5000).select((F.col("id") % 3).cast("string").alias("day"), (F.col("id") * 1.5).alias("latency_ms"))
     plan = final_plan(op.latency_percentiles(df))
     by_value = [line for line in plan.splitlines() if " Window [" in line and ", [_value#" in line]
-    assert by_value and all(re.search(r"\[day#\d+, _range#\d+L?\], \[_value#", line) for line in by_value)
+    assert by_value and all(re.search(r"\[day#\d+, _range#\d+L?, _piece#\d+L?\], \[_value#", line) for line in by_value)
 
 
 def test_page_chains(spark):
