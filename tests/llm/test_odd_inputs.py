@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 from fieldgauge.llm.decontamination import contamination  # noqa: E402
 from fieldgauge.llm.html_blocks import blocks  # noqa: E402
-from fieldgauge.llm.html_text import extract_text  # noqa: E402
+from fieldgauge.llm.html_text import extract_text, shared_lines  # noqa: E402
 from fieldgauge.llm.substrings import remove_repeats  # noqa: E402
 from fieldgauge.llm.warc import build_derivatives, derive  # noqa: E402
 
@@ -211,3 +211,32 @@ def test_shared_openings_take_time_in_proportion(spark):
     started = time.monotonic()
     assert matches(spark, [text], items) == {(0, 17): 0}
     assert time.monotonic() - started < 30
+
+
+def longest_common(one, two):
+    lengths = [0] * (len(two) + 1)
+    for x in one:
+        above, lengths = lengths, [0]
+        for j, y in enumerate(two):
+            lengths.append(above[j] + 1 if x == y else max(above[j + 1], lengths[j]))
+    return lengths[-1]
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 3, 30])
+def test_shared_lines_of_repeated_lines_are_a_longest_common_subsequence(kinds):
+    assert shared_lines(["a", "-"], ["-"] * 17 + ["a", "-"]) == {0, 1}
+    rng = random.Random(kinds)
+    for _ in range(60):
+        one, two = ([str(rng.randrange(kinds)) for _ in range(rng.randrange(90))] for _ in range(2))
+        kept, rest = shared_lines(one, two), iter(two)
+        assert len(kept) == longest_common(one, two) and all(one[i] in rest for i in sorted(kept))
+
+
+def test_furniture_between_repeated_lines_goes(spark):
+    def html(i, rows):
+        return f"<body>{'<p>-' * rows}<p>Site name<p>own text of page {i}, long enough to stay{'<p>-' * 3}</body>"
+
+    rows = [(i, f"http://h.org/{i}", html(i, n)) for i, n in enumerate([20, 2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r.text for r in extract_text(pages).collect()}
+    assert got[1] == "own text of page 1, long enough to stay"
