@@ -54,22 +54,26 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("Proprietary", "Copyright. All rights reserved. No part of this work may be reproduced without written permission."),
 )
-# Words of which every template holds one: a paragraph without any can't be confirmed.
+# Words of licences: a paragraph that holds one is reported even if it is unknown.
 ANCHORS = r"(?i)licen[cs]e|copyright|permission|permitted|public domain|\bgpl\b|\bcc0\b"
 
 
 def words(text: Column) -> Column:
     """Words in lower case, numbers as they are, without punctuation."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def grams(tokens: Column, size: int) -> Column:
-    starts = F.when(F.size(tokens) >= size, F.sequence(F.lit(1), F.size(tokens) - size + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(size)), " "))
+def _followed(starts: str, size: int) -> Column:
+    """n-grams of ``size`` words, from those of one word less and the words."""
+    but_last = F.slice(starts, F.lit(1), F.greatest(F.size(starts) - 1, F.lit(0)))
+    later = F.slice("tokens", F.lit(size), F.greatest(F.size("tokens") - size + 1, F.lit(0)))
+    return F.zip_with(but_last, later, lambda start, word: F.concat_ws(" ", start, word))
 
 
-def features(tokens: Column) -> Column:
-    return F.concat(tokens, grams(tokens, 2), grams(tokens, 3))
+def with_grams(rows: DataFrame) -> DataFrame:
+    """Adds word pairs, and grams: words, pairs and triples, all with repeats."""
+    rows = rows.withColumn("pairs", _followed("tokens", 2))
+    return rows.withColumn("grams", F.concat("tokens", "pairs", _followed("pairs", 3)))
 
 
 def _literal_words(text: str) -> list[str]:
@@ -100,22 +104,18 @@ def _similarity(pairs: Column, template: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(doc_id, paragraph, text, tokens, pairs) of paragraphs (lines) that hold an anchor word."""
-    lines = F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n")
-    held = F.filter(
-        F.transform(lines, lambda line, i: F.struct(i.alias("paragraph"), line.alias("text"))),
-        lambda p: p["text"].rlike(ANCHORS),
-    )
-    found = docs.select(F.col(f"`{id_column}`").alias("doc_id"), held.alias("held")).where(F.size("held") > 0)
-    found = found.select("doc_id", F.inline("held")).withColumn("tokens", words(F.col("text")))
-    return found.withColumn("pairs", F.array_distinct(grams(F.col("tokens"), 2)))
+    """(doc_id, paragraph, text, tokens) of all paragraphs (lines) that hold a word."""
+    lines = F.split(F.col(f"`{text}`"), "\n")
+    found = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.posexplode(lines).alias("paragraph", "text"))
+    return found.where(F.col("text").rlike(r"[\p{L}\p{N}]")).withColumn("tokens", words(F.col("text")))
 
 
 def training_rows(docs: DataFrame, text: str = "text", templates=TEMPLATES, sample: int = SAMPLE) -> DataFrame:
     """(family, tokens): templates whole, without each of their words, and their starts and ends; and corpus paragraphs.
 
-    Of the corpus, at most ``sample`` first paragraphs, chosen by a hash, that share less
-    than RESEMBLES of any template's word pairs stand for the unknown class.
+    Of the corpus, at most ``sample`` paragraphs from anywhere in its texts, chosen by a
+    hash, that share less than RESEMBLES of any template's word pairs stand for the unknown
+    class, with their first 200 words.
     """
     known = template_table(docs.sparkSession, templates)
     size = F.size("tokens")
@@ -131,9 +131,10 @@ def training_rows(docs: DataFrame, text: str = "text", templates=TEMPLATES, samp
     )
     positive = known.select("family", F.explode(cuts).alias("tokens"))
     all_pairs = F.array(*[_literal_pairs(t) for _, t in templates])
-    other = docs.select(F.split_part(F.col(f"`{text}`"), F.lit("\n"), F.lit(1)).alias("line")).where("line is not null")
-    other = other.orderBy(F.xxhash64("line"), "line").limit(sample).withColumn("tokens", F.slice(words(F.col("line")), 1, 200))
-    other = other.withColumn("pairs", F.array_distinct(grams(F.col("tokens"), 2))).withColumn("templates", all_pairs)
+    other = paragraphs(docs.withColumn("_chosen", F.xxhash64(F.col(f"`{text}`"))), "_chosen", text)
+    other = other.select(F.xxhash64("doc_id", "paragraph").alias("chosen"), F.col("text").alias("line"))
+    other = other.orderBy("chosen", "line").limit(sample).withColumn("tokens", F.slice(words(F.col("line")), 1, 200))
+    other = with_grams(other).withColumn("templates", all_pairs)
     unlike = F.forall("templates", lambda t: _similarity(F.col("pairs"), t) < RESEMBLES)
     return positive.unionByName(other.where(unlike).select(F.lit(UNKNOWN).alias("family"), "tokens"))
 
@@ -145,9 +146,9 @@ def train(docs: DataFrame, text: str = "text", templates=TEMPLATES, sample: int
     # A paragraph of no words at all is unknown; it also keeps the class from being empty.
     rows = rows.unionByName(rows.sparkSession.range(1).select(F.lit(UNKNOWN).alias("family"), F.array().cast("array<string>").alias("tokens")))
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
-    rows = rows.withColumn("label", label).withColumn("grams", features(F.col("tokens")))
+    rows = written(with_grams(rows.withColumn("label", label)), "training")
     sizes = rows.groupBy("label").agg((1 / F.count("*")).alias("weight"))
-    rows = written(rows.join(F.broadcast(sizes), "label"), "training")
+    rows = rows.join(F.broadcast(sizes), "label")
     hashing = HashingTF(inputCol="grams", outputCol="vector", numFeatures=BUCKETS, binary=True)
     model = LogisticRegression(
         featuresCol="vector", labelCol="label", weightCol="weight", regParam=1e-4, maxIter=30, probabilityCol="probabilities"
@@ -156,22 +157,25 @@ def train(docs: DataFrame, text: str = "text", templates=TEMPLATES, sample: int
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text", templates=TEMPLATES, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, paragraph, family, probability, similarity, confirmed), one row for each paragraph of licence words.
-
-    Paragraphs are lines, numbered from 0. ``similarity`` is the largest share of word
-    pairs that a template of the predicted family has in common with the paragraph;
-    ``confirmed`` tells whether it reaches CONFIRMED. An unknown paragraph has similarity
-    0 and isn't confirmed. Null and empty texts have no paragraph with licence words.
-    Repeated rows are scanned one by one; other columns are not read; an empty table
-    gives an empty table.
+    """(doc_id, paragraph, family, probability, similarity, confirmed) of paragraphs of a licence family or licence words.
+
+    Paragraphs are lines, numbered from 0, and each is classified. Those that the classifier
+    gives a family are returned, and unknown ones that hold one of ANCHORS. ``similarity``
+    is the largest share of word pairs that a template of the predicted family has in common
+    with the paragraph; ``confirmed`` tells whether it reaches CONFIRMED. An unknown
+    paragraph has similarity 0 and isn't confirmed. Null and empty texts have no paragraph.
+    Repeated rows are scanned one by one; other columns are not read; an empty table gives
+    an empty table.
     """
     model, families = train(docs, text, templates, sample)
-    found = paragraphs(docs, id_column, text).withColumn("grams", features(F.col("tokens")))
-    scored = model.transform(found).withColumn("shares", vector_to_array("probabilities"))
+    scored = model.transform(with_grams(paragraphs(docs, id_column, text)))
+    scored = scored.withColumn("shares", vector_to_array("probabilities"))
     best = F.array_max("shares")
-    scored = scored.withColumn("probability", best).withColumn(
-        "family", F.element_at(F.array(*[F.lit(f) for f in families]), F.array_position("shares", best).cast("int"))
-    )
+    family = F.element_at(F.array(*[F.lit(f) for f in families]), F.array_position("shares", best).cast("int"))
+    # Through an array of one row, so that no filter reaches below and runs the model once more.
+    row = F.struct(best.alias("probability"), family.alias("family"))
+    scored = scored.select("doc_id", "paragraph", "text", "pairs", F.inline(F.array(row)))
+    scored = scored.where((F.col("family") != UNKNOWN) | F.col("text").rlike(ANCHORS))
     likeness = F.lit(0.0)
     for family in dict.fromkeys(f for f, _ in templates):
         own = [_literal_pairs(t) for f, t in templates if f == family]

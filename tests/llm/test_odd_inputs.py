@@ -17,6 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 from fieldgauge.llm.decontamination import contamination  # noqa: E402
 from fieldgauge.llm.html_blocks import blocks  # noqa: E402
 from fieldgauge.llm.html_text import extract_text, shared_lines  # noqa: E402
+from fieldgauge.llm.licences import scan, training_rows  # noqa: E402
 from fieldgauge.llm.substrings import remove_repeats  # noqa: E402
 from fieldgauge.llm.warc import build_derivatives, derive  # noqa: E402
 
@@ -240,3 +241,22 @@ def test_furniture_between_repeated_lines_goes(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
     got = {r.page_id: r.text for r in extract_text(pages).collect()}
     assert got[1] == "own text of page 1, long enough to stay"
+
+
+NOTICES = [
+    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are"),
+]  # notices cut short, without any of the words of licences
+
+
+def test_notices_without_licence_words_are_found(spark):
+    texts = [f"Prose of town number {i}.\nThe rain fell on the roofs of the old station and the river rose.\nEnd." for i in range(20)]
+    texts += [f"Prose of another town.\n\n{notice}" for _, notice in NOTICES] + [None, ""]
+    rows = scan(spark.createDataFrame(list(enumerate(texts)), DOCS)).where("family <> 'unknown'").collect()
+    assert {(r.doc_id, r.paragraph, r.family) for r in rows if r.confirmed} == {(20 + i, 2, family) for i, (family, _) in enumerate(NOTICES)}
+
+
+def test_unknown_class_learns_from_whole_texts(spark):
+    docs = spark.createDataFrame([(i, f"same first line\nword{i} beside\n\nlast") for i in range(9)], DOCS)
+    unknown = {" ".join(r.tokens) for r in training_rows(docs).where("family = 'unknown'").collect()}
+    assert unknown == {"same first line", "last", *(f"word{i} beside" for i in range(9))}
