@@ -243,6 +243,42 @@ def test_furniture_between_repeated_lines_goes(spark):
     assert got[1] == "own text of page 1, long enough to stay"
 
 
+def extracted(spark, bodies):
+    rows = [(i, f"http://h.org/{i}", f"<body>{body}</body>") for i, body in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    return [r.text for r in extract_text(pages).orderBy("page_id").collect()]
+
+
+def test_text_beside_an_article_is_differenced(spark):
+    body = "<p>Site name<article><h1>Title {0}</h1><p>More news</article><p>Story of page {0}, beside it.<p>All rights"
+    bodies = [body.format(i) for i in range(3)]
+    assert extracted(spark, bodies) == [f"Title {i}\nMore news\nStory of page {i}, beside it." for i in range(3)]
+    copies = [bodies[0], bodies[0].replace("rights", "wrongs"), bodies[1]]  # the first has a copy beside it only
+    assert extracted(spark, copies)[0] == "Site name\nTitle 0\nMore news\nStory of page 0, beside it.\nAll rights"
+    assert extracted(spark, copies)[1] == "Title 0\nMore news\nStory of page 0, beside it.\nAll wrongs"
+    assert extracted(spark, bodies[:1])[0].split("\n")[0] == "Site name"  # nothing to compare with
+
+
+def test_short_stories_under_one_long_menu_are_no_copies(spark):
+    menu = "".join(f"<p>topic {i}" for i in range(30))
+    stories = [f"Story of page {i}, shorter than the menu above it." for i in range(3)]
+    assert extracted(spark, [f"{menu}<p>{story}<p>All rights" for story in stories]) == stories
+    copies = [f"{menu}<p>{stories[0]}<p>Seen {i} times" for i in range(2)]
+    assert all(stories[0] in text for text in extracted(spark, copies))
+
+
+def test_equal_pages_in_a_row_have_the_text_of_one(spark):
+    def body(i):
+        return f"<p>Site name<p>Story of page {i}, which has its own words.<p>All rights<script>{i}</script>"
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        found = extracted(spark, [body(0), *[body(1)] * 5, body(2), *[body(3)] * 4])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == [f"Story of page {i}, which has its own words." for i in [0, 1, 1, 1, 1, 1, 2, 3, 3, 3, 3]]
+
+
 NOTICES = [
     ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public"),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are"),
